@@ -149,3 +149,96 @@ def t3_keyword_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = keyword.keyword_search_batch(c.index, c.chunks, qs, top_k=5)
     return out.select("query_id", F.col("rank_no").cast("int").alias("rank_no"), "accession_number",
                       "chunk_index", F.round("rank", 6).alias("rank"))
+
+
+# --- semantic: X16, X17, Q2, P15, T3 --------------------------------------------
+_EMB_BASE = """
+WITH e AS (
+  SELECT concat('L', CAST(label AS VARCHAR)) AS accession_number, CAST(vec_id AS INTEGER) AS chunk_index,
+         label, embedding FROM embeddings
+),
+dims AS (
+  SELECT pos, avg(CAST(x AS DOUBLE)) AS m
+  FROM (SELECT unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM e) GROUP BY pos
+),
+cen0 AS (SELECT list(CAST(m AS FLOAT) ORDER BY pos) AS v FROM dims),
+cen AS (
+  SELECT list_transform(v, lambda x: CAST(CAST(x AS DOUBLE) / sqrt(list_sum(list_transform(v, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))) AS FLOAT)) AS v
+  FROM cen0
+)"""
+
+
+def _cos_sql(a: str, b: str) -> str:
+    dot = f"list_sum(list_transform(range(1, len({a}) + 1), lambda i: CAST({a}[i] AS DOUBLE) * CAST({b}[i] AS DOUBLE)))"
+    na = f"list_sum(list_transform({a}, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))"
+    nb = f"list_sum(list_transform({b}, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))"
+    return (f"(CASE WHEN {na} * {nb} = 0 THEN CAST('nan' AS DOUBLE) "
+            f"ELSE 1 - least(greatest({dot} / sqrt({na} * {nb}), -1), 1) END)")
+
+
+def _emb_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("L"), F.col("label").cast("string")).alias("accession_number"),
+        F.col("vec_id").cast("int").alias("chunk_index"), "label", "embedding")
+
+
+@register("x16_cosine_distance", _EMB_BASE + f"""
+SELECT accession_number, chunk_index, round({_cos_sql('e.embedding', 'cen.v')}, 6) AS distance FROM e, cen""")
+def x16_cosine_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.operators.semantic import centroid, semantic_scores
+    ch = _emb_chunks(spark, sf_dir)
+    return semantic_scores(ch.drop("label"), centroid(ch)).select(
+        "accession_number", "chunk_index", F.round("distance", 6).alias("distance"))
+
+
+@register("x17_l2_normalize", """
+SELECT CAST(vec_id AS BIGINT) AS vec_id,
+       list_transform(embedding, lambda x: CAST(CAST(x AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))) AS FLOAT)) AS unit
+FROM embeddings""")
+def x17_l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.functions.vector import l2_normalize
+    return tables.read(spark, sf_dir, "embeddings").select("vec_id", l2_normalize("embedding").alias("unit"))
+
+
+@register("q2_semantic", _EMB_BASE + f""",
+sc AS (SELECT accession_number, chunk_index, {_cos_sql('e.embedding', 'cen.v')} AS distance FROM e, cen)
+SELECT accession_number, chunk_index, round(distance, 6) AS distance, round(1 - distance, 4) AS similarity
+FROM sc ORDER BY round(distance, 6) ASC NULLS LAST, accession_number, chunk_index LIMIT {TOP_K}""")
+def q2_semantic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.operators.semantic import centroid, semantic_search
+    ch = _emb_chunks(spark, sf_dir)
+    top = semantic_search(ch.drop("label"), centroid(ch), TOP_K)
+    return top.select("accession_number", "chunk_index", F.round("distance", 6).alias("distance"),
+                      F.round(F.lit(1.0) - F.col("distance"), 4).alias("similarity"))
+
+
+@register("t3_semantic_batch", """
+WITH e AS (
+  SELECT concat('L', CAST(label AS VARCHAR)) AS accession_number, CAST(vec_id AS INTEGER) AS chunk_index,
+         label, embedding FROM embeddings
+),
+dims AS (
+  SELECT label, pos, avg(CAST(x AS DOUBLE)) AS m
+  FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM e) GROUP BY label, pos
+),
+q0 AS (SELECT label, list(CAST(m AS FLOAT) ORDER BY pos) AS v FROM dims GROUP BY label),
+qv AS (
+  SELECT CAST(label AS BIGINT) AS query_id,
+         list_transform(v, lambda x: CAST(CAST(x AS DOUBLE) / sqrt(list_sum(list_transform(v, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))) AS FLOAT)) AS v
+  FROM q0
+),
+sc AS (SELECT query_id, accession_number, chunk_index, """ + _cos_sql("e.embedding", "qv.v") + """ AS distance FROM e, qv),
+rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 6) ASC NULLS LAST, accession_number, chunk_index) AS rank_no FROM sc)
+SELECT query_id, CAST(rank_no AS INTEGER) AS rank_no, accession_number, chunk_index, round(distance, 6) AS distance
+FROM rk WHERE rank_no <= 5""")
+def t3_semantic_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.functions.vector import l2_normalize
+    from sheaf.operators.semantic import semantic_search_batch
+    ch = _emb_chunks(spark, sf_dir)
+    per_dim = (ch.select("label", F.posexplode("embedding").alias("pos", "x"))
+               .groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m")))
+    qs = per_dim.groupBy("label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"].cast("float")).alias("v"))
+    qs = qs.select(F.col("label").cast("long").alias("query_id"), l2_normalize("v").alias("vec"))
+    out = semantic_search_batch(ch.drop("label"), qs, top_k=5)
+    return out.select("query_id", "rank_no", "accession_number", "chunk_index", F.round("distance", 6).alias("distance"))
