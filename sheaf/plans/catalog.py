@@ -242,3 +242,44 @@ def t3_semantic_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     qs = qs.select(F.col("label").cast("long").alias("query_id"), l2_normalize("v").alias("vec"))
     out = semantic_search_batch(ch.drop("label"), qs, top_k=5)
     return out.select("query_id", "rank_no", "accession_number", "chunk_index", F.round("distance", 6).alias("distance"))
+
+
+# --- HTML extraction: X1-X9 -------------------------------------------------------
+@register("x6_html_blocks", f"""
+WITH {O.pages_src()},
+{O.html_ctes('pg_src')}
+SELECT accession_number, CAST(block_no AS BIGINT) AS block_no, txt AS text FROM blocks""")
+def x6_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.operators.html import extract_blocks
+    return extract_blocks(tables.page_html(spark, sf_dir)).select(
+        "accession_number", F.col("block_no").cast("long").alias("block_no"), "text")
+
+
+@register("x5_html_tables", f"""
+WITH {O.filing_html_src()},
+{O.html_ctes('fh_src')}
+SELECT accession_number, CAST(table_no AS BIGINT) AS table_no, txt AS text FROM tbls WHERE txt <> ''""")
+def x5_html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.operators.html import extract_tables
+    return extract_tables(tables.filing_html(spark, sf_dir)).select(
+        "accession_number", F.col("table_no").cast("long").alias("table_no"), "text")
+
+
+@register("x9_html_text", f"""
+WITH {O.filing_html_src()},
+{O.html_ctes('fh_src')}
+SELECT accession_number, text FROM doc_text""")
+def x9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.operators.html import extract_text
+    return extract_text(tables.filing_html(spark, sf_dir))
+
+
+@register("x10_sections", f"""
+WITH RECURSIVE {O.filing_html_src()},
+{O.html_ctes('fh_src')},
+{O.split_ctes('doc_text')}
+SELECT accession_number, CAST(sec_no AS INTEGER) AS section_no, section, txt AS section_text FROM secs""")
+def x10_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.operators.chunk import sections
+    from sheaf.operators.html import extract_text
+    return sections(extract_text(tables.filing_html(spark, sf_dir)), "text", ["accession_number"])

@@ -29,7 +29,9 @@ class Corpus:
 def doc_corpus(spark: SparkSession, sf_dir: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                with_index: bool = True) -> Corpus:
     """Filings and chunks from a single scan of ``documents`` (no join)."""
-    d = tables.read(spark, sf_dir, "documents")
+    from sheaf.plans.layout import spread
+
+    d = spread(tables.read(spark, sf_dir, "documents"), "doc_id")
     k = F.col("doc_id")
     src = d.select(
         tables.accession_of("doc_id").alias("accession_number"),
