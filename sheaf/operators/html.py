@@ -179,7 +179,8 @@ def unit_texts(docs: DataFrame, key: str = "accession_number", html_col: str = "
 
 
 def extract_text(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:
-    """``key, text`` for every input row ('' when nothing is found).
+    """``key, other columns..., text`` for every input row ('' when
+    nothing is found); the html column is dropped.
 
     After the one shuffle by document, every later group-by is keyed by the
     document first, so it runs in place: cells -> rows -> tables, blocks, and
@@ -199,8 +200,9 @@ def extract_text(docs: DataFrame, key: str = "accession_number", html_col: str =
     body = F.max(F.when(F.col("kind") == BODY, F.col("txt")))
     per_doc = pieces.groupBy(key).agg(main.alias("main"), body.alias("fb"))
     text = F.when(F.col("main") != "", F.col("main")).otherwise(F.coalesce(F.col("fb"), F.lit("")))
-    return (docs.select(key).join(per_doc, key, "left")
-            .select(key, F.coalesce(text, F.lit("")).alias("text")))
+    keep = [c for c in docs.columns if c not in (key, html_col, "text")]
+    return (docs.select(key, *keep).join(per_doc, key, "left")
+            .select(key, *keep, F.coalesce(text, F.lit("")).alias("text")))
 
 
 def extract_blocks(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:

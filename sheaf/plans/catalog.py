@@ -283,3 +283,177 @@ def x10_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheaf.operators.chunk import sections
     from sheaf.operators.html import extract_text
     return sections(extract_text(tables.filing_html(spark, sf_dir)), "text", ["accession_number"])
+
+
+# --- events: S2, S3, J2, P1, P9 ----------------------------------------------------
+def _event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event JSON built from ``filing_events``; every 11th has a wrong type,
+    every 13th lacks ``document_url``, every 17th is not JSON, every 19th has a
+    bad date."""
+    ev = tables.filing_events(spark, sf_dir)
+    k = F.regexp_extract("local_path", r"/data/(\d+)\.htm", 1).cast("long")
+    obj = F.struct(
+        F.when(k % 11 == 0, F.lit("filing.updated")).otherwise(F.lit("filing.downloaded")).alias("event_type"),
+        F.lit(1).alias("schema_version"), "ticker", "company_name",
+        F.when(k % 19 == 0, F.lit("2024-13-45")).otherwise(F.date_format("filing_date", "yyyy-MM-dd")).alias("filing_date"),
+        "form", "accession_number", "local_path",
+        F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("document_url")).alias("document_url"),
+        F.date_format("downloaded_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("downloaded_at"))
+    value = F.when(k % 17 == 0, F.concat(F.lit("{not json "), k.cast("string"))).otherwise(F.to_json(obj))
+    return ev.select(k.alias("event_no"), value.alias("value"))
+
+
+_EVENT_JSON_SQL = O.filing_events_cte() + """,
+ej AS (
+  SELECT page_id AS event_no,
+    CASE WHEN page_id % 17 = 0 THEN concat('{not json ', CAST(page_id AS VARCHAR)) ELSE
+      '{"event_type":' || to_json(CASE WHEN page_id % 11 = 0 THEN 'filing.updated' ELSE 'filing.downloaded' END)
+      || ',"schema_version":1,"ticker":' || to_json(ticker) || ',"company_name":' || to_json(company_name)
+      || ',"filing_date":' || to_json(CASE WHEN page_id % 19 = 0 THEN '2024-13-45' ELSE strftime(filing_date, '%Y-%m-%d') END)
+      || ',"form":' || to_json(form) || ',"accession_number":' || to_json(accession_number)
+      || ',"local_path":' || to_json(local_path)
+      || CASE WHEN page_id % 13 = 0 THEN '' ELSE ',"document_url":' || to_json(document_url) END
+      || ',"downloaded_at":' || to_json(strftime(downloaded_at, '%Y-%m-%dT%H:%M:%S.%fZ')) || '}'
+    END AS value
+  FROM fe
+)"""
+
+_FIELDS = ("event_type", "schema_version", "ticker", "company_name", "filing_date", "form", "accession_number",
+           "local_path", "document_url", "downloaded_at")
+
+
+def _validate_sql(src: str) -> str:
+    missing = "concat_ws(', ', " + ", ".join(f"CASE WHEN {f} IS NULL THEN '{f}' END" for f in _FIELDS) + ")"
+    return f"""
+SELECT event_no, CASE
+    WHEN NOT is_obj THEN 'malformed json'
+    WHEN {missing} <> '' THEN 'missing field: ' || {missing}
+    WHEN event_type <> 'filing.downloaded' THEN 'unsupported event_type: ' || event_type
+    WHEN TRY_CAST(schema_version AS INTEGER) IS NULL THEN 'invalid schema_version'
+    WHEN try_strptime(filing_date, '%Y-%m-%d') IS NULL THEN 'invalid filing_date'
+    WHEN TRY_CAST(downloaded_at AS TIMESTAMP) IS NULL THEN 'invalid downloaded_at' END AS reject_reason,
+  ticker, accession_number, form
+FROM {src}"""
+
+
+@register("s3_event_validation", "WITH " + _EVENT_JSON_SQL + """,
+raw AS (
+  SELECT event_no, CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END AS is_obj,
+""" + ",\n".join(f"    CASE WHEN json_valid(value) THEN (CASE WHEN json_type(value) = 'OBJECT' THEN json_extract_string(value, '$.{f}') END) END AS {f}"
+                 for f in _FIELDS) + """
+  FROM ej
+),
+v AS (""" + _validate_sql("raw") + """)
+SELECT event_no, reject_reason IS NULL AS valid, reject_reason, ticker, accession_number, form FROM v""")
+def s3_event_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.sources.events import parse_events
+    ev = parse_events(_event_json(spark, sf_dir), "value", ["event_no"])
+    return ev.select("event_no", "valid", "reject_reason", "ticker", "accession_number", "form")
+
+
+@register("j2_enrich", "WITH " + O.filing_events_cte() + """,
+meta AS (
+  SELECT accession_number, ticker, company_name, form, filing_date, concat('/data/meta', local_path) AS local_path,
+         CASE WHEN ticker = 'TK3' THEN NULL ELSE document_url END AS document_url, downloaded_at
+  FROM fe WHERE right(accession_number, 1) <> '0'
+),
+j AS (
+  SELECT f.accession_number, m.accession_number IS NOT NULL AS enriched,
+         CASE WHEN m.accession_number IS NOT NULL THEN m.local_path ELSE f.local_path END AS local_path,
+         CASE WHEN m.accession_number IS NOT NULL THEN m.document_url ELSE f.document_url END AS document_url
+  FROM fe f LEFT JOIN meta m ON m.accession_number = f.accession_number
+)
+SELECT accession_number, enriched, local_path, document_url, document_url IS NOT NULL AS valid,
+       CASE WHEN document_url IS NULL THEN 'missing field: document_url' END AS reject_reason
+FROM j""")
+def j2_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.sources.events import enrich, typed_rows
+    ev = typed_rows(tables.filing_events(spark, sf_dir))
+    out = enrich(ev, tables.filing_metadata(spark, sf_dir))
+    return out.select("accession_number", "enriched", "local_path", "document_url", "valid", "reject_reason")
+
+
+@register("p9_forms", "WITH " + O.filing_events_cte() + """,
+v AS (
+  SELECT accession_number, form AS raw FROM fe
+  UNION ALL SELECT accession_number, lower(replace(form, '-', ' ')) FROM fe
+),
+c AS (
+  SELECT accession_number, raw,
+         replace(replace(replace(replace(upper(""" + O.strip("raw") + """), ' ', ''), '10Q', '10-Q'), '10K', '10-K'), '8K', '8-K') AS canonical
+  FROM v
+)
+SELECT accession_number, raw, canonical, canonical IN ('10-K', '10-Q', '8-K') AS supported,
+       upper(raw) IN ('10-K', '10-Q', '10-K/A', '10-Q/A') AS allowed
+FROM c""")
+def p9_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.config import DEFAULT_ALLOWED_FORMS, FORM_SELECTIONS
+    from sheaf.functions.text import canonical_form_col
+    ev = tables.filing_events(spark, sf_dir)
+    v = ev.select("accession_number", F.col("form").alias("raw")).unionByName(
+        ev.select("accession_number", F.lower(F.regexp_replace("form", "-", " ")).alias("raw")))
+    c = v.withColumn("canonical", canonical_form_col("raw"))
+    return c.select("accession_number", "raw", "canonical", F.col("canonical").isin(*FORM_SELECTIONS).alias("supported"),
+                    F.upper("raw").isin(*[f.upper() for f in DEFAULT_ALLOWED_FORMS]).alias("allowed"))
+
+
+# --- Q6 ingest outcomes, A3 load report ----------------------------------------------
+def _ingest_sql(force: bool) -> str:
+    allowed = "('10-K', '10-Q', '10-K/A', '10-Q/A')"
+    return f"""
+WITH RECURSIVE {O.ingest_events_cte()},
+{O.filing_html_src()},
+{O.html_ctes('fh_src')},
+{O.split_ctes('doc_text')},
+nch AS (SELECT accession_number, count(*) AS n FROM chunks GROUP BY accession_number),
+fs AS (SELECT regexp_replace(local_path, '/data/\\.\\./', '/') AS p, * FROM iev),
+st AS (
+  SELECT fs.event_no, fs.accession_number, fs.ticker,
+    CASE WHEN upper(form) NOT IN {allowed} THEN 'skipped'
+         WHEN NOT starts_with(p, '/data/') THEN 'failed'
+         WHEN starts_with(p, '/data/missing/') THEN 'failed'
+         WHEN trim(d.text) = '' THEN 'failed'
+         WHEN coalesce(nch.n, 0) = 0 THEN 'failed' ELSE 'loaded' END AS status,
+    CASE WHEN upper(form) NOT IN {allowed} THEN 'form not allowed'
+         WHEN NOT starts_with(p, '/data/') THEN 'outside data folder'
+         WHEN starts_with(p, '/data/missing/') THEN 'file not found'
+         WHEN trim(d.text) = '' THEN 'no extractable text'
+         WHEN coalesce(nch.n, 0) = 0 THEN 'no chunks' END AS reason,
+    CASE WHEN upper(form) IN {allowed} AND starts_with(p, '/data/') AND NOT starts_with(p, '/data/missing/')
+         THEN coalesce(nch.n, 0) ELSE 0 END AS chunk_count
+  FROM fs LEFT JOIN doc_text d ON d.accession_number = fs.accession_number
+          LEFT JOIN nch ON nch.accession_number = fs.accession_number
+)"""
+
+
+@register("q6_ingest_outcomes", _ingest_sql(False) + """
+SELECT CAST(event_no AS BIGINT) AS event_no, accession_number, ticker, status, reason,
+       CAST(chunk_count AS INTEGER) AS chunk_count
+FROM st""")
+def q6_ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.plans.ingest import ingest
+    from sheaf.sources.events import typed_rows
+    ev = typed_rows(tables.ingest_events(spark, sf_dir), ["event_no"])
+    res = ingest(ev, tables.filing_documents(spark, sf_dir), base_dir="/data")
+    return res.outcomes.select("event_no", "accession_number", "ticker", "status", "reason", "chunk_count")
+
+
+@register("a3_load_report", _ingest_sql(True) + """,
+fails AS (
+  SELECT ticker, accession_number || ': ' || reason AS m,
+         row_number() OVER (PARTITION BY ticker ORDER BY event_no) AS n
+  FROM st WHERE status = 'failed'
+)
+SELECT s.ticker, count(*) AS found,
+       CAST(sum(CASE WHEN status = 'loaded' THEN 1 ELSE 0 END) AS BIGINT) AS processed,
+       CAST(sum(CASE WHEN status = 'skipped' THEN 1 ELSE 0 END) AS BIGINT) AS skipped,
+       CAST(sum(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS BIGINT) AS failed,
+       CAST(sum(CASE WHEN status = 'loaded' THEN chunk_count ELSE 0 END) AS BIGINT) AS total_chunks,
+       coalesce((SELECT list(m ORDER BY n) FROM fails f WHERE f.ticker = s.ticker AND n <= 20), []) AS errors
+FROM st s GROUP BY s.ticker""")
+def a3_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.plans.ingest import ingest, load_report
+    from sheaf.sources.events import typed_rows
+    ev = typed_rows(tables.ingest_events(spark, sf_dir), ["event_no"])
+    res = ingest(ev, tables.filing_documents(spark, sf_dir), base_dir="/data", skip_if_processed=False)
+    return load_report(res.outcomes)

@@ -304,3 +304,29 @@ def filing_html_src() -> str:
            '</ix:nonFraction></td></tr></table><article><p>preface</p><p>ITEM ', CAST(page_id % 9 + 1 AS VARCHAR), '. Section text</p>')) AS html
   FROM pages
 )"""
+
+
+def filing_events_cte() -> str:
+    return f"""fe AS (
+  SELECT p.page_id, {accession('p.page_id')} AS accession_number,
+         concat('TK', CAST(p.page_id % 7 AS VARCHAR)) AS ticker,
+         concat('Company ', CAST(p.page_id % 7 AS VARCHAR)) AS company_name,
+         CASE p.page_id % 6 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' WHEN 2 THEN '8-K' WHEN 3 THEN '10-K/A'
+              WHEN 4 THEN '10-q' ELSE '4' END AS form,
+         DATE '2024-01-01' + CAST(p.page_id % 365 AS INTEGER) AS filing_date,
+         concat('/data/', CAST(p.page_id AS VARCHAR), '.htm') AS local_path,
+         p.url AS document_url, e.ts AS downloaded_at
+  FROM pages p JOIN events e ON e.event_id = p.page_id
+)"""
+
+
+def ingest_events_cte() -> str:
+    return f"""{filing_events_cte()},
+iev AS (
+  SELECT page_id AS event_no, accession_number, ticker, company_name, form, filing_date,
+         CASE WHEN page_id % 23 = 0 THEN concat('/data/../etc/', CAST(page_id AS VARCHAR), '.htm')
+              WHEN page_id % 29 = 0 THEN concat('/data/missing/', CAST(page_id AS VARCHAR), '.htm')
+              ELSE local_path END AS local_path,
+         document_url, downloaded_at
+  FROM fe
+)"""

@@ -126,3 +126,24 @@ def doc_chunks(spark: SparkSession, sf_dir: str, size: int | None = None, overla
     d = read(spark, sf_dir, "documents").select(accession_of("doc_id").alias("accession_number"), "text")
     return chunk_text(d, "text", ["accession_number"], size or CHUNK_SIZE,
                       CHUNK_OVERLAP if overlap is None else overlap)
+
+
+def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``filing_events`` as an arrival-ordered batch (``event_no`` = page id),
+    with two path defects: every 23rd filing points outside the data folder,
+    every 29th at a file that does not exist."""
+    ev = filing_events(spark, sf_dir)
+    k = F.regexp_extract("local_path", r"/data/(\d+)\.htm", 1).cast("long")
+    path = (F.when(k % 23 == 0, F.concat(F.lit("/data/../etc/"), k.cast("string"), F.lit(".htm")))
+            .when(k % 29 == 0, F.concat(F.lit("/data/missing/"), k.cast("string"), F.lit(".htm")))
+            .otherwise(F.col("local_path")))
+    return ev.select(k.alias("event_no"), *[path.alias(c) if c == "local_path" else F.col(c) for c in ev.columns])
+
+
+def filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``filing_html`` served at the event path and at the metadata path."""
+    h = filing_html(spark, sf_dir).select(
+        F.regexp_extract("accession_number", r"-(\d{6})$", 1).cast("long").alias("k"), "html")
+    a = h.select(F.concat(F.lit("/data/"), F.col("k").cast("string"), F.lit(".htm")).alias("path"), "html")
+    b = h.select(F.concat(F.lit("/data/meta/data/"), F.col("k").cast("string"), F.lit(".htm")).alias("path"), "html")
+    return a.unionByName(b)
