@@ -77,9 +77,11 @@ class FilingStore:
         self._write(filings, FILINGS, FILINGS_DDL)
 
     def filing_versions(self) -> DataFrame:
+        self.create()
         return self.spark.read.schema(FILINGS_DDL).parquet(self._path(FILINGS))
 
     def chunk_versions(self) -> DataFrame:
+        self.create()
         return self.spark.read.schema(CHUNKS_DDL).parquet(self._path(CHUNKS))
 
     def filings(self) -> DataFrame:

@@ -42,19 +42,21 @@ def kafka_events(spark: SparkSession, servers: str, topic: str = "filing.downloa
 
 
 def file_events(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A folder of JSON-lines files as an event stream (tests, replays)."""
+    """A folder of JSON-lines files as an event stream (tests, replays); the
+    events are numbered inside each micro-batch."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.load(path)
-    return raw.select("value", F.monotonically_increasing_id().alias("event_no"))
+    return reader.load(path).select("value")
 
 
 def process_batch(batch: DataFrame, batch_id: int, store: FilingStore, documents: DataFrame,
                   metadata: DataFrame | None = None, settings: Settings = Settings(),
                   skip_if_processed: bool = True, base_dir: str | None = None, encoder=None) -> None:
     """One micro-batch: decode -> enrich -> ingest -> chunks, filings, outcomes."""
-    events = parse_events(batch, "value", ["event_no"])
+    if "event_no" not in batch.columns:    # file source: arrival order inside the batch
+        batch = batch.withColumn("event_no", F.monotonically_increasing_id())
+    events = parse_events(batch.select("value", "event_no"), "value", ["event_no"])
     if metadata is not None:
         events = enrich(events, metadata).drop("enriched")
     res = ingest(events, documents, settings, batch_id=batch_id, current_filings=store.filings(),
