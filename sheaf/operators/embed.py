@@ -67,7 +67,9 @@ def _hashing(df: DataFrame, text_col: str, enc: HashingEncoder, out_col: str) ->
 
 
 def _batched(df: DataFrame, text_col: str, enc: BatchEncoder, out_col: str, prefix: str | None) -> DataFrame:
-    schema = df.schema.add(out_col, "array<float>")
+    from pyspark.sql import types as T
+
+    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
     factory, size, dim = enc.factory, enc.batch_size, enc.dim
 
     def run(batches):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sheaf.config import API_TOP_K, MAX_TOP_K
 from sheaf.functions.meta import meta_field
+from sheaf.functions.text import WS_LITERAL
 from sheaf.operators import keyword, semantic
 
 MODES = ("semantic", "keyword")
@@ -74,4 +75,4 @@ def render(results: DataFrame, score: str = "rank") -> DataFrame:
     rows = results.withColumn("_n", n).select("_n", block.alias("_b"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "_b"))), lambda x: x["_b"]), "\n")
     return rows.agg(F.count(F.lit(1)).alias("_c"), joined.alias("_t")).select(
-        F.when(F.col("_c") == 0, F.lit(NO_RESULTS)).otherwise(F.rtrim(F.col("_t"))).alias("text"))
+        F.when(F.col("_c") == 0, F.lit(NO_RESULTS)).otherwise(F.expr(f"trim(TRAILING {WS_LITERAL} FROM _t)")).alias("text"))

@@ -65,8 +65,8 @@ class FilingStore:
                 self.spark.createDataFrame([], ddl).write.mode("overwrite").partitionBy("batch_id").parquet(path)
 
     def _write(self, df: DataFrame, table: str, ddl: str) -> None:
-        cols = [c.split(" ")[0] for c in ddl.split(", ")]
-        df = df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in cols])
+        cols = [c.split(" ", 1) for c in ddl.split(", ")]
+        df = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in cols])
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self._path(table)))
 
