@@ -457,3 +457,98 @@ def a3_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = typed_rows(tables.ingest_events(spark, sf_dir), ["event_no"])
     res = ingest(ev, tables.filing_documents(spark, sf_dir), base_dir="/data", skip_if_processed=False)
     return load_report(res.outcomes)
+
+
+# --- quality and store views: A1, A2, A6, J5, A9, T4, K2/K3/K7 view, P18 ------------------
+_CHUNK_BASE = f"""
+WITH RECURSIVE {O.doc_src()},
+{O.split_ctes('doc_src')},
+{O.doc_filings_cte()}"""
+
+
+@register("a2_chunks_per_filing", _CHUNK_BASE + """
+SELECT accession_number, count(*) AS n_chunks FROM chunks GROUP BY accession_number""")
+def a2_chunks_per_filing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.plans.quality import chunks_per_filing
+    return chunks_per_filing(doc_corpus(spark, sf_dir, with_index=False).chunks)
+
+
+@register("a1_q4_stats", _CHUNK_BASE + """
+SELECT (SELECT count(*) FROM doc_filings) AS filing_count, (SELECT count(*) FROM chunks) AS chunk_count,
+       true AS bm25_ready""")
+def a1_q4_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.plans.search import stats
+    c = doc_corpus(spark, sf_dir, with_index=False)
+    return stats(c.filings, c.chunks, True)
+
+
+@register("a6_j5_key_checks", _CHUNK_BASE + """
+SELECT 'filing_chunks' AS check_name, CAST(count(*) AS BIGINT) AS violations FROM (
+  SELECT accession_number, chunk_index FROM chunks GROUP BY 1, 2 HAVING count(*) > 1)
+UNION ALL SELECT 'filings', CAST(count(*) AS BIGINT) FROM (
+  SELECT accession_number FROM doc_filings GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'orphans', CAST(count(*) AS BIGINT) FROM chunks c
+  WHERE NOT EXISTS (SELECT 1 FROM doc_filings f WHERE f.accession_number = c.accession_number)""")
+def a6_j5_key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.plans.quality import duplicate_keys, orphan_chunks
+    c = doc_corpus(spark, sf_dir, with_index=False)
+    a = duplicate_keys(c.chunks, ["accession_number", "chunk_index"]).agg(F.count(F.lit(1)).alias("violations"))
+    b = duplicate_keys(c.filings, ["accession_number"]).agg(F.count(F.lit(1)).alias("violations"))
+    o = orphan_chunks(c.chunks, c.filings).agg(F.count(F.lit(1)).alias("violations"))
+    return (a.select(F.lit("filing_chunks").alias("check_name"), "violations")
+            .unionByName(b.select(F.lit("filings").alias("check_name"), "violations"))
+            .unionByName(o.select(F.lit("orphans").alias("check_name"), "violations")))
+
+
+@register("t4_latest_filings", "WITH " + O.doc_filings_cte() + """
+SELECT accession_number, ticker, form, strftime(filing_date, '%Y-%m-%d') AS filing_date FROM doc_filings
+ORDER BY filing_date DESC, accession_number LIMIT 10""")
+def t4_latest_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.plans.quality import latest_filings
+    return latest_filings(tables.doc_filings(spark, sf_dir)).select(
+        "accession_number", "ticker", "form", F.date_format("filing_date", "yyyy-MM-dd").alias("filing_date"))
+
+
+@register("k2_current_view", _CHUNK_BASE + """,
+cnt AS (SELECT accession_number, count(*) AS n FROM chunks GROUP BY 1),
+v AS (
+  SELECT f.accession_number, 1 AS batch_id, TIMESTAMP '2024-01-01 00:00:00' AS processed_at, false AS deleted,
+         CAST(c.n AS INTEGER) AS chunk_count FROM doc_filings f JOIN cnt c USING (accession_number)
+  UNION ALL
+  SELECT f.accession_number, 2, TIMESTAMP '2024-02-01 00:00:00', false, CAST(c.n + 1 AS INTEGER)
+  FROM doc_filings f JOIN cnt c USING (accession_number) WHERE f.ticker = 'EN'
+  UNION ALL
+  SELECT accession_number, 3, TIMESTAMP '2024-03-01 00:00:00', true, 0 FROM doc_filings WHERE form = 'SRC0'
+),
+cur AS (SELECT accession_number, arg_max(struct_pack(batch_id := batch_id, deleted := deleted, chunk_count := chunk_count),
+                                         struct_pack(p := processed_at, b := batch_id)) AS s FROM v GROUP BY 1)
+SELECT accession_number, CAST(s.batch_id AS BIGINT) AS batch_id, s.chunk_count AS chunk_count FROM cur WHERE NOT s.deleted""")
+def k2_current_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2/K3/K7 view logic over three in-memory versions: everything, a
+    re-upsert of ticker EN, and tombstones for form SRC0."""
+    from sheaf.plans.quality import chunks_per_filing
+    from sheaf.plans.store import current_filings
+    c = doc_corpus(spark, sf_dir, with_index=False)
+    n = chunks_per_filing(c.chunks)
+    base = c.filings.join(n, "accession_number").select("accession_number", "ticker", "form", "n_chunks")
+    v1 = base.select("accession_number", F.lit(1).cast("long").alias("batch_id"),
+                     F.lit("2024-01-01 00:00:00").cast("timestamp").alias("processed_at"), F.lit(False).alias("deleted"),
+                     F.col("n_chunks").cast("int").alias("chunk_count"))
+    v2 = base.filter(F.col("ticker") == "EN").select(
+        "accession_number", F.lit(2).cast("long").alias("batch_id"),
+        F.lit("2024-02-01 00:00:00").cast("timestamp").alias("processed_at"), F.lit(False).alias("deleted"),
+        (F.col("n_chunks") + 1).cast("int").alias("chunk_count"))
+    v3 = c.filings.filter(F.col("form") == "SRC0").select(
+        "accession_number", F.lit(3).cast("long").alias("batch_id"),
+        F.lit("2024-03-01 00:00:00").cast("timestamp").alias("processed_at"), F.lit(True).alias("deleted"),
+        F.lit(0).alias("chunk_count"))
+    cur = current_filings(v1.unionByName(v2).unionByName(v3))
+    return cur.select("accession_number", "batch_id", "chunk_count")
+
+
+@register("p18_vector_check", """
+SELECT count(*) AS n_vectors, max(len(embedding)) AS dim,
+       CAST(sum(CASE WHEN len(embedding) <> 64 THEN 1 ELSE 0 END) AS BIGINT) AS bad_length FROM embeddings""")
+def p18_vector_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.plans.quality import vector_check
+    return vector_check(tables.read(spark, sf_dir, "embeddings"), 64)

@@ -103,7 +103,7 @@ def doc_filings_cte() -> str:
     return f"""doc_filings AS (
   SELECT {accession('doc_id')} AS accession_number, upper(lang) AS ticker,
          concat('Company ', upper(lang)) AS company_name, upper(source) AS form,
-         DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS filing_date,
+         CAST(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS DATE) AS filing_date,
          concat('/data/docs/', CAST(doc_id AS VARCHAR), '.txt') AS local_path, '' AS document_url
   FROM documents
 )"""
@@ -313,7 +313,7 @@ def filing_events_cte() -> str:
          concat('Company ', CAST(p.page_id % 7 AS VARCHAR)) AS company_name,
          CASE p.page_id % 6 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' WHEN 2 THEN '8-K' WHEN 3 THEN '10-K/A'
               WHEN 4 THEN '10-q' ELSE '4' END AS form,
-         DATE '2024-01-01' + CAST(p.page_id % 365 AS INTEGER) AS filing_date,
+         CAST(DATE '2024-01-01' + CAST(p.page_id % 365 AS INTEGER) AS DATE) AS filing_date,
          concat('/data/', CAST(p.page_id AS VARCHAR), '.htm') AS local_path,
          p.url AS document_url, e.ts AS downloaded_at
   FROM pages p JOIN events e ON e.event_id = p.page_id
