@@ -96,3 +96,44 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+@register("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.llm.langid import fit, identify
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify(docs, fit(docs), ["doc_id"])
+    held_out = F.coalesce(F.crc32(F.col("kept.doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return found.select(F.col("kept.doc_id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register("op4_simhash_near_dedup")
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.llm.simhash import near_dedup
+
+    found = near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return found.select(F.col("kept.doc_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.llm.quality import score_quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = score_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), ["doc_id"])
+    held_out = F.coalesce(F.crc32(F.col("kept.doc_id").cast("string")) % 3 == 1, F.lit(False))
+    return found.select(F.col("kept.doc_id").alias("doc_id"), held_out.alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op7_token_binary")
+def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sheaf.llm.tokens import read_token_files, token_folder, write_token_files
+
+    folder = token_folder(spark)
+    parts = write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                              public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return read_token_files(parts, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
