@@ -137,3 +137,10 @@ def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"),
                               public_tokenizers.path("byte_bpe_50k.json"), folder)
     return read_token_files(parts, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op8_approximate_nearest_neighbours")
+def op8_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
