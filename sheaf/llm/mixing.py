@@ -63,25 +63,25 @@ def unit_hash(*parts):
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = 42) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size,
-    source_size, target, copies, taken (= copies x size).
+def mix(docs: DataFrame, keep: Sequence[str], weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = 42) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, source): kept (a struct of the ``keep``
+    columns), source, size, source_size, target, copies, taken (= copies x size).
 
     Null text has size 0; a null source is a source of its own, the last.  A source
     of no words has target 0 and expected copies 0.  Equal rows are ordered
     arbitrarily among themselves, which changes no sum.  An empty table gives no rows.
     The offset and the order depend on ``seed``, source and doc_id alone: reruns agree.
     """
-    sized = settle(docs.select(docs["doc_id"].alias("doc_id"), docs["source"].cast("string").alias("source"),
+    sized = settle(docs.select(F.struct(*[docs[c] for c in keep]).alias("kept"), docs["doc_id"].alias("doc_id"), docs["source"].cast("string").alias("source"),
                                words_of(docs["text"]).alias("size")), "sizes")
     targets = settle(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
     named = targets.withColumnRenamed("source", "name")
     placed = sized.join(named, F.col("source").eqNullSafe(F.col("name"))).select(
-        "doc_id", "source", "source_no", "size", "source_size", "target",
+        "kept", "doc_id", "source", "source_no", "size", "source_size", "target",
         F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))).alias("tie"), F.lit(1).alias("one"))
     placed = running_totals(placed, "source_no", ["size", "tie", "doc_id"], "one", "before", "mix")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = unit_hash(F.lit(f"{seed}-offset"), F.coalesce("source", F.lit("")))
     crossed = F.floor(offset + rate * (F.col("before") + 1)) - F.floor(offset + rate * F.col("before"))
     return (placed.withColumn("copies", crossed.cast("long"))
-            .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")))
+            .select("kept", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")))

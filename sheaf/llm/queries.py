@@ -73,7 +73,7 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheaf.llm.mixing import mix
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs, ["doc_id"]).select(F.col("kept.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 _HOST = "split_part(split_part(split_part(substr(url, strpos(url, '://') + 3), '/', 1), '?', 1), '#', 1)"
@@ -144,3 +144,12 @@ def op8_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> Data
     from sheaf.llm.ann import nearest
 
     return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
+
+
+@register("op5_sharding")
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.llm.sharding import shard_documents
+
+    found = shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return found.select(F.col("kept.doc_id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))

@@ -97,8 +97,8 @@ def print_roots(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
 
 def near_dedup(docs: DataFrame, keep: list[str], shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
     """One row per row of ``docs``: kept (a struct of the ``keep`` columns, doc_id
-    among them), fp, component_id (smallest doc_id whose fingerprint is reachable
-    by links of up to ``most_bits`` bits, itself included).
+    among them), fp, root (one fingerprint per component), component_id (smallest
+    doc_id whose fingerprint is reachable by links of up to ``most_bits`` bits, itself included).
 
     Null and empty texts have fingerprint 0 and link like any other.  Rows with a
     null doc_id take part; a component of such rows alone has id null.  Repeated rows
@@ -109,5 +109,5 @@ def near_dedup(docs: DataFrame, keep: list[str], shingle: int = SHINGLE, most_bi
     roots = settle(print_roots(nodes, most_bits), "roots")
     rooted = settle(nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "nodes")
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(ids, "fp").select("kept", "fp", "component_id")
+    ids = rooted.join(named, "root").select("fp", "root", "component_id")
+    return prints.join(ids, "fp").select("kept", "fp", "root", "component_id")
