@@ -153,3 +153,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
     return found.select(F.col("kept.doc_id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.llm.passages import shared_passages
+
+    found = shared_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumns({"n_words": F.col("end") - F.col("start"), "similarity": F.round("similarity", 6)})
