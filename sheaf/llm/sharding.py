@@ -18,14 +18,27 @@ from pyspark.sql import functions as F
 from sheaf.llm.common import running_totals, settle
 
 SHARDS = 16
+SPREAD = 3                 # rounds that gather linked documents before the start
 ROUNDS = 6
 TOLERANCE = 0.005          # of the mean shard, either way, that moves may use
 
 
+def leads(both: DataFrame, rounds: int = SPREAD) -> DataFrame:
+    """Links in both directions -> node, lead: the least node met in a few rounds, in
+    which each node hears its neighbours' leads and its lead's lead."""
+    now = settle(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("lead")), "leads")
+    for _ in range(rounds):
+        heard = both.join(now, both["b"] == now["node"]).groupBy("a").agg(F.min("lead").alias("heard"))
+        further = now.select(F.col("node").alias("lead"), F.col("lead").alias("further"))
+        now = settle(now.join(further, "lead", "left").join(heard, F.col("node") == F.col("a"))
+                     .select("node", F.least("lead", "further", "heard").alias("lead")), "leads")
+    return now
+
+
 def start(nodes: DataFrame, links: DataFrame, shards: int) -> DataFrame:
     """(node, size), (a, b) -> node, size, shard: shards of equal sums of sizes."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lead = both.groupBy("a").agg(F.min("b").alias("lead")).withColumnRenamed("a", "node")
+    lead = leads(both)
     total = nodes.agg(F.sum("size")).first()[0] or 1
     placed = (nodes.join(lead, "node", "left").withColumn("lead", F.least("node", F.coalesce("lead", "node")))
               .withColumns({"mixed": F.xxhash64("lead"), "all": F.lit(0)}))
