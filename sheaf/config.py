@@ -13,6 +13,8 @@ EVENT_TYPE = "filing.downloaded"
 SCHEMA_VERSION = 1
 DEFAULT_ALLOWED_FORMS = ("10-K", "10-Q", "10-K/A", "10-Q/A")
 FORM_SELECTIONS = ("10-K", "10-Q", "8-K")
+# spellings of forms without their dash, and with it
+FORM_SPELLINGS = (("10K", "10-K"), ("10Q", "10-Q"), ("8K", "8-K"))
 CHUNK_SIZE = 1000
 CHUNK_OVERLAP = 150
 EMBED_BATCH_SIZE = 16

@@ -7,11 +7,11 @@ be used inside higher-order-function lambdas, and the plain name returns a
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sheaf.config import FORM_SELECTIONS, FORM_SPELLINGS
+
 # Characters Python's ``str.strip()`` removes.  Spark's ``trim`` removes only
 # the space, so the set is derived here from Python's own rule.
 PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -89,37 +89,28 @@ def allow_list_col(col: Column | str) -> Column:
 def canonical_form_col(col: Column | str) -> Column:
     """P9 for one value: strip, upper, drop spaces, 10Q/10K/8K spelled with a dash."""
     c = F.col(col) if isinstance(col, str) else col
-    squeezed = F.regexp_replace(F.upper(py_strip(c)), " ", "")
-    return F.regexp_replace(squeezed, FORM_DASH_PATTERN, "$1-")
-
-
-# a dash goes between 10 and K/Q and between 8 and K
-FORM_DASH_PATTERN = r"(10(?=[KQ])|8(?=K))"
-_FORM_DASH = re.compile(FORM_DASH_PATTERN)
+    out = F.replace(F.upper(py_strip(c)), F.lit(" "), F.lit(""))
+    for plain, dashed in FORM_SPELLINGS:
+        out = F.replace(out, F.lit(plain), F.lit(dashed))
+    return out
 
 
 def canonical_form(value: str) -> str:
     """P9 for one string; the same rule as ``canonical_form_col``."""
-    squeezed = value.strip().upper().replace(" ", "")
-    return _FORM_DASH.sub(r"\1-", squeezed)
+    out = "".join(value.strip().upper().split(" "))
+    for plain, dashed in FORM_SPELLINGS:
+        out = dashed.join(out.split(plain))
+    return out
 
 
 def normalize_forms(forms: list[str] | None, supported=None) -> list[str] | None:
-    """P9 for a request argument (a handful of strings, checked on the driver).
-
-    None stays None; an unknown selection or an empty list raises ``ValueError``.
-    """
-    from sheaf.config import FORM_SELECTIONS
-
+    """P9 for a request argument (a handful of strings, checked on the driver): the
+    distinct forms in request order.  None means no choice and stays None; an empty
+    list, or one with a form that nobody supports, raises ``ValueError`` and names what is wrong."""
     if forms is None:
         return None
-    allowed = frozenset(supported or FORM_SELECTIONS)
-    picked = {}
-    for raw in forms:
-        form = canonical_form(raw)
-        if form not in allowed:
-            raise ValueError(f"unsupported form selection: {raw}")
-        picked.setdefault(form, None)
-    if not picked:
-        raise ValueError("at least one filing form must be selected")
-    return list(picked)
+    named = {canonical_form(f): f for f in reversed(forms)}
+    wrong = sorted(named[f] for f in named.keys() - set(supported or FORM_SELECTIONS))
+    if wrong or not named:
+        raise ValueError(f"cannot load these forms: {wrong}" if wrong else "no form was chosen")
+    return list(dict.fromkeys(map(canonical_form, forms)))

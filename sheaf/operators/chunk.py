@@ -22,10 +22,9 @@ def _ws_class() -> str:
 
 
 # --- fixed value: a section header line ------------------------------------
-# "ITEM", blanks, digits and dots, blanks, then anything; any letter case.
-ITEM_HEADER_PATTERN = r"^\s*ITEM\s+[\d.]+\s+.+$"
-# The same rule for Java: Python's whitespace set spelled out, `d` so that only
-# "\n" ends a line, `U` for Unicode digits and case folding.
+# "ITEM", blanks, digits and dots, blanks, then anything; any letter case.  For
+# Java: Python's whitespace set spelled out, `d` so that only "\n" ends a line,
+# `U` for Unicode digits and case folding.
 ITEM_HEADER_JAVA = "(?iUd)^{ws}*ITEM{ws}+[\\d.]+{ws}+.+$".format(ws=_ws_class())
 BLOCK_BREAK = "\n\n"
 SENTENCE_BREAK = ". "

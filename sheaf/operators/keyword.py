@@ -28,6 +28,7 @@ from sheaf.functions.text import tokens
 
 KEY = ["accession_number", "chunk_index"]
 DEFAULT_BUCKETS = 64
+SALTS = 4                  # files of a term bucket
 
 
 @dataclass
@@ -35,45 +36,67 @@ class KeywordIndex:
     postings: DataFrame
     terms: DataFrame
     corpus: DataFrame
-    buckets: int = DEFAULT_BUCKETS
+    buckets: int | None = DEFAULT_BUCKETS
 
 
 def term_bucket(term_col: F.Column, buckets: int) -> F.Column:
     return F.pmod(F.xxhash64(term_col), F.lit(buckets)).cast("int")
 
 
-def build_index(chunks: DataFrame, buckets: int = DEFAULT_BUCKETS) -> KeywordIndex:
-    """K9: tokenise every chunk and derive postings, term and corpus statistics.
+def postings_of(chunks: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """(term, key.., more.., tf, dl), one row per distinct term of a chunk.
 
-    ``tf`` is a group-by on (chunk, term); all tokens of a chunk sit in one map
-    partition, so the partial aggregate already produces the postings and only
-    postings cross the shuffle.  ``df`` and the corpus row are partial+final
-    aggregates, safe for a term that occurs in a third of all chunks.
+    Chunks are single rows, so their terms are counted inside the row: the sorted
+    tokens' runs.  Nothing is shuffled.
     """
-    toks = chunks.select(*KEY, tokens("content").alias("_toks"))
-    per_chunk = toks.select(*KEY, F.size("_toks").alias("dl"), "_toks")
-    postings = (
-        per_chunk.select(*KEY, "dl", F.explode("_toks").alias("term"))
-        .groupBy(*KEY, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-        .select(term_bucket(F.col("term"), buckets).alias("bucket"), "term", *KEY,
-                F.col("tf").cast("int").alias("tf"), F.col("dl").cast("int").alias("dl"))
-    )
+    cols = [*KEY, *(more or [])]
+    sorted_ = chunks.select(*cols, F.sort_array(tokens("content")).alias("_t"))
+    last = F.filter(F.transform("_t", lambda t, i: F.when(F.get("_t", i + 1).eqNullSafe(t), F.lit(None)).otherwise(
+        F.struct(t.alias("term"), (i + 1).alias("upto")))), lambda x: x.isNotNull())
+    runs = sorted_.select(*cols, F.size("_t").alias("dl"), last.alias("_r"))
+    tf = F.transform("_r", lambda r, i: F.struct(
+        r["term"].alias("term"), (r["upto"] - F.when(i > 0, F.get("_r", i - 1)["upto"]).otherwise(0)).alias("tf")))
+    return (runs.select(*cols, "dl", F.explode(tf).alias("_p"))
+            .select(F.col("_p.term").alias("term"), *cols, F.col("_p.tf").cast("int").alias("tf"), F.col("dl").cast("int").alias("dl")))
+
+
+def lengths_of(chunks: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """(key.., more.., dl): every chunk with its number of tokens, 0 included."""
+    return chunks.select(*KEY, *(more or []), F.size(tokens("content")).cast("int").alias("dl"))
+
+
+def index_of(postings: DataFrame, lengths: DataFrame, buckets: int | None = None) -> KeywordIndex:
+    """Statistics from the postings and the chunk lengths: partial+final aggregates,
+    safe for a term found in a third of all chunks."""
     terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    corpus = per_chunk.agg(F.count(F.lit(1)).alias("n_chunks"), F.avg("dl").alias("avgdl"))
+    corpus = lengths.agg(F.count(F.lit(1)).alias("n_chunks"), F.avg("dl").alias("avgdl"))
     return KeywordIndex(postings, terms, corpus, buckets)
 
 
+def build_index(chunks: DataFrame, buckets: int = DEFAULT_BUCKETS) -> KeywordIndex:
+    """K9: the index of all ``chunks``, postings with their term bucket."""
+    postings = postings_of(chunks).select(term_bucket(F.col("term"), buckets).alias("bucket"), "term", *KEY, "tf", "dl")
+    return index_of(postings, lengths_of(chunks), buckets)
+
+
 def write_index(index: KeywordIndex, path: str, mode: str = "overwrite") -> None:
-    """Store the index: postings partitioned by term bucket."""
-    (index.postings.repartition(index.buckets, "bucket")
+    """Store the index.  Postings are written once, partitioned by term bucket; a
+    bucket's rows go to several files by chunk, so a frequent term is no single task.
+    Terms are counted from what was written; the corpus row keeps the bucket count."""
+    spark = index.postings.sparkSession
+    salt = F.pmod(F.xxhash64(*KEY), F.lit(SALTS))
+    (index.postings.repartition(index.buckets * SALTS, "bucket", salt)
      .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
-    index.terms.write.mode(mode).parquet(f"{path}/terms")
-    index.corpus.coalesce(1).write.mode(mode).parquet(f"{path}/corpus")
+    stored = spark.read.parquet(f"{path}/postings")
+    stored.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.mode(mode).parquet(f"{path}/terms")
+    index.corpus.withColumn("buckets", F.lit(index.buckets)).coalesce(1).write.mode(mode).parquet(f"{path}/corpus")
 
 
-def read_index(spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS) -> KeywordIndex:
+def read_index(spark: SparkSession, path: str) -> KeywordIndex:
+    """The stored index; its bucket count is part of it."""
+    corpus = spark.read.parquet(f"{path}/corpus")
     return KeywordIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms"),
-                        spark.read.parquet(f"{path}/corpus"), buckets)
+                        corpus.drop("buckets"), corpus.first()["buckets"])
 
 
 def query_terms(spark: SparkSession, query: str) -> list[str]:
@@ -137,6 +160,8 @@ def keyword_search(index: KeywordIndex, chunks: DataFrame, filings: DataFrame, q
     scored = score_terms(idx, F.broadcast(qt))
     if match_all:
         scored = scored.filter(F.col("n_match") == len(terms))
+    # an index may be older than the chunks: what is gone must not take one of the k places
+    scored = scored.join(chunks.select(*KEY), KEY, "left_semi")
     scored = apply_filing_filters(scored, filings, ticker, form)
     return top_k_with_content(scored, chunks, top_k)
 

@@ -47,12 +47,14 @@ def model_dimension(model_col) -> F.Column:
     return out
 
 
-def index_ready(index_chunks: DataFrame | None, chunks: DataFrame) -> bool:
-    """A5: the derived keyword tables exist and cover exactly the current chunks."""
-    if index_chunks is None:
+def index_ready(indexed: DataFrame | None, chunks: DataFrame) -> bool:
+    """A5: the keys of ``indexed`` (``keyword.lengths_of`` rows, chunks without a token
+    included) are exactly those of the current chunks."""
+    if indexed is None:
         return False
-    a = index_chunks.select("accession_number", "chunk_index").distinct().count()
-    return a == chunks.count()
+    key = ["accession_number", "chunk_index"]
+    a, b = indexed.select(*key), chunks.select(*key)
+    return a.join(b, key, "left_anti").isEmpty() and b.join(a, key, "left_anti").isEmpty()
 
 
 def indexed_chunk_count(ready: bool, chunks: DataFrame) -> int:

@@ -18,12 +18,12 @@ def check_request(q: str, top_k: int = API_TOP_K, mode: str = "semantic") -> tup
     """Stripped non-empty query, 1 <= top_k <= 100, mode in MODES."""
     query = (q or "").strip()
     if not query:
-        raise ValueError("Query cannot be empty")
+        raise ValueError("the query has no characters to search for")
     if not 1 <= int(top_k) <= MAX_TOP_K:
-        raise ValueError(f"top_k must be between 1 and {MAX_TOP_K}")
+        raise ValueError(f"top_k is {top_k}; it may be 1 to {MAX_TOP_K}")
     m = (mode or "").strip().lower()
     if m not in MODES:
-        raise ValueError("mode must be 'semantic' or 'keyword'")
+        raise ValueError(f"no such mode: {mode}; there are {', '.join(MODES)}")
     return query, int(top_k), m
 
 

@@ -1,32 +1,49 @@
-"""Versioned filing tables on Parquet (K1-K8, K4 protocol, R3 replay).
+"""Versioned filing tables on Parquet (K1-K9, K4 protocol, R3 replay).
 
-Both tables are append-only and partitioned by ``batch_id``.  A batch writes
-its chunks first and its filings rows last, each with dynamic partition
-overwrite of its own ``batch_id`` (a replayed batch replaces exactly itself).
+Layout under ``root`` (shared storage on a cluster)::
 
-Current view: per accession number the filing version with the greatest
-``(processed_at, batch_id)`` unless it is a tombstone; chunks are those whose
-``(accession_number, batch_id)`` equals that version.  A crash between the two
-writes leaves chunks nobody reaches.  ``compact`` rewrites the view as one batch.
+    _current/<n>                 one empty file per generation; the greatest n is read
+    g<n>/filings, filing_chunks  append-only, partitioned by run_id, batch_id
+    g<n>/postings, lengths       keyword index of the chunks, partitioned alike
+
+A writer owns a ``run_id`` (a stream keeps its own beside its checkpoint, other
+writers get a fresh one), so a batch replaces exactly its own partition when it
+is replayed and can never touch another run's.  A batch writes chunks and their
+postings first and the filings rows last; a crash between leaves chunks nobody reaches.
+
+Current view: per accession number the version with the greatest
+``(processed_at, batch_id, run_id)`` unless it is a tombstone; chunks and postings
+are those of that version.  Truncation and compaction write a new generation
+and then add its marker, so a failure leaves the old one in force.  They need a
+store without a running writer.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaf.operators import keyword
+
 FILINGS = "filings"
 CHUNKS = "filing_chunks"
+POSTINGS = "postings"
+LENGTHS = "lengths"
 TRUNCATABLE = (FILINGS, CHUNKS)
+VERSION = ["run_id", "batch_id"]
 
-FILINGS_DDL = ("accession_number string, ticker string, company_name string, form string, filing_date date, "
-               "document_url string, local_path string, downloaded_at timestamp, processed_at timestamp, "
-               "chunk_count int, deleted boolean, batch_id long")
-CHUNKS_DDL = ("accession_number string, chunk_index int, section string, content string, metadata string, "
-              "embedding array<float>, batch_id long")
+DDL = {
+    FILINGS: ("accession_number string, ticker string, company_name string, form string, filing_date date, "
+              "document_url string, local_path string, downloaded_at timestamp, processed_at timestamp, "
+              "chunk_count int, deleted boolean, run_id string, batch_id long"),
+    CHUNKS: ("accession_number string, chunk_index int, section string, content string, metadata string, "
+             "embedding array<float>, run_id string, batch_id long"),
+    POSTINGS: "term string, accession_number string, chunk_index int, tf int, dl int, run_id string, batch_id long",
+    LENGTHS: "accession_number string, chunk_index int, dl int, run_id string, batch_id long",
+}
 
 
 def current_filings(versions: DataFrame) -> DataFrame:
@@ -36,111 +53,172 @@ def current_filings(versions: DataFrame) -> DataFrame:
     folded map-side before the shuffle.
     """
     cols = [c for c in versions.columns if c != "accession_number"]
+    order = [c for c in ("processed_at", "batch_id", "run_id") if c in cols]
     latest = versions.groupBy("accession_number").agg(
-        F.max_by(F.struct(*cols), F.struct("processed_at", "batch_id")).alias("_v"))
+        F.max_by(F.struct(*cols), F.struct(*order)).alias("_v"))
     return latest.select("accession_number", "_v.*").filter(~F.coalesce(F.col("deleted"), F.lit(False)))
 
 
 def current_chunks(chunk_versions: DataFrame, filings_now: DataFrame) -> DataFrame:
-    """Chunks of the current filing versions (an equi-join on key and batch)."""
-    keys = filings_now.select("accession_number", "batch_id")
-    return chunk_versions.join(keys, ["accession_number", "batch_id"], "left_semi")
+    """Chunks (or postings) of the current filing versions: an equi-join on key and version."""
+    on = ["accession_number", *[c for c in VERSION if c in chunk_versions.columns and c in filings_now.columns]]
+    return chunk_versions.join(filings_now.select(*on), on, "left_semi")
 
 
 @dataclass
 class FilingStore:
-    """Path-based tables under ``root`` (shared storage on a cluster)."""
-
     spark: SparkSession
     root: str
-
-    def _path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
+    dim: int | None = None       # vectors of another length are refused (P18)
+
+    # --- generations ---------------------------------------------------------
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+    def generation(self) -> int | None:
+        fs, path = self._fs()
+        marks = path(f"{self.root.rstrip('/')}/_current")
+        if not fs.exists(marks):
+            return None
+        return max((int(s.getPath().getName()) for s in fs.listStatus(marks)), default=None)
+
+    def _path(self, table: str, generation: int | None = None) -> str:
+        return f"{self.root.rstrip('/')}/g{self.generation() if generation is None else generation}/{table}"
+
+    def _publish(self, tables: dict[str, DataFrame]) -> None:
+        """Write a whole generation, then put it in force; tables not given are empty."""
+        new = (self.generation() or 0) + 1
+        fs, path = self._fs()
+        fs.delete(path(f"{self.root.rstrip('/')}/g{new}"), True)        # what a failed attempt left
+        for table, ddl in DDL.items():
+            df = tables.get(table, self.spark.createDataFrame([], ddl))
+            self._shaped(df, table).write.mode("error").partitionBy(*VERSION).parquet(self._path(table, new))
+        fs.create(path(f"{self.root.rstrip('/')}/_current/{new}"), True).close()
 
     def create(self) -> None:
-        """K1: idempotent; an empty table is an empty folder with a schema."""
-        for table, ddl in ((FILINGS, FILINGS_DDL), (CHUNKS, CHUNKS_DDL)):
-            path = self._path(table)
-            if not _exists(self.spark, path):
-                self.spark.createDataFrame([], ddl).write.mode("overwrite").partitionBy("batch_id").parquet(path)
-
-    def _write(self, df: DataFrame, table: str, ddl: str) -> None:
-        cols = [c.split(" ", 1) for c in ddl.split(", ")]
-        df = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in cols])
+        """K1: idempotent."""
+        if self.generation() is None:
+            self._publish({})
+
+    # --- writing -------------------------------------------------------------
+    def _shaped(self, df: DataFrame, table: str) -> DataFrame:
+        cols = [c.split(" ", 1) for c in DDL[table].split(", ")]
+        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in cols])
+
+    def _write(self, df: DataFrame, table: str, run_id: str) -> None:
+        df = self._shaped(df.drop("run_id").withColumn("run_id", F.lit(run_id)), table)
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self._path(table)))
+         .partitionBy(*VERSION).parquet(self._path(table)))
+
+    def write_batch(self, filings: DataFrame, chunks: DataFrame, run_id: str | None = None) -> str:
+        """K2 + K3 + K4 + K9: chunks, their postings, then the filings rows (the commit).
 
-    def write_batch(self, filings: DataFrame, chunks: DataFrame) -> None:
-        """K2 + K3 + K4: chunks first, then the filings rows (the commit)."""
+        ``run_id``: the writer's own; a replay passes the same again.  Without one the
+        batch gets a fresh run.  Returns the run id.
+        """
         self.create()
-        self._write(chunks, CHUNKS, CHUNKS_DDL)
-        self._write(filings, FILINGS, FILINGS_DDL)
+        run_id = run_id or uuid.uuid4().hex
+        if self.dim is not None and "embedding" in chunks.columns:
+            right = F.col("embedding").isNull() | (F.size("embedding") == self.dim)
+            chunks = chunks.withColumn("embedding", F.when(right, F.col("embedding")).otherwise(F.raise_error(
+                F.format_string(f"vector of length %d, the store holds {self.dim}", F.size("embedding")))))
+        self._write(chunks, CHUNKS, run_id)
+        batches = [r["batch_id"] for r in filings.select("batch_id").distinct().collect()]      # one, as a rule
+        stored = self.chunk_versions().filter((F.col("run_id") == run_id) & F.col("batch_id").isin(batches))
+        self._write(keyword.postings_of(stored, VERSION), POSTINGS, run_id)
+        self._write(keyword.lengths_of(stored, VERSION), LENGTHS, run_id)
+        self._write(filings, FILINGS, run_id)
+        return run_id
+
+    def delete(self, accession_numbers: list[str]) -> str:
+        """K7: tombstones of a fresh run; the views drop the filings' chunks and postings."""
+        rows = self.spark.createDataFrame([(a,) for a in accession_numbers], "accession_number string")
+        self.create()
+        run_id = uuid.uuid4().hex
+        self._write(rows.select("accession_number", F.current_timestamp().alias("processed_at"), F.lit(0).alias("chunk_count"),
+                                F.lit(True).alias("deleted"), F.lit(0).cast("long").alias("batch_id")), FILINGS, run_id)
+        return run_id
 
-    def filing_versions(self) -> DataFrame:
+    # --- reading -------------------------------------------------------------
+    def _versions(self, table: str) -> DataFrame:
         self.create()
-        return self.spark.read.schema(FILINGS_DDL).parquet(self._path(FILINGS))
+        return self.spark.read.schema(DDL[table]).parquet(self._path(table))
+
+    def filing_versions(self) -> DataFrame:
+        return self._versions(FILINGS)
 
     def chunk_versions(self) -> DataFrame:
-        self.create()
-        return self.spark.read.schema(CHUNKS_DDL).parquet(self._path(CHUNKS))
+        return self._versions(CHUNKS)
 
-    def filings(self) -> DataFrame:
-        """The current ``filings`` view."""
-        return current_filings(self.filing_versions())
+    def filings(self, but: tuple[str, int] | None = None) -> DataFrame:
+        """The current ``filings`` view; ``but``: as if that (run_id, batch_id) had not been written."""
+        versions = self.filing_versions()
+        if but is not None:
+            versions = versions.filter((F.col("run_id") != but[0]) | (F.col("batch_id") != but[1]))
+        return current_filings(versions)
 
     def chunks(self) -> DataFrame:
         """The current ``filing_chunks`` view."""
         return current_chunks(self.chunk_versions(), self.filings())
 
-    def delete(self, accession_numbers: list[str], batch_id: int) -> None:
-        """K7: a tombstone version; chunks go with it (the view drops them)."""
-        rows = [(a,) for a in accession_numbers]
-        tomb = (self.spark.createDataFrame(rows, "accession_number string")
-                .select("accession_number", F.current_timestamp().alias("processed_at"),
-                        F.lit(0).alias("chunk_count"), F.lit(True).alias("deleted"),
-                        F.lit(batch_id).cast("long").alias("batch_id"), F.lit("").alias("ticker"),
-                        F.lit("").alias("local_path")))
-        self.create()
-        self._write(tomb, FILINGS, FILINGS_DDL)
+    def keyword_index(self) -> keyword.KeywordIndex:
+        """K9: the index of the current chunks, statistics included."""
+        now = self.filings()
+        return keyword.index_of(current_chunks(self._versions(POSTINGS), now).drop(*VERSION),
+                                current_chunks(self._versions(LENGTHS), now).drop(*VERSION))
+
+    def index_ready(self) -> bool:
+        """A5: exactly the current chunks are indexed (keys compared, not counts)."""
+        now = self.filings()
+        key = ["accession_number", "chunk_index"]
+        chunks = current_chunks(self.chunk_versions(), now).select(*key)
+        indexed = current_chunks(self._versions(LENGTHS), now).select(*key)
+        return chunks.join(indexed, key, "left_anti").isEmpty() and indexed.join(chunks, key, "left_anti").isEmpty()
+
+    # --- maintenance ---------------------------------------------------------
+    def _kept(self, *tables: str) -> dict[str, DataFrame]:
+        return {t: self._versions(t) for t in tables}
 
     def truncate(self, table: str) -> None:
         """K5: ``filings`` cascades to the chunks; other names are refused."""
         if table not in TRUNCATABLE:
             raise ValueError(f"unsupported table: {table}")
-        targets = (FILINGS, CHUNKS) if table == FILINGS else (CHUNKS,)
-        for t in targets:
-            ddl = FILINGS_DDL if t == FILINGS else CHUNKS_DDL
-            self.spark.createDataFrame([], ddl).write.mode("overwrite").partitionBy("batch_id").parquet(self._path(t))
+        self.create()
+        self._publish({} if table == FILINGS else self._kept(FILINGS))
 
     def truncate_search_index(self) -> None:
-        """K6: empties the chunks (vectors and keyword index source), keeps filings."""
+        """K6: empties the chunks, their vectors and the keyword index, keeps filings."""
         self.truncate(CHUNKS)
 
-    def compact(self, batch_id: int) -> None:
-        """Rewrite the current view as one batch (old versions dropped).
-
-        The view is first written as a new batch beside the old ones, then the
-        tables are rewritten from it, so a failure leaves a readable state.
-        """
-        f = self.filings().withColumn("batch_id", F.lit(batch_id).cast("long"))
-        c = self.chunks().withColumn("batch_id", F.lit(batch_id).cast("long"))
-        stage = f"{self.root.rstrip('/')}/_compact_{batch_id}"
-        f.write.mode("overwrite").parquet(f"{stage}/{FILINGS}")
-        c.write.mode("overwrite").parquet(f"{stage}/{CHUNKS}")
-        fs = self.spark.read.parquet(f"{stage}/{FILINGS}")
-        cs = self.spark.read.parquet(f"{stage}/{CHUNKS}")
-        self.truncate(FILINGS)
-        self.write_batch(fs, cs)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
+    def change_dimension(self, dim: int) -> None:
+        """K8: stored vectors go (they cannot be converted), chunks stay to be embedded again."""
+        self.create()
+        kept = self._kept(FILINGS, CHUNKS, POSTINGS, LENGTHS)
+        self._publish(kept | {CHUNKS: kept[CHUNKS].withColumn("embedding", F.lit(None).cast("array<float>"))})
+        self.dim = dim
+
+    def compact(self) -> None:
+        """Rewrite the current view as a generation without old versions and tombstones."""
+        now = self.filings()
+        views = {t: current_chunks(self._versions(t), now) for t in (CHUNKS, POSTINGS, LENGTHS)}
+        self._publish({FILINGS: now} | views)
+
+    def vacuum(self) -> None:
+        """Remove generations before the current one (no reader may be using them)."""
+        fs, path = self._fs()
+        for n in range(1, self.generation() or 1):
+            fs.delete(path(f"{self.root.rstrip('/')}/g{n}"), True)
+            fs.delete(path(f"{self.root.rstrip('/')}/_current/{n}"), False)
+
+
+def run_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The run id that belongs to a stream's checkpoint: made once, kept in a file beside its
+    logs, so a new checkpoint is a new run."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
-def default_root(spark: SparkSession) -> str:
-    """Tables beside the shared checkpoint folder unless told otherwise."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.getcwd()
-    return f"{base.rstrip('/')}/sheaf-tables"
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/sheaf-run")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path) or not fs.listStatus(path):
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path, uuid.uuid4().hex))
+    return sorted(s.getPath().getName() for s in fs.listStatus(path))[0]

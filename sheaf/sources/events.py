@@ -17,6 +17,9 @@ from sheaf.config import EVENT_TYPE, MANIFEST_DOCUMENT_URL, MANIFEST_DOWNLOADED_
 EVENT_FIELDS = ("event_type", "schema_version", "ticker", "company_name", "filing_date", "form",
                 "accession_number", "local_path", "document_url", "downloaded_at")
 
+# fields that must be JSON strings
+TEXT_FIELDS = ("ticker", "company_name", "form", "accession_number", "local_path", "document_url")
+
 RAW_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in EVENT_FIELDS])
 
 EVENT_SCHEMA = T.StructType([
@@ -36,11 +39,15 @@ TYPED_COLUMNS = [f.name for f in EVENT_SCHEMA.fields]
 
 
 def decode_events(df: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """JSON text (or UTF-8 bytes) -> raw string fields + ``_is_object``."""
+    """JSON text (or UTF-8 bytes) -> raw string fields + ``_is_object`` +
+    ``_not_text`` (text fields that hold another JSON type than a string)."""
     keep = list(keep or [c for c in df.columns if c != value_col])
     txt = F.col(value_col).cast("string")
+    kind = lambda f: F.schema_of_variant(F.try_variant_get(F.try_parse_json(txt), f"$.{f}", "variant"))
+    other = F.array(*[F.when(~kind(f).isin("STRING", "VOID"), F.lit(f)) for f in TEXT_FIELDS])
     return df.select(*keep, F.json_object_keys(txt).isNotNull().alias("_is_object"),
-                     F.from_json(txt, RAW_SCHEMA).alias("_e")).select(*keep, "_is_object", "_e.*")
+                     F.filter(other, lambda x: x.isNotNull()).alias("_not_text"),
+                     F.from_json(txt, RAW_SCHEMA).alias("_e")).select(*keep, "_is_object", "_not_text", "_e.*")
 
 
 def validate(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -50,8 +57,9 @@ def validate(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     ``filing.downloaded``; ``schema_version`` an integer; ``filing_date`` a date
     (yyyy-MM-dd); ``downloaded_at`` an ISO timestamp.  Extra fields are ignored.
     """
-    keep = list(keep or [c for c in raw.columns if c not in EVENT_FIELDS and c != "_is_object"])
+    keep = list(keep or [c for c in raw.columns if c not in EVENT_FIELDS and c not in ("_is_object", "_not_text")])
     is_obj = F.col("_is_object") if "_is_object" in raw.columns else F.lit(True)
+    not_text = F.col("_not_text") if "_not_text" in raw.columns else F.array().cast("array<string>")
     missing = F.filter(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in EVENT_FIELDS]),
                        lambda x: x.isNotNull())
     version = F.expr("try_cast(schema_version AS INT)")
@@ -59,6 +67,7 @@ def validate(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     dts = F.expr("try_to_timestamp(CAST(downloaded_at AS STRING))")
     reason = (F.when(~is_obj, F.lit("malformed json"))
               .when(F.size(missing) > 0, F.concat(F.lit("missing field: "), F.array_join(missing, ", ")))
+              .when(F.size(not_text) > 0, F.concat(F.lit("not a text field: "), F.array_join(not_text, ", ")))
               .when(F.col("event_type") != EVENT_TYPE, F.concat(F.lit("unsupported event_type: "), F.col("event_type")))
               .when(version.isNull(), F.lit("invalid schema_version"))
               .when(fdate.isNull(), F.lit("invalid filing_date"))

@@ -2,9 +2,11 @@
 
 A stream of event values (Kafka ``value`` or lines of JSON files) feeds
 ``foreachBatch``: each micro-batch is decoded, enriched, processed and written
-as one store batch whose id is the micro-batch id.  Offsets are committed in
-the checkpoint only after ``foreachBatch`` returns, and a replayed micro-batch
-overwrites its own ``batch_id`` partitions, so redelivery is idempotent.
+as one store batch, keyed by the run that belongs to the checkpoint and the
+micro-batch id.  Offsets are committed in the checkpoint only after
+``foreachBatch`` returns.  A replayed micro-batch is judged as if it had not been
+written and replaces its own partitions, outcomes included; a new checkpoint is a
+new run and touches nothing that is stored.
 Bad records become ``failed`` outcomes; the stream goes on.
 """
 
@@ -16,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sheaf.config import Settings
 from sheaf.plans.ingest import ingest
-from sheaf.plans.store import FilingStore
+from sheaf.plans.store import FilingStore, run_id_of
+from sheaf.session import ensure_checkpoint_dir
 from sheaf.sources.events import enrich, parse_events
 
 START_POSITIONS = ("earliest", "latest", "committed")
@@ -50,20 +53,21 @@ def file_events(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.load(path).select("value")
 
 
-def process_batch(batch: DataFrame, batch_id: int, store: FilingStore, documents: DataFrame,
+def process_batch(batch: DataFrame, batch_id: int, store: FilingStore, documents: DataFrame, run_id: str,
                   metadata: DataFrame | None = None, settings: Settings = Settings(),
                   skip_if_processed: bool = True, base_dir: str | None = None, encoder=None) -> None:
-    """One micro-batch: decode -> enrich -> ingest -> chunks, filings, outcomes."""
+    """One micro-batch: decode -> enrich -> ingest -> chunks, index, filings, outcomes."""
+    ensure_checkpoint_dir(batch.sparkSession)
     if "event_no" not in batch.columns:    # file source: arrival order inside the batch
         batch = batch.withColumn("event_no", F.monotonically_increasing_id())
     events = parse_events(batch.select("value", "event_no"), "value", ["event_no"])
     if metadata is not None:
         events = enrich(events, metadata).drop("enriched")
-    res = ingest(events, documents, settings, batch_id=batch_id, current_filings=store.filings(),
+    res = ingest(events, documents, settings, batch_id=batch_id, current_filings=store.filings(but=(run_id, batch_id)),
                  skip_if_processed=skip_if_processed, base_dir=base_dir, encoder=encoder, materialize=True)
-    store.write_batch(res.filings, res.chunks)
-    (res.outcomes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(f"{store.root.rstrip('/')}/outcomes"))
+    store.write_batch(res.filings, res.chunks, run_id)
+    (res.outcomes.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id", "batch_id").parquet(f"{store.root.rstrip('/')}/outcomes"))
 
 
 def start(events: DataFrame, store: FilingStore, documents: DataFrame, checkpoint: str,
@@ -73,10 +77,11 @@ def start(events: DataFrame, store: FilingStore, documents: DataFrame, checkpoin
     """Start the ingest stream (R6: an already running query with the same
     name is an error)."""
     spark = events.sparkSession
+    run_id = run_id_of(spark, checkpoint)
     if name and any(q.name == name for q in spark.streams.active):
         raise RuntimeError(f"stream {name} is already running")
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, bid: process_batch(df, bid, store, documents, metadata, settings, skip_if_processed,
+        lambda df, bid: process_batch(df, bid, store, documents, run_id, metadata, settings, skip_if_processed,
                                       base_dir, encoder))
     if name:
         writer = writer.queryName(name)
