@@ -11,11 +11,11 @@ from sheaf.plans.store import FilingStore
 from sheaf.sources.events import enrich, from_manifest, metadata_for_ticker, parse_events, typed_rows
 from sheaf.streaming import ingest_stream
 
-EVENT = {"event_type": "filing.downloaded", "schema_version": 1, "ticker": "AEE", "company_name": "AMEREN CORP",
-         "filing_date": "2026-05-14", "form": "10-K", "accession_number": "0001104659-26-063184",
-         "local_path": "/data/a.htm", "document_url": "https://example.com/a.htm",
-         "downloaded_at": "2026-06-16T17:28:23.652799Z"}
-PAGE = "<html><body><p>ITEM 1. Business</p><p>We sell power. " + "More words here. " * 10 + "</p></body></html>"
+EVENT = {"event_type": "filing.downloaded", "schema_version": 1, "ticker": "QRY", "company_name": "QUARRY STONE PLC",
+         "filing_date": "2019-02-07", "form": "10-K", "accession_number": "0000900017-19-000042",
+         "local_path": "/data/a.htm", "document_url": "https://filings.invalid/q/a.htm",
+         "downloaded_at": "2019-02-08T06:05:04.030201Z"}
+PAGE = "<html><body><p>ITEM 1. Quarries</p><p>We cut stone. " + "Slabs and blocks. " * 10 + "</p></body></html>"
 
 
 def _events(spark, values):
@@ -36,7 +36,7 @@ def test_decode_and_validate(spark):
 
 
 def test_manifest_defaults(spark):
-    m = spark.createDataFrame([("AEE", "A", "10-K", "x-1", "2026-05-14", "/data/a.htm")],
+    m = spark.createDataFrame([("QRY", "Q", "10-K", "z-1", "2019-02-07", "/data/a.htm")],
                               "ticker string, company_name string, form string, accession_number string, "
                               "filing_date string, local_path string")
     r = from_manifest(m).first()
@@ -46,28 +46,28 @@ def test_manifest_defaults(spark):
 def test_enrich_replaces_whole_row_and_list_by_ticker(spark):
     ev = parse_events(_events(spark, [json.dumps(EVENT), json.dumps(dict(EVENT, accession_number="other"))]),
                       "value", ["event_no"])
-    meta = spark.createDataFrame([("0001104659-26-063184", "AEE", "Ameren", "10-Q", "2026-05-15", "/data/m.htm",
-                                   None, "2026-06-16T00:00:00Z", "x")],
+    meta = spark.createDataFrame([("0000900017-19-000042", "QRY", "Quarry", "10-Q", "2019-02-09", "/data/m.htm",
+                                   None, "2019-02-10T00:00:00Z", "x")],
                                  "accession_number string, ticker string, company_name string, form string, "
                                  "filing_date string, local_path string, document_url string, downloaded_at string, "
                                  "_id string")
     out = {r.accession_number: r for r in enrich(ev, meta).collect()}
-    hit = out["0001104659-26-063184"]
+    hit = out["0000900017-19-000042"]
     assert hit.enriched and hit.form == "10-Q" and not hit.valid and hit.reject_reason == "missing field: document_url"
     assert out["other"].valid and not out["other"].enriched
-    assert metadata_for_ticker(meta, "aee", ["10-q"]).count() == 1
-    assert metadata_for_ticker(meta, "aee", ["10-k"]).count() == 0
-    assert metadata_for_ticker(meta, "aee", []).count() == 1
+    assert metadata_for_ticker(meta, "qry", ["10-q"]).count() == 1
+    assert metadata_for_ticker(meta, "qry", ["10-k"]).count() == 0
+    assert metadata_for_ticker(meta, "qry", []).count() == 1
 
 
 def test_ingest_duplicates_and_report(spark):
     docs = spark.createDataFrame([("/data/a.htm", PAGE), ("/data/b.htm", "<html><body></body></html>")],
                                  "path string, html string")
-    vals = [json.dumps(EVENT), json.dumps(dict(EVENT, company_name="second copy")),
-            json.dumps(dict(EVENT, accession_number="x-8k", form="8-K")),
-            json.dumps(dict(EVENT, accession_number="x-empty", local_path="/data/b.htm")),
-            json.dumps(dict(EVENT, accession_number="x-out", local_path="/data/../etc/passwd")),
-            json.dumps(dict(EVENT, accession_number="x-miss", local_path="/data/none.htm"))]
+    vals = [json.dumps(EVENT), json.dumps(dict(EVENT, company_name="the later one")),
+            json.dumps(dict(EVENT, accession_number="z-8k", form="8-K")),
+            json.dumps(dict(EVENT, accession_number="z-empty", local_path="/data/b.htm")),
+            json.dumps(dict(EVENT, accession_number="z-out", local_path="/data/../etc/passwd")),
+            json.dumps(dict(EVENT, accession_number="z-miss", local_path="/data/none.htm"))]
     ev = parse_events(_events(spark, vals), "value", ["event_no"])
     res = ingest(ev, docs, base_dir="/data")
     got = {r.event_no: (r.status, r.reason) for r in res.outcomes.collect()}
@@ -76,9 +76,9 @@ def test_ingest_duplicates_and_report(spark):
     assert got[3] == ("failed", "no extractable text")
     assert got[4] == ("failed", "outside data folder")
     assert got[5] == ("failed", "file not found")
-    assert res.filings.first().company_name == "AMEREN CORP"
+    assert res.filings.first().company_name == "QUARRY STONE PLC"
     forced = ingest(ev, docs, base_dir="/data", skip_if_processed=False)
-    assert forced.filings.first().company_name == "second copy"
+    assert forced.filings.first().company_name == "the later one"
     rep = load_report(forced.outcomes).first()
     assert (rep.found, rep.processed, rep.skipped, rep.failed) == (6, 2, 1, 3)
     assert len(rep.errors) == 3 and rep.total_chunks > 0
@@ -86,6 +86,32 @@ def test_ingest_duplicates_and_report(spark):
     assert len(capped.errors) == 2
 
 
+def _value(spark, *events):
+    return spark.createDataFrame([(k, json.dumps(e)) for k, e in enumerate(events)], "event_no long, value string")
+
+
+def test_numbers_and_booleans_are_no_text(spark):
+    rows = parse_events(_value(spark, dict(EVENT, ticker=123), dict(EVENT, form=True), dict(EVENT, company_name=None), EVENT), "value", ["event_no"])
+    got = {r.event_no: (r.valid, r.reject_reason) for r in rows.collect()}
+    assert got == {0: (False, "not a text field: ticker"), 1: (False, "not a text field: form"),
+                   2: (False, "missing field: company_name"), 3: (True, None)}
+
+
+def test_a_replayed_micro_batch_gives_the_same_outcomes(spark):
+    root = tempfile.mkdtemp(prefix="sheaf-replay-")
+    store = FilingStore(spark, os.path.join(root, "tables"))
+    docs = spark.createDataFrame([("/data/a.htm", PAGE)], "path string, html string")
+    batch = _value(spark, EVENT, dict(EVENT, accession_number="z-2"))
+    outcomes = lambda: sorted((r.run_id, r.event_no, r.status) for r in spark.read.parquet(f"{root}/tables/outcomes").collect())
+    for _ in range(2):
+        ingest_stream.process_batch(batch, 0, store, docs, "run a")
+        assert outcomes() == [("run a", 0, "loaded"), ("run a", 1, "loaded")]
+    # a new checkpoint starts again at batch 0: another run, nothing is erased
+    ingest_stream.process_batch(_value(spark, EVENT, dict(EVENT, accession_number="z-3")), 0, store, docs, "run b")
+    assert store.filings().count() == 3 and store.index_ready()
+    assert outcomes()[2:] == [("run b", 0, "skipped"), ("run b", 1, "loaded")]
+
+
 def test_stream_replay_is_idempotent(spark):
     root = tempfile.mkdtemp(prefix="sheaf-stream-")
     src = os.path.join(root, "in")

@@ -13,17 +13,17 @@ from sheaf.operators.embed import BatchEncoder, HashingEncoder, embed, get_encod
 from sheaf.plans import quality, search
 from sheaf.plans.store import FilingStore
 
-CHUNK = "Revenue increased twelve percent year over year."
+CHUNK = "Orders for river pumps grew by a fifth while freight costs fell."
 
 
 def _batch(spark, acc, content, batch_id, ts):
     f = spark.createDataFrame(
-        [(acc, "TST", "Test Co", "10-K", dt.date(2025, 12, 31), "https://example.com", "/tmp/test.htm",
-          dt.datetime(2025, 1, 1), ts, 1, False, batch_id)],
+        [(acc, "RVP", "River Pumps Ltd", "10-Q", dt.date(2021, 3, 9), "https://filings.invalid/rvp", "/data/rvp.htm",
+          dt.datetime(2021, 3, 10), ts, 1, False, batch_id)],
         "accession_number string, ticker string, company_name string, form string, filing_date date, "
         "document_url string, local_path string, downloaded_at timestamp, processed_at timestamp, chunk_count int, "
         "deleted boolean, batch_id long")
-    c = (f.select("accession_number", F.lit(0).alias("chunk_index"), F.lit("Item 7").alias("section"),
+    c = (f.select("accession_number", F.lit(0).alias("chunk_index"), F.lit("Item 2").alias("section"),
                   F.lit(content).alias("content"), "ticker", "company_name", "form", "filing_date",
                   "local_path", "document_url", "batch_id")
          .withColumn("metadata", metadata_json("section")))
@@ -31,36 +31,120 @@ def _batch(spark, acc, content, batch_id, ts):
     return f, c
 
 
+def _store(spark, **kw):
+    return FilingStore(spark, tempfile.mkdtemp(prefix="sheaf-store-"), **kw)
+
+
+def _accessions(df):
+    return sorted(r["accession_number"] for r in df.select("accession_number").collect())
+
+
 def test_store_upsert_search_delete(spark):
-    store = FilingStore(spark, tempfile.mkdtemp(prefix="sheaf-store-"))
+    store = _store(spark)
     store.create()
-    f, c = _batch(spark, "bm25-acc", "Old text about nothing.", 1, dt.datetime(2025, 1, 2))
-    store.write_batch(f, c)
-    f, c = _batch(spark, "bm25-acc", CHUNK, 2, dt.datetime(2025, 1, 3))
-    store.write_batch(f, c)
-    store.write_batch(f, c)                     # replay of batch 2: idempotent
+    store.write_batch(*_batch(spark, "rvp-1", "An earlier wording.", 1, dt.datetime(2021, 4, 2)), "run")
+    for _ in range(2):                          # the replay of batch 2 replaces itself
+        store.write_batch(*_batch(spark, "rvp-1", CHUNK, 2, dt.datetime(2021, 4, 3)), "run")
+    assert store.filing_versions().count() == 2
     chunks = store.chunks()
     assert [r.content for r in chunks.collect()] == [CHUNK]
     assert quality.duplicate_keys(chunks, ["accession_number", "chunk_index"]).count() == 0
     assert quality.orphan_chunks(chunks, store.filings()).count() == 0
     assert quality.chunk_count_mismatch(store.filings(), chunks).count() == 0
-    index = keyword.build_index(chunks)
-    res = keyword.keyword_search(index, chunks, store.filings(), "revenue growth", 5).collect()
-    assert any(r.accession_number == "bm25-acc" for r in res)
-    assert keyword.keyword_search(index, chunks, store.filings(), "revenue growth", 5, match_all=True).count() == 0
-    assert keyword.keyword_search(index, chunks, store.filings(), "revenue", 5, ticker="tst", form="10-k").count() == 1
-    assert keyword.keyword_search(index, chunks, store.filings(), "revenue", 5, form="10-Q").count() == 0
-    st = search.stats(store.filings(), chunks, True).first()
+    index = store.keyword_index()               # kept by the writes, nothing is rebuilt
+    find = lambda q, **kw: keyword.keyword_search(index, chunks, store.filings(), q, 5, **kw)
+    assert _accessions(find("pumps wording")) == ["rvp-1"]
+    assert find("pumps wording", match_all=True).count() == 0
+    assert find("freight", ticker="rvp", form="10-q").count() == 1 and find("freight", form="10-K").count() == 0
+    st = search.stats(store.filings(), chunks, store.index_ready()).first()
     assert (st.filing_count, st.chunk_count, st.bm25_ready) == (1, 1, True)
-    text = search.render(keyword.keyword_search(index, chunks, store.filings(), "revenue", 5)).first().text
-    assert text.startswith("[1] TST 10-K (bm25-acc, chunk 0) rank=") and text.endswith(CHUNK)
-    assert "| Item 7" in text
-    store.delete(["bm25-acc"], 3)
+    text = search.render(find("freight")).first().text
+    assert text.startswith("[1] RVP 10-Q (rvp-1, chunk 0) rank=") and text.endswith(CHUNK) and "| Item 2" in text
+    store.delete(["rvp-1"])
     assert store.filings().count() == 0 and store.chunks().count() == 0
     with pytest.raises(ValueError):
         store.truncate("other")
-    store.truncate("filings")
-    assert store.filing_versions().count() == 0 and store.chunk_versions().count() == 0
+
+
+def test_another_run_with_the_same_batch_number_erases_nothing(spark):
+    store = _store(spark)
+    ts = dt.datetime(2021, 4, 2)
+    store.write_batch(*_batch(spark, "a", "one", 0, ts), "first run")
+    store.write_batch(*_batch(spark, "b", "two", 0, ts), "second run")
+    store.write_batch(*_batch(spark, "c", "three", 0, ts))
+    assert _accessions(store.filings()) == ["a", "b", "c"]
+    store.delete(["b"])
+    assert _accessions(store.filings()) == ["a", "c"] == _accessions(store.chunks())
+    assert _accessions(store.keyword_index().postings) == ["a", "c"] and store.index_ready()
+
+
+def test_a_crash_between_chunks_and_filings_shows_nothing(spark, monkeypatch):
+    store = _store(spark)
+    store.write_batch(*_batch(spark, "a", "one", 0, dt.datetime(2021, 4, 2)), "run")
+    real = FilingStore._write
+
+    def broken(self, df, table, run_id):
+        if table == "filings":
+            raise RuntimeError("lost")
+        real(self, df, table, run_id)
+    monkeypatch.setattr(FilingStore, "_write", broken)
+    with pytest.raises(RuntimeError):
+        store.write_batch(*_batch(spark, "a", "newer", 1, dt.datetime(2021, 4, 3)), "run")
+    monkeypatch.undo()
+    assert [r.content for r in store.chunks().collect()] == ["one"] and store.index_ready()
+
+
+def test_compaction_and_truncation_switch_generations(spark, monkeypatch):
+    store = _store(spark)
+    for k, acc in enumerate(["a", "b", "a"]):
+        store.write_batch(*_batch(spark, acc, f"text {k}", k, dt.datetime(2021, 4, 2 + k)), "run")
+    store.delete(["b"])
+    real = FilingStore._path
+    monkeypatch.setattr(FilingStore, "_path", lambda self, t, g=None: "nofs://x" if g and t == "lengths" else real(self, t, g))
+    with pytest.raises(Exception):
+        store.compact()
+    monkeypatch.undo()
+    assert [r.content for r in store.chunks().collect()] == ["text 2"]          # the old generation stays in force
+    store.compact()
+    store.vacuum()
+    assert store.filing_versions().count() == 1 == store.chunk_versions().count() and store.index_ready()
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        store.truncate_search_index()
+        assert store.chunk_versions().count() == 0 == store.keyword_index().postings.count() and _accessions(store.filings()) == ["a"]
+        store.truncate("filings")
+        assert store.filing_versions().count() == 0
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_vectors_of_another_length_are_refused_until_the_dimension_changes(spark):
+    store = _store(spark, dim=64)
+    store.write_batch(*_batch(spark, "a", "one", 0, dt.datetime(2021, 4, 2)))
+    store.change_dimension(32)
+    assert [(r.content, r.embedding) for r in store.chunks().collect()] == [("one", None)]
+    with pytest.raises(Exception, match="vector of length 64"):
+        store.write_batch(*_batch(spark, "b", "two", 0, dt.datetime(2021, 4, 3)))
+
+
+def test_index_is_ready_only_for_exactly_the_current_chunks(spark):
+    chunks = spark.createDataFrame([("a", 0, "words here"), ("a", 1, "* * *")], "accession_number string, chunk_index int, content string")
+    lengths = keyword.lengths_of(chunks)
+    assert quality.index_ready(lengths, chunks) and not quality.index_ready(None, chunks)
+    assert not quality.index_ready(lengths.filter("chunk_index = 0"), chunks)
+    assert not quality.index_ready(lengths, chunks.withColumn("accession_number", F.lit("b")))
+
+
+def test_a_stored_index_knows_its_buckets_and_skips_deleted_chunks(spark):
+    rows = [(f"f{k}", 0, "pump " * (k + 1) + "valve", "{}") for k in range(6)]
+    chunks = spark.createDataFrame(rows, "accession_number string, chunk_index int, content string, metadata string")
+    filings = chunks.select("accession_number")
+    path = tempfile.mkdtemp(prefix="sheaf-idx-")
+    keyword.write_index(keyword.build_index(chunks, buckets=7), path)
+    index = keyword.read_index(spark, path)
+    assert index.buckets == 7 and keyword.keyword_search(index, chunks, filings, "pump", 5).count() == 5
+    left = chunks.filter("accession_number NOT IN ('f5', 'f4')")
+    assert keyword.keyword_search(index, left, filings, "pump", 3).count() == 3
 
 
 def test_request_rules_and_similarity(spark):
