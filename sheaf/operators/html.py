@@ -1,219 +1,73 @@
-"""Text from filing HTML as a token relation.
+"""Text from filing HTML (X1-X9, W5), one map-only step.
 
-A page becomes rows ``(key, pos, tok)`` (tags, text runs) via
-``regexp_extract_all`` + ``posexplode``.  Element structure is recovered with
-windows over a document's tokens: running depth per tag name finds where a
-hidden ``div``/``span`` closes, running counters number tables, rows, cells
-and blocks.  Ordered aggregates rebuild the text.  Every window and aggregate
-is keyed by the document first, so after the one shuffle by document the later
-steps reuse that partitioning.
+Each page is walked by ``functions.htmltext`` in the task that reads it: Arrow
+batches in, text out.  No shuffle, no window and no join; a page is bounded by its file.
 
 Rules (the original's parser behaviour, restated):
 
 * script/style elements are removed with their content;
-* a ``div``/``span`` whose style says ``display: none`` is removed with its
-  subtree (unclosed: to the end of the document); ``ix:*`` tags are dropped,
-  their text kept;
+* a ``div``/``span`` whose style says ``display: none`` is removed with its subtree;
+  unclosed, it ends with the element around it; ``ix:*`` tags are dropped, their text kept;
 * tables come first: per row the non-empty cells joined by " | ", rows joined
   by newlines; table text never appears again in blocks;
 * blocks are ``p``, ``h1``-``h4``, ``li``: their text runs, each stripped,
-  joined by one space; any block start or end tag ends the current block
-  (so an unclosed ``<p>`` ends at the next one); nested blocks give their text
-  once, at the innermost block;
+  joined by one space; nested blocks and tables give their text once, at the
+  innermost element, and the outer one goes on after them;
 * when neither gives text, all body text runs joined by newlines;
 * every piece goes through X8 (references decoded a second time, NBSP to space,
-  runs of blanks squeezed, stripped); pieces are joined by a blank line.
+  runs of blanks squeezed, stripped); pieces are joined by a blank line;
+* a page that starts with ``<?xml`` is read as XML: ``/>`` closes any element,
+  CDATA is text, nothing is closed by rule.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from sheaf.functions.entities import html_unescape, normalize_text
-from sheaf.functions.text import py_strip
-
-# --- fixed values -------------------------------------------------------------
-TOKEN_PATTERN = r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>|<[!?][^>]*>|[^<]+|<"
-SCRIPT_PATTERN = r"(?is)<script\b[^>]*>.*?(?:</script\s*>|$)"
-STYLE_PATTERN = r"(?is)<style\b[^>]*>.*?(?:</style\s*>|$)"
-STYLE_ATTR_PATTERN = r"""(?is)\sstyle\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""
-HIDDEN_STYLE_PATTERN = r"(?i)display\s*:\s*none"
-BLOCK_TAGS = ("p", "h1", "h2", "h3", "h4", "li")
-CELL_TAGS = ("td", "th")
-HIDING_TAGS = ("div", "span")
-# ------------------------------------------------------------------------------
-
-_END = 1 << 62
-
-
-def _run(key: str) -> Window:
-    return Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def ordered_join(order: Column | list, value: str, sep: str) -> Column:
-    """Values joined in ``order`` (ties impossible: order is a key)."""
-    keys = order if isinstance(order, list) else [order]
-    s = F.struct(*[k.alias(f"_o{i}") for i, k in enumerate(keys)], F.col(value).alias("_v"))
-    return F.array_join(F.transform(F.array_sort(F.collect_list(s)), lambda x: x["_v"]), sep)
-
-
-def tokenize(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:
-    """``key, pos, tok, is_tag, is_close, name, is_text``.
-
-    Script and style elements become empty elements first, so text on both
-    sides stays two separate runs, as after the parser removes them.
-    """
-    pre = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), SCRIPT_PATTERN,
-                                            "<script></script>"), STYLE_PATTERN, "<style></style>")
-    toks = docs.select(key, F.posexplode(F.regexp_extract_all(pre, F.lit(TOKEN_PATTERN), 0)).alias("pos", "tok"))
-    toks = toks.filter(~(F.col("tok").startswith("<!") | F.col("tok").startswith("<?")))
-    is_tag = F.col("tok").rlike("^</?[A-Za-z]")
-    return toks.select(
-        key, "pos", "tok", is_tag.alias("is_tag"),
-        (is_tag & F.col("tok").startswith("</")).alias("is_close"),
-        F.when(is_tag, F.lower(F.regexp_extract("tok", r"^</?([^\s/>]+)", 1))).alias("name"),
-        (~is_tag).alias("is_text"),
-    )
-
-
-def _style_hidden(tok: Column) -> Column:
-    val = F.concat(F.regexp_extract(tok, STYLE_ATTR_PATTERN, 1), F.regexp_extract(tok, STYLE_ATTR_PATTERN, 2),
-                   F.regexp_extract(tok, STYLE_ATTR_PATTERN, 3))
-    return val.rlike(HIDDEN_STYLE_PATTERN)
-
-
-def drop_hidden(toks: DataFrame, key: str = "accession_number") -> DataFrame:
-    """Remove hidden subtrees, then the ix:* and script/style tags.
-
-    For each div/span the depth after the token (per tag name) gives its level;
-    the matching close of an open at level L is the next close whose depth
-    before it was L.  A token is hidden when the furthest end among hidden
-    opens seen so far reaches it.
-    """
-    hiding = F.col("is_tag") & F.col("name").isin(*HIDING_TAGS)
-    depth_w = (Window.partitionBy(key, "name").orderBy("pos")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    t = toks.withColumn(
-        "_depth", F.when(hiding, F.sum(F.when(hiding, F.when(F.col("is_close"), -1).otherwise(1))).over(depth_w)))
-    t = t.withColumn("_level", F.when(F.col("is_close"), F.col("_depth") + 1).otherwise(F.col("_depth")))
-    t = t.withColumn("_hidden_open", hiding & ~F.col("is_close") & _style_hidden(F.col("tok")))
-    close_w = Window.partitionBy(key, "name", "_level").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
-    t = t.withColumn("_end", F.when(
-        F.col("_hidden_open"),
-        F.coalesce(F.first(F.when(F.col("is_close"), F.col("pos")), ignorenulls=True).over(close_w),
-                   F.lit(_END))))
-    t = t.withColumn("_reach", F.max("_end").over(_run(key)))
-    kept = t.filter(F.col("_reach").isNull() | (F.col("_reach") < F.col("pos")))
-    kept = kept.filter(~(F.col("is_tag") & (F.col("name").startswith("ix:") | F.col("name").isin("script", "style"))))
-    return kept.select(*toks.columns)
-
-
-def structure(toks: DataFrame, key: str = "accession_number") -> DataFrame:
-    """Running table/row/cell/block state per token (X5, X6, X7 inputs)."""
-    r = _run(key)
-    tag = F.col("is_tag")
-    opening = tag & ~F.col("is_close")
-    name = F.col("name")
-    is_table = tag & (name == "table")
-    t = toks.withColumn("_tdepth", F.sum(F.when(is_table, F.when(F.col("is_close"), -1).otherwise(1)).otherwise(0)).over(r))
-    t = t.withColumn("table_no", F.sum(F.when(opening & (name == "table"), 1).otherwise(0)).over(r))
-    t = t.withColumn("row_no", F.sum(F.when(opening & (name == "tr"), 1).otherwise(0)).over(r))
-    t = t.withColumn("cell_no", F.sum(F.when(opening & name.isin(*CELL_TAGS), 1).otherwise(0)).over(r))
-    cell_ev = F.when(tag & name.isin(*CELL_TAGS, "tr", "table"),
-                     F.when(opening & name.isin(*CELL_TAGS), 1).otherwise(0))
-    t = t.withColumn("_in_cell", F.last(cell_ev, ignorenulls=True).over(r) == 1)
-    blk_ev = F.when(tag & name.isin(*BLOCK_TAGS), F.when(F.col("is_close"), 0).otherwise(1))
-    t = t.withColumn("_in_block", F.last(blk_ev, ignorenulls=True).over(r) == 1)
-    t = t.withColumn("block_no", F.sum(F.when(opening & name.isin(*BLOCK_TAGS), 1).otherwise(0)).over(r))
-    body_open = F.when(opening & (name == "body"), 1).otherwise(0)
-    t = t.withColumn("_body_seen", F.sum(body_open).over(r))
-    t = t.withColumn("_has_body", F.max(body_open).over(Window.partitionBy(key)))
-    in_body = (F.col("_body_seen") > 0) | (F.col("_has_body") == 0)
-    in_table = F.col("_tdepth") > 0
-    return t.select(
-        key, "pos", "tok", "is_text", "table_no", "row_no", "cell_no", "block_no",
-        (in_body & in_table & F.coalesce(F.col("_in_cell"), F.lit(False))).alias("in_cell"),
-        (in_body & ~in_table & F.coalesce(F.col("_in_block"), F.lit(False))).alias("in_block"),
-        (in_body & ~in_table).alias("in_body_text"),
-    )
-
-
-def text_runs(st: DataFrame) -> DataFrame:
-    """Text tokens decoded once (the parser's decoding) and stripped; blanks dropped."""
-    s = py_strip(html_unescape(F.col("tok")))
-    return st.filter("is_text").withColumn("s", s).filter(F.col("s") != "")
-
-
-CELL, BLOCK, BODY = 0, 1, 2
-
-
-def unit_texts(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:
-    """Normalised text per unit: ``key, kind, u1, u2, u3, txt``.
-
-    kind CELL: (table_no, row_no, cell_no); BLOCK: (block_no, 0, 0); BODY: the
-    whole body outside tables, runs joined by newlines (the X7 fallback).  One
-    text run feeds at most two units, so the windows run once.
-    """
-    from sheaf.plans.layout import by_key
-
-    runs = text_runs(structure(drop_hidden(tokenize(by_key(docs, key), key, html_col), key), key))
-    zero = F.lit(0)
-    units = F.filter(F.array(
-        F.when(F.col("in_cell"), F.struct(F.lit(CELL).alias("kind"), F.col("table_no").alias("u1"),
-                                          F.col("row_no").alias("u2"), F.col("cell_no").alias("u3"))),
-        F.when(F.col("in_block"), F.struct(F.lit(BLOCK).alias("kind"), F.col("block_no").alias("u1"),
-                                           zero.alias("u2"), zero.alias("u3"))),
-        F.when(F.col("in_body_text"), F.struct(F.lit(BODY).alias("kind"), zero.alias("u1"), zero.alias("u2"),
-                                               zero.alias("u3"))),
-    ), lambda u: u.isNotNull())
-    tagged = runs.select(key, "pos", "s", F.explode(units).alias("u")).select(key, "pos", "s", "u.*")
-    sep = F.when(F.col("kind") == BODY, F.lit("\n")).otherwise(F.lit(" "))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda x: x["s"]), "\n")
-    spaced = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda x: x["s"]), " ")
-    out = tagged.groupBy(key, "kind", "u1", "u2", "u3").agg(
-        F.first(sep).alias("_sep"), joined.alias("_nl"), spaced.alias("_sp"))
-    txt = normalize_text(F.when(F.col("kind") == BODY, F.col("_nl")).otherwise(F.col("_sp")))
-    return out.select(key, "kind", "u1", "u2", "u3", txt.alias("txt")).filter(F.col("txt") != "")
+from pyspark.sql import types as T
+
+from sheaf.functions.htmltext import page_parts, page_text
+
+_PART = T.ArrayType(T.StructType([T.StructField("no", T.IntegerType()), T.StructField("text", T.StringType())]))
+_PARTS = T.StructType([T.StructField("tables", _PART), T.StructField("blocks", _PART)])
+
+
+@F.pandas_udf(T.StringType())
+def html_text(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """X9 as a column."""
+    for page in pages:
+        yield page.map(page_text)
+
+
+@F.pandas_udf(_PARTS)
+def html_parts(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """X5 and X6 as a column."""
+    named = lambda parts: [{"no": no, "text": text} for no, text in parts]
+    for page in pages:
+        found = [page_parts(h) for h in page]
+        yield pd.DataFrame({"tables": [named(t) for t, _, _ in found], "blocks": [named(b) for _, b, _ in found]})
 
 
 def extract_text(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:
     """``key, other columns..., text`` for every input row ('' when
-    nothing is found); the html column is dropped.
-
-    After the one shuffle by document, every later group-by is keyed by the
-    document first, so it runs in place: cells -> rows -> tables, blocks, and
-    the body fallback travel through the same chain of aggregates.
-    """
-    from sheaf.plans.layout import by_key
-
-    docs = by_key(docs, key)
-    units = unit_texts(docs, key, html_col)
-    # rows: non-empty cells joined by " | " (blocks and the body are single units)
-    rows = units.groupBy(key, "kind", "u1", "u2").agg(ordered_join(F.col("u3"), "txt", " | ").alias("txt"))
-    # tables: rows joined by newlines
-    pieces = rows.groupBy(key, "kind", "u1").agg(ordered_join(F.col("u2"), "txt", "\n").alias("txt"))
-    main = F.array_join(F.transform(F.array_sort(F.collect_list(
-        F.when(F.col("kind") != BODY, F.struct(F.col("kind"), F.col("u1"), F.col("txt"))))), lambda x: x["txt"]),
-        "\n\n")
-    body = F.max(F.when(F.col("kind") == BODY, F.col("txt")))
-    per_doc = pieces.groupBy(key).agg(main.alias("main"), body.alias("fb"))
-    text = F.when(F.col("main") != "", F.col("main")).otherwise(F.coalesce(F.col("fb"), F.lit("")))
+    nothing is found, or the page is null); the html column is dropped."""
     keep = [c for c in docs.columns if c not in (key, html_col, "text")]
-    return (docs.select(key, *keep).join(per_doc, key, "left")
-            .select(key, *keep, F.coalesce(text, F.lit("")).alias("text")))
+    return docs.select(key, *keep, html_text(F.coalesce(html_col, F.lit(""))).alias("text"))
+
+
+def _parts(docs: DataFrame, key: str, html_col: str, part: str, no: str) -> DataFrame:
+    found = docs.select(key, html_parts(F.coalesce(html_col, F.lit(""))).alias("_p"))
+    return found.select(key, F.explode(f"_p.{part}").alias("_u")).select(key, F.col("_u.no").alias(no), F.col("_u.text").alias("text"))
 
 
 def extract_blocks(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:
     """X6 alone: ``key, block_no, text`` of every non-empty block."""
-    return (unit_texts(docs, key, html_col).filter(F.col("kind") == BLOCK)
-            .select(key, F.col("u1").alias("block_no"), F.col("txt").alias("text")))
+    return _parts(docs, key, html_col, "blocks", "block_no")
 
 
 def extract_tables(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:
     """X5 alone: ``key, table_no, text`` of every non-empty table."""
-    cells = unit_texts(docs, key, html_col).filter(F.col("kind") == CELL)
-    rows = cells.groupBy(key, "u1", "u2").agg(ordered_join(F.col("u3"), "txt", " | ").alias("txt"))
-    return (rows.groupBy(key, "u1").agg(ordered_join(F.col("u2"), "txt", "\n").alias("text"))
-            .select(key, F.col("u1").alias("table_no"), "text"))
+    return _parts(docs, key, html_col, "tables", "table_no")

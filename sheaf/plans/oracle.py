@@ -194,10 +194,20 @@ def collapse(expr: str) -> str:
     return strip(f"regexp_replace(replace({expr}, chr(160), ' '), '[ \\t]+', ' ', 'g')")
 
 
+# --- fixed values: what the SQL reading of a page needs -------------------------
+TOKEN_PATTERN = r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>|<[!?][^>]*>|[^<]+|<"
+SCRIPT_PATTERN = r"(?is)<script\b[^>]*>.*?(?:</script\s*>|$)"
+STYLE_PATTERN = r"(?is)<style\b[^>]*>.*?(?:</style\s*>|$)"
+STYLE_ATTR_PATTERN = r"""(?is)\sstyle\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""
+HIDDEN_STYLE_PATTERN = r"(?i)display\s*:\s*none"
+BLOCK_TAGS = ("p", "h1", "h2", "h3", "h4", "li")
+CELL_TAGS = ("td", "th")
+HIDING_TAGS = ("div", "span")
+# -------------------------------------------------------------------------------
+
+
 def html_ctes(src: str, key: str = "accession_number") -> str:
     """CTEs ending in ``cells, tbls, blocks, doc_text(key, text)``; ``src(key, html)``."""
-    from sheaf.operators.html import (BLOCK_TAGS, CELL_TAGS, HIDDEN_STYLE_PATTERN, HIDING_TAGS, SCRIPT_PATTERN,
-                                      STYLE_ATTR_PATTERN, STYLE_PATTERN, TOKEN_PATTERN)
     inl = lambda xs: "(" + ", ".join(q(x) for x in xs) + ")"
     style = (f"concat(regexp_extract(tok, {q(STYLE_ATTR_PATTERN)}, 1), regexp_extract(tok, {q(STYLE_ATTR_PATTERN)}, 2), "
              f"regexp_extract(tok, {q(STYLE_ATTR_PATTERN)}, 3))")
