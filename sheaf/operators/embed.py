@@ -14,11 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.config import EMBED_BATCH_SIZE, VECTOR_DIM
+from sheaf.config import EMBED_BATCH_SIZE, EMBED_MAX_SEQ_LENGTH, VECTOR_DIM
 from sheaf.functions.text import tokens
 from sheaf.functions.vector import l2_normalize
 
@@ -36,6 +37,7 @@ class BatchEncoder:
     batch_size: int = EMBED_BATCH_SIZE
     query_prefix: str | None = None      # E3: e.g. the model's "query" prompt
     name: str = "batch"
+    max_seq_length: int = EMBED_MAX_SEQ_LENGTH
 
     def __post_init__(self):
         if self.batch_size < 1:
@@ -66,41 +68,69 @@ def _hashing(df: DataFrame, text_col: str, enc: HashingEncoder, out_col: str) ->
     return tf.withColumn(out_col, l2_normalize(arr)).drop("_toks", "_tf")
 
 
-def _batched(df: DataFrame, text_col: str, enc: BatchEncoder, out_col: str, prefix: str | None) -> DataFrame:
+def _make(enc: BatchEncoder):
+    """The task's encoder; a factory that takes ``max_seq_length`` gets the limit."""
+    import inspect
+
+    takes = "max_seq_length" in inspect.signature(enc.factory).parameters
+    return enc.factory(max_seq_length=enc.max_seq_length) if takes else enc.factory()
+
+
+def _unit(v, dim: int) -> list[float]:
+    if len(v) != dim:
+        raise RuntimeError(f"vector length {len(v)}, expected {dim}")
+    x = np.asarray(v, dtype=float)
+    size = float(np.linalg.norm(x))
+    return (x / size if size else x).tolist()
+
+
+def _batched(df: DataFrame, text_col: str, enc: BatchEncoder, out_col: str, prefix: str | None, error_col: str | None) -> DataFrame:
     from pyspark.sql import types as T
 
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
-    factory, size, dim = enc.factory, enc.batch_size, enc.dim
+    more = [T.StructField(out_col, T.ArrayType(T.FloatType()))] + ([T.StructField(error_col, T.StringType())] if error_col else [])
+    schema = T.StructType(df.schema.fields + more)
+
+    def vectors(encode, part: list[str]) -> list[list[float]]:
+        got = encode(part)
+        if len(got) != len(part):
+            raise RuntimeError(f"encoder returned {len(got)} vectors for {len(part)} texts")
+        return [_unit(v, enc.dim) for v in got]
+
+    def one(encode, text: str) -> tuple[list[float] | None, str | None]:
+        try:
+            return vectors(encode, [text])[0], None
+        except Exception as e:  # noqa: BLE001  whatever the user's encoder raises is the filing's outcome
+            return None, str(e)[:300]
 
     def run(batches):
-        encode = factory()                       # once per task
+        encode = _make(enc)                      # once per task
         for pdf in batches:
-            texts = pdf[text_col].fillna("").tolist()
-            if prefix:
-                texts = [prefix + t for t in texts]
-            vecs: list = []
-            for i in range(0, len(texts), size):
-                part = texts[i:i + size]
-                got = encode(part) if part else []
-                if len(got) != len(part):
-                    raise RuntimeError(f"encoder returned {len(got)} vectors for {len(part)} texts")
-                vecs.extend(got)
-            for v in vecs:
-                if len(v) != dim:
-                    raise RuntimeError(f"vector length {len(v)}, expected {dim}")
-            yield pdf.assign(**{out_col: pd.Series([[float(x) for x in v] for v in vecs], dtype=object)})
+            texts = [(prefix or "") + t for t in pdf[text_col].fillna("")]
+            found: list[tuple[list[float] | None, str | None]] = []
+            for i in range(0, len(texts), enc.batch_size):
+                part = texts[i:i + enc.batch_size]
+                try:
+                    found += [(v, None) for v in vectors(encode, part)]
+                except Exception:
+                    if not error_col:
+                        raise
+                    found += [one(encode, t) for t in part]      # which of the batch it was
+            out = pdf.assign(**{out_col: pd.Series([v for v, _ in found], dtype=object, index=pdf.index)})
+            yield out.assign(**{error_col: pd.Series([e for _, e in found], dtype=object, index=pdf.index)}) if error_col else out
 
     return df.mapInPandas(run, schema)
 
 
 def embed(df: DataFrame, text_col: str = "content", encoder=None, out_col: str = "embedding",
-          kind: str = "document") -> DataFrame:
-    """Add ``out_col`` (unit vectors, order kept)."""
+          kind: str = "document", error_col: str | None = None) -> DataFrame:
+    """Add ``out_col`` (unit vectors, order kept).  With ``error_col`` a text that
+    cannot be encoded gets a null vector and the message there; without, the job fails."""
     enc = encoder or HashingEncoder()
     if isinstance(enc, HashingEncoder):
-        return _hashing(df, text_col, enc, out_col)
+        out = _hashing(df, text_col, enc, out_col)
+        return out.withColumn(error_col, F.lit(None).cast("string")) if error_col else out
     if isinstance(enc, BatchEncoder):
-        return _batched(df, text_col, enc, out_col, enc.query_prefix if kind == "query" else None)
+        return _batched(df, text_col, enc, out_col, enc.query_prefix if kind == "query" else None, error_col)
     raise ValueError(f"unsupported encoder: {enc!r}")
 
 

@@ -7,6 +7,7 @@ them).  Floats are rounded to 6 digits on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -552,3 +553,135 @@ SELECT count(*) AS n_vectors, max(len(embedding)) AS dim,
 def p18_vector_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheaf.plans.quality import vector_check
     return vector_check(tables.read(spark, sf_dir, "embeddings"), 64)
+
+
+# --- ingest outputs and store views through written tables -------------------------------
+def _ingested(spark: SparkSession, sf_dir: str, twice: bool = False, done: DataFrame | None = None):
+    from sheaf.plans.ingest import ingest
+    from sheaf.sources.events import typed_rows
+    ev = tables.ingest_events(spark, sf_dir)
+    if twice:
+        ev = ev.unionByName(ev.withColumn("event_no", F.col("event_no") + 1_000_000_000))
+    return ingest(typed_rows(ev, ["event_no"]), tables.filing_documents(spark, sf_dir), base_dir="/data", current_filings=done)
+
+
+@register("q6_filings", _ingest_sql(False) + """
+SELECT accession_number, ticker, CAST(chunk_count AS INTEGER) AS chunk_count FROM st WHERE status = 'loaded'""")
+def q6_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: the filings rows that a batch writes."""
+    return _ingested(spark, sf_dir).filings.select("accession_number", "ticker", "chunk_count")
+
+
+@register("q6_chunks", _ingest_sql(False) + """
+SELECT c.accession_number, c.chunk_index, c.section, c.content FROM chunks c JOIN st USING (accession_number)
+WHERE status = 'loaded'""")
+def q6_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: the chunk rows that a batch writes."""
+    return _ingested(spark, sf_dir).chunks.select("accession_number", "chunk_index", "section", "content")
+
+
+@register("j3_skip_processed", _ingest_sql(False) + """
+SELECT CAST(event_no AS BIGINT) AS event_no, CASE WHEN event_no % 10 = 0 THEN 'skipped' ELSE status END AS status,
+       CASE WHEN event_no % 10 = 0 THEN 'already processed' ELSE reason END AS reason FROM st""")
+def j3_skip_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth filing is stored already."""
+    done = tables.ingest_events(spark, sf_dir).filter("event_no % 10 = 0").select("accession_number")
+    return _ingested(spark, sf_dir, done=done).outcomes.select("event_no", "status", "reason")
+
+
+@register("w4_duplicates", _ingest_sql(False) + """
+SELECT CAST(event_no AS BIGINT) AS event_no, status, reason, CAST(chunk_count AS INTEGER) AS chunk_count FROM st
+UNION ALL
+SELECT CAST(event_no AS BIGINT) + 1000000000, CASE WHEN status = 'loaded' THEN 'skipped' ELSE status END,
+       CASE WHEN status = 'loaded' THEN 'duplicate in batch' ELSE reason END,
+       CASE WHEN status = 'loaded' THEN 0 ELSE CAST(chunk_count AS INTEGER) END FROM st""")
+def w4_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event comes twice in one batch."""
+    return _ingested(spark, sf_dir, twice=True).outcomes.select("event_no", "status", "reason", "chunk_count")
+
+
+def _written_store(spark: SparkSession, sf_dir: str):
+    """Every document's filing and chunks as one batch, then tombstones for form SRC0."""
+    from sheaf.plans.quality import chunks_per_filing
+    from sheaf.plans.store import FilingStore
+    from sheaf.session import ensure_checkpoint_dir
+    c = doc_corpus(spark, sf_dir, with_index=False)
+    store = FilingStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheaf-store-{uuid.uuid4().hex}")
+    batch = F.lit(1).cast("long").alias("batch_id")
+    filings = c.filings.join(chunks_per_filing(c.chunks), "accession_number").select(
+        "*", F.col("n_chunks").cast("int").alias("chunk_count"), F.lit(False).alias("deleted"), batch,
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("processed_at"))
+    store.write_batch(filings, c.chunks.select("*", batch))
+    store.delete(c.filings.filter("form = 'SRC0'").select("accession_number"))
+    return store
+
+
+@register("k3_current_chunks", _CHUNK_BASE + """
+SELECT c.accession_number, c.chunk_index, c.section, c.content FROM chunks c JOIN doc_filings f USING (accession_number)
+WHERE f.form IS DISTINCT FROM 'SRC0'""")
+def k3_current_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk view of a store after a batch and tombstones."""
+    return _written_store(spark, sf_dir).chunks().select("accession_number", "chunk_index", "section", "content")
+
+
+@register("a5_index_ready", _CHUNK_BASE + """
+SELECT count(*) AS chunk_count, count(DISTINCT f.accession_number) AS filing_count, true AS bm25_ready
+FROM chunks c JOIN doc_filings f USING (accession_number) WHERE f.form IS DISTINCT FROM 'SRC0'""")
+def a5_index_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5, Q4: counts and computed readiness of a store whose index lives with it."""
+    from sheaf.plans.search import stats
+    store = _written_store(spark, sf_dir)
+    return stats(store.filings(), store.chunks(), store.index_ready()).select("chunk_count", "filing_count", "bm25_ready")
+
+
+@register("k9_store_postings", _BM25_BASE + ",\n" + O.doc_filings_cte() + """
+SELECT p.term, count(*) AS df, CAST(sum(p.tf) AS BIGINT) AS tf FROM post p JOIN doc_filings f USING (accession_number)
+WHERE f.form IS DISTINCT FROM 'SRC0' GROUP BY p.term""")
+def k9_store_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 as the store keeps it: term statistics after deletes, nothing rebuilt."""
+    found = _written_store(spark, sf_dir).keyword_index().postings
+    return found.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("tf"))
+
+
+# --- S8, A9, P2, P19 ----------------------------------------------------------------------
+@register("s8_metadata_for_ticker", "WITH " + O.filing_events_cte() + """
+SELECT accession_number, form FROM fe
+WHERE ticker = 'TK1' AND form IN ('10-K', '10-Q') AND accession_number NOT LIKE '%0'""")
+def s8_metadata_for_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.sources.events import metadata_for_ticker
+    return metadata_for_ticker(tables.filing_metadata(spark, sf_dir), "tk1", ["10-k", "10-q"]).select("accession_number", "form")
+
+
+@register("a9_chunk_count_mismatch", _CHUNK_BASE + """,
+n AS (SELECT accession_number, count(*) AS n FROM chunks GROUP BY 1)
+SELECT f.accession_number, CAST(coalesce(n.n, 0) + 1 AS INTEGER) AS chunk_count, CAST(coalesce(n.n, 0) AS BIGINT) AS n_chunks
+FROM doc_filings f LEFT JOIN n USING (accession_number) WHERE f.ticker = 'FR'""")
+def a9_chunk_count_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filings of ticker FR claim one chunk too many."""
+    from sheaf.plans.quality import chunk_count_mismatch, chunks_per_filing
+    c = doc_corpus(spark, sf_dir, with_index=False)
+    claimed = c.filings.join(chunks_per_filing(c.chunks), "accession_number", "left").select(
+        "accession_number", (F.coalesce("n_chunks", F.lit(0)) + (F.col("ticker") == "FR").cast("int")).cast("int").alias("chunk_count"))
+    return chunk_count_mismatch(claimed, c.chunks).select("accession_number", "chunk_count", F.col("n_chunks").cast("long"))
+
+
+@register("p2_allow_list", """
+SELECT doc_id, array_to_string(list_filter(list_transform(string_split(concat(' ', lang, ' , ', source, ',, ', upper(lang)), ','),
+       lambda x: trim(x)), lambda x: x <> ''), '|') AS allowed FROM documents""")
+def p2_allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.functions.text import allow_list_col
+    d = tables.read(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit(" "), "lang", F.lit(" , "), "source", F.lit(",, "), F.upper("lang")).alias("v"))
+    return d.select("doc_id", F.array_join(allow_list_col("v"), "|").alias("allowed"))
+
+
+@register("p19_model_dimension", """
+SELECT source, CASE CAST(substr(source, 4) AS INTEGER) % 5 WHEN 0 THEN 1024 WHEN 1 THEN 384 WHEN 2 THEN 768 WHEN 3 THEN 1024 ELSE 0 END AS dim,
+       count(*) AS docs FROM documents WHERE source IS NOT NULL GROUP BY 1, 2""")
+def p19_model_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P19 over a model name per source."""
+    from sheaf.plans.quality import model_dimension
+    names = F.array(*[F.lit(x) for x in ("Org/BGE-M3", "org/bge-small-en", "bge-base-v1", "org/bge-large", "other")])
+    d = tables.read(spark, sf_dir, "documents").filter("source IS NOT NULL").select(
+        "source", F.get(names, F.substring("source", 4, 9).cast("int") % 5).alias("model"))
+    return d.groupBy("source", model_dimension("model").alias("dim")).agg(F.count(F.lit(1)).alias("docs"))

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from sheaf.config import LOAD_REPORT_MAX_ERRORS, Settings
 from sheaf.functions.meta import metadata_json
 from sheaf.functions.paths import inside, normalize_path
-from sheaf.functions.text import py_strip
+from sheaf.functions.text import normalize_forms, py_strip
 from sheaf.operators.chunk import chunks_sql
 from sheaf.operators.html import extract_text
+from sheaf.plans.layout import stored
 from sheaf.sources.events import TYPED_COLUMNS
 
 # fixed values: outcome reasons
@@ -34,6 +35,7 @@ R_MISSING = "file not found"
 R_EMPTY = "no extractable text"
 R_NO_CHUNKS = "no chunks"
 R_DUPLICATE = "duplicate in batch"
+R_ENCODING = "encoding failed: "
 
 OUTCOME_COLUMNS = ["batch_id", "event_no", "accession_number", "ticker", "status", "reason", "chunk_count"]
 
@@ -49,7 +51,7 @@ def stage(events: DataFrame, documents: DataFrame, settings: Settings = Settings
           current_filings: DataFrame | None = None, skip_if_processed: bool = True,
           base_dir: str | None = None) -> DataFrame:
     """Per-event state before the writes: event columns, ``event_no``,
-    ``status``, ``reason``, ``text``, ``_chunks`` (array) and ``chunk_count``.
+    ``status``, ``reason``, ``_chunks`` (array) and ``chunk_count``.
 
     ``events`` need ``event_no`` (arrival order) plus the validated event
     columns; ``documents`` are ``(path, html)``.
@@ -58,8 +60,8 @@ def stage(events: DataFrame, documents: DataFrame, settings: Settings = Settings
     status = F.when(~F.col("valid"), F.lit("failed"))
     reason = F.when(~F.col("valid"), F.concat(F.lit(R_INVALID), F.col("reject_reason")))
     if skip_if_processed and current_filings is not None:
-        done = current_filings.select("accession_number").distinct().withColumn("_done", F.lit(True))
-        ev = ev.join(done, "accession_number", "left")
+        done = current_filings.select(F.col("accession_number").alias("_key")).distinct().withColumn("_done", F.lit(True))
+        ev = ev.withColumn("_key", _spread_nulls("accession_number")).join(done, "_key", "left").drop("_key")
         status = status.when(F.col("_done"), F.lit("skipped"))
         reason = reason.when(F.col("_done"), F.lit(R_DONE))
     allowed = [f.upper() for f in settings.allowed_forms]
@@ -69,28 +71,29 @@ def stage(events: DataFrame, documents: DataFrame, settings: Settings = Settings
     if base_dir:
         status = status.when(~inside(F.col("_path"), base_dir), F.lit("failed"))
         reason = reason.when(~inside(F.col("_path"), base_dir), F.lit(R_OUTSIDE))
-    ev = ev.withColumn("status", status).withColumn("reason", reason)
-    # Documents by normalised path; only events still open need a file
-    docs = documents.select(normalize_path("path").alias("_path"), "html")
-    docs = docs.groupBy("_path").agg(F.min("html").alias("html"))
-    todo = ev.filter(F.col("status").isNull()).join(docs, "_path", "left")
-    todo = todo.withColumn("status", F.when(F.col("html").isNull(), F.lit("failed")))
-    todo = todo.withColumn("reason", F.when(F.col("html").isNull(), F.lit(R_MISSING)))
-    found = extract_text(todo.filter(F.col("status").isNull()).drop("status", "reason"), "event_no", "html")
-    chunked = found.withColumn(
-        "_chunks", F.expr(chunks_sql("coalesce(text, '')", settings.chunk_size, settings.chunk_overlap)))
-    chunked = chunked.withColumn("chunk_count", F.size("_chunks"))
+    ev = ev.withColumns({"status": status, "reason": reason})
+    ev = ev.withColumn("_path", F.when(F.col("status").isNull(), F.col("_path")))
+    # Of the documents, only the open events' paths are read on and shuffled
+    wanted = ev.filter("_path IS NOT NULL").select("_path").distinct()
+    docs = (documents.select(normalize_path("path").alias("_path"), "html").join(wanted, "_path", "left_semi")
+            .groupBy("_path").agg(F.min("html").alias("html")))
+    s = ev.withColumn("_path", _spread_nulls("_path")).join(docs, "_path", "left")
+    still = F.col("status").isNull() & F.col("html").isNotNull()
+    s = extract_text(s.withColumn("_still", still), "event_no", "html")
+    s = s.withColumn("_chunks", F.expr(chunks_sql("coalesce(text, '')", settings.chunk_size, settings.chunk_overlap)))
+    s = s.withColumn("chunk_count", F.when(F.col("_still"), F.size("_chunks")).otherwise(0))
     empty = py_strip(F.col("text")) == ""
-    chunked = (chunked
-               .withColumn("status", F.when(empty | (F.col("chunk_count") == 0), F.lit("failed")).otherwise("loaded"))
-               .withColumn("reason", F.when(empty, F.lit(R_EMPTY)).when(F.col("chunk_count") == 0, F.lit(R_NO_CHUNKS))))
-    cols = ["event_no", *TYPED_COLUMNS, "status", "reason"]
-    closed = ev.filter(F.col("status").isNotNull()).select(*cols, F.lit(None).cast("string").alias("text"),
-                                                           F.lit(None).alias("_chunks"), F.lit(0).alias("chunk_count"))
-    missing = todo.filter(F.col("status").isNotNull()).select(*cols, F.lit(None).cast("string").alias("text"),
-                                                              F.lit(None).alias("_chunks"), F.lit(0).alias("chunk_count"))
-    return closed.unionByName(missing, allowMissingColumns=True).unionByName(
-        chunked.select(*cols, "text", "_chunks", "chunk_count"))
+    end = (F.when(F.col("status").isNotNull(), F.struct("status", "reason"))
+           .when(~F.col("_still"), F.struct(F.lit("failed").alias("status"), F.lit(R_MISSING).alias("reason")))
+           .when(empty, F.struct(F.lit("failed").alias("status"), F.lit(R_EMPTY).alias("reason")))
+           .when(F.col("chunk_count") == 0, F.struct(F.lit("failed").alias("status"), F.lit(R_NO_CHUNKS).alias("reason")))
+           .otherwise(F.struct(F.lit("loaded").alias("status"), F.lit(None).cast("string").alias("reason"))))
+    return s.withColumn("_end", end).select("event_no", *TYPED_COLUMNS, "_end.status", "_end.reason", "_chunks", "chunk_count")
+
+
+def _spread_nulls(col: str) -> F.Column:
+    """A join key: nulls become keys of their own that meet nothing, so they do not share a task."""
+    return F.coalesce(F.col(col), F.concat(F.lit("\x00"), F.col("event_no").cast("string")))
 
 
 def choose_writes(staged: DataFrame, skip_if_processed: bool = True) -> DataFrame:
@@ -103,8 +106,8 @@ def choose_writes(staged: DataFrame, skip_if_processed: bool = True) -> DataFram
     """
     loaded = staged.filter(F.col("status") == "loaded")
     pick = F.min("event_no") if skip_if_processed else F.max("event_no")
-    win = loaded.groupBy("accession_number").agg(pick.alias("_win"))
-    s = staged.join(win, "accession_number", "left")
+    win = loaded.groupBy(F.col("accession_number").alias("_key")).agg(pick.alias("_win"))
+    s = staged.withColumn("_key", _spread_nulls("accession_number")).join(win, "_key", "left").drop("_key")
     loser = (F.col("status") == "loaded") & (F.col("event_no") != F.col("_win"))
     if skip_if_processed:
         s = s.withColumn("reason", F.when(loser, F.lit(R_DUPLICATE)).otherwise(F.col("reason")))
@@ -115,13 +118,12 @@ def choose_writes(staged: DataFrame, skip_if_processed: bool = True) -> DataFram
 
 def ingest(events: DataFrame, documents: DataFrame, settings: Settings = Settings(), batch_id: int = 0,
            current_filings: DataFrame | None = None, skip_if_processed: bool = True, base_dir: str | None = None,
-           processed_at=None, encoder=None, materialize: bool = False) -> IngestResult:
-    """Q6: the whole batch.  ``materialize`` checkpoints the per-event state to
-    the shared checkpoint folder so the three outputs do not recompute it."""
-    s = choose_writes(stage(events, documents, settings, current_filings, skip_if_processed, base_dir),
-                      skip_if_processed)
-    if materialize:
-        s = s.checkpoint()
+           processed_at=None, encoder=None, materialize: bool = True) -> IngestResult:
+    """Q6: the whole batch.  ``materialize`` writes the per-event state once to the
+    shared checkpoint folder, and the three outputs start from there.  A filing with a
+    chunk that the encoder cannot encode ends as ``failed``; the rest of the batch goes on."""
+    s = stage(events, documents, settings, current_filings, skip_if_processed, base_dir)
+    s = choose_writes(stored(s, "ingest") if materialize else s, skip_if_processed)
     ts = F.current_timestamp() if processed_at is None else F.lit(processed_at).cast("timestamp")
     outcomes = s.select(F.lit(batch_id).cast("long").alias("batch_id"), F.col("event_no").cast("long"),
                         "accession_number", "ticker", "status", "reason", F.col("chunk_count").cast("int"))
@@ -137,7 +139,16 @@ def ingest(events: DataFrame, documents: DataFrame, settings: Settings = Setting
                       F.lit(batch_id).cast("long").alias("batch_id")))
     if encoder is not None:
         from sheaf.operators.embed import embed
-        chunks = embed(chunks, "content", encoder)
+        chunks = stored(embed(chunks, "content", encoder, error_col="_error"), "vectors")
+        bad = chunks.filter("_error IS NOT NULL").groupBy("accession_number").agg(F.min("_error").alias("_error"))
+        filings = filings.join(bad, "accession_number", "left_anti")
+        lost = w.select("event_no", "accession_number").join(bad, "accession_number").select("event_no", "_error")
+        outcomes = outcomes.join(lost, "event_no", "left").select(
+            *[{"status": F.when(F.col("_error").isNull(), F.col("status")).otherwise("failed"),
+               "reason": F.when(F.col("_error").isNull(), F.col("reason")).otherwise(F.concat(F.lit(R_ENCODING), F.col("_error"))),
+               "chunk_count": F.when(F.col("_error").isNull(), F.col("chunk_count")).otherwise(0)}.get(c, F.col(c)).alias(c)
+              for c in outcomes.columns])
+        chunks = chunks.join(bad.select("accession_number"), "accession_number", "left_anti").drop("_error")
     return IngestResult(filings, chunks, outcomes)
 
 
@@ -172,3 +183,17 @@ def load_report(outcomes: DataFrame, found: DataFrame | None = None,
     if found is not None:
         out = found.join(out, "ticker", "left")
     return out
+
+
+def bulk_load(store, metadata: DataFrame, documents: DataFrame, ticker: str, forms: list[str] | None = None,
+              settings: Settings = Settings(), base_dir: str | None = None, encoder=None, reprocess: bool = True) -> DataFrame:
+    """Q5: load all filings of one ticker from the metadata documents (S8) with the
+    chosen forms (P9), by default even if they were loaded before, and report (A3)."""
+    from sheaf.sources.events import first_metadata, from_manifest, metadata_for_ticker
+
+    found = first_metadata(metadata_for_ticker(metadata, ticker, normalize_forms(forms)))
+    events = from_manifest(found).withColumn("event_no", F.monotonically_increasing_id())
+    res = ingest(stored(events, "events"), documents, settings, current_filings=store.filings(), skip_if_processed=not reprocess,
+                 base_dir=base_dir, encoder=encoder)
+    store.write_batch(res.filings, res.chunks)
+    return load_report(res.outcomes)

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from sheaf.session import ensure_checkpoint_dir
 
-def by_key(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition by ``keys`` into ``spark.sql.shuffle.partitions`` parts.
 
-    Used before per-document windows: the shuffle the windows need anyway
-    moves the raw document instead of its exploded tokens, and the explicit
-    count keeps AQE from folding a CPU-heavy stage into a few tasks.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back, so several
+    results can start from it (``checkpoint()`` would compute it twice)."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheaf-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -22,4 +24,4 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
-    return by_key(df, *keys) if keys else df.repartition(slots)
+    return df.repartition(slots, *keys)

@@ -325,8 +325,8 @@ def filing_events_cte() -> str:
               WHEN 4 THEN '10-q' ELSE '4' END AS form,
          CAST(DATE '2024-01-01' + CAST(p.page_id % 365 AS INTEGER) AS DATE) AS filing_date,
          concat('/data/', CAST(p.page_id AS VARCHAR), '.htm') AS local_path,
-         p.url AS document_url, e.ts AS downloaded_at
-  FROM pages p JOIN events e ON e.event_id = p.page_id
+         p.url AS document_url, coalesce(e.ts, TIMESTAMP '2024-01-01 00:00:00') AS downloaded_at
+  FROM pages p LEFT JOIN events e ON e.event_id = p.page_id
 )"""
 
 

@@ -132,9 +132,11 @@ class FilingStore:
         self._write(filings, FILINGS, run_id)
         return run_id
 
-    def delete(self, accession_numbers: list[str]) -> str:
-        """K7: tombstones of a fresh run; the views drop the filings' chunks and postings."""
-        rows = self.spark.createDataFrame([(a,) for a in accession_numbers], "accession_number string")
+    def delete(self, accession_numbers: list[str] | DataFrame) -> str:
+        """K7: tombstones of a fresh run; the views drop the filings' chunks and postings.
+        Many filings come as a DataFrame with ``accession_number``."""
+        rows = accession_numbers if isinstance(accession_numbers, DataFrame) else self.spark.createDataFrame(
+            [(a,) for a in accession_numbers], "accession_number string")
         self.create()
         run_id = uuid.uuid4().hex
         self._write(rows.select("accession_number", F.current_timestamp().alias("processed_at"), F.lit(0).alias("chunk_count"),

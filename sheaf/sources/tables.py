@@ -43,7 +43,7 @@ def filing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     form = (F.when(k % 6 == 0, "10-K").when(k % 6 == 1, "10-Q").when(k % 6 == 2, "8-K")
             .when(k % 6 == 3, "10-K/A").when(k % 6 == 4, "10-q").otherwise("4"))
     return (
-        pages.join(events, events.event_id == pages.page_id)
+        pages.join(events, events.event_id == pages.page_id, "left")      # a page without an event keeps its filing
         .select(
             accession_of("page_id").alias("accession_number"),
             F.concat(F.lit("TK"), (k % 7).cast("string")).alias("ticker"),
@@ -52,7 +52,7 @@ def filing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_add(F.lit("2024-01-01").cast("date"), (k % 365).cast("int")).alias("filing_date"),
             F.concat(F.lit("/data/"), k.cast("string"), F.lit(".htm")).alias("local_path"),
             F.col("url").alias("document_url"),
-            F.col("ts").alias("downloaded_at"),
+            F.coalesce("ts", F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("downloaded_at"),
         )
     )
 
@@ -69,6 +69,11 @@ def filing_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filing_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filings' pages, keyed like filings."""
+    return _filing_pages(spark, sf_dir).drop("page_id")
+
+
+def _filing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` with a nested hidden part, a table, ix tags and an ITEM header."""
     pages = read(spark, sf_dir, "pages")
     k = F.col("page_id")
@@ -80,7 +85,7 @@ def filing_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</ix:nonFraction></td></tr></table><article><p>preface</p><p>ITEM "),
         (k % 9 + 1).cast("string"), F.lit(". Section text</p>"),
     )
-    return pages.select(accession_of("page_id").alias("accession_number"),
+    return pages.select("page_id", accession_of("page_id").alias("accession_number"),
                         F.replace(F.col("html"), F.lit("<article>"), insert).alias("html"))
 
 
@@ -142,8 +147,7 @@ def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``filing_html`` served at the event path and at the metadata path."""
-    h = filing_html(spark, sf_dir).select(
-        F.regexp_extract("accession_number", r"-(\d{6})$", 1).cast("long").alias("k"), "html")
+    h = _filing_pages(spark, sf_dir).select(F.col("page_id").alias("k"), "html")
     a = h.select(F.concat(F.lit("/data/"), F.col("k").cast("string"), F.lit(".htm")).alias("path"), "html")
     b = h.select(F.concat(F.lit("/data/meta/data/"), F.col("k").cast("string"), F.lit(".htm")).alias("path"), "html")
     return a.unionByName(b)
