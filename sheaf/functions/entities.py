@@ -1,92 +1,16 @@
-"""HTML character references as a column expression (part of X8).
-
-Same rules as Python's ``html.unescape``: named references from the HTML5
-table (with and without ";" for the legacy names, longest legacy prefix when
-the full name is unknown), decimal and hex references, the Windows-1252 remap
-of 0x80-0x9F, U+FFFD for surrogates and out-of-range numbers, and removal of
-non-characters.  The tables are generated from the Python standard library at
-import time, not typed in.
-"""
+"""Tables of HTML character references for the SQL restatement of X8, generated
+from the Python standard library at import time, not typed in."""
 
 from __future__ import annotations
 
 import html
 import html.entities
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 NAMED = dict(html.entities.html5)                      # "amp;" -> "&", "amp" -> "&", ...
 LEGACY = sorted((k for k in NAMED if not k.endswith(";")), key=lambda k: (-len(k), k))
-CHARREF_REMAP = dict(html._invalid_charrefs)           # 0x80 -> "€", 0x0D -> "\r", ...
+# numbers that stand for another character: 0x80 -> "\u20ac", 0x0D -> "\r", ...
+CHARREF_REMAP = {n: html.unescape(f"&#{n};") for n in (0x00, 0x0D, *range(0x80, 0xA0))}
 
 # one reference, or a run of text, or a lone "&"
 PIECE_PATTERN = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
 LEGACY_PATTERN = "^(" + "|".join(LEGACY) + ")"
-
-
-def is_noncharacter(n: Column) -> Column:
-    """The code points ``html.unescape`` drops (control and non-characters)."""
-    return (n.between(1, 8) | n.between(14, 31) | n.between(127, 159) | n.between(0xFDD0, 0xFDEF)
-            | (n == 11) | (F.bitwise_not(n).bitwiseAND(0xFFFE) == 0))
-
-
-def _chr(n: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-
-
-def _named_map() -> Column:
-    flat = []
-    for k, v in NAMED.items():
-        flat += [F.lit(k), F.lit(v)]
-    return F.create_map(*flat)
-
-
-def _remap_map() -> Column:
-    flat = []
-    for k, v in CHARREF_REMAP.items():
-        flat += [F.lit(k).cast("long"), F.lit(v)]
-    return F.create_map(*flat)
-
-
-def _numeric(digits: Column, base: int) -> Column:
-    trimmed = F.regexp_replace(digits, "^0+(?=.)", "")
-    too_long = F.length(trimmed) > (7 if base == 10 else 6)
-    n = (trimmed.cast("long") if base == 10 else F.conv(trimmed, 16, 10).cast("long"))
-    n = F.when(too_long, F.lit(0x110000)).otherwise(n)
-    remap = F.try_element_at(_remap_map(), n)
-    return (F.when(remap.isNotNull(), remap)
-            .when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("�"))
-            .when(is_noncharacter(n), F.lit(""))
-            .otherwise(_chr(n)))
-
-
-def _decode_piece(p: Column) -> Column:
-    name = F.substring(p, 2, 64)
-    full = F.try_element_at(_named_map(), name)
-    prefix = F.regexp_extract(name, LEGACY_PATTERN, 1)
-    by_prefix = F.concat(F.try_element_at(_named_map(), prefix), F.substring(name, F.length(prefix) + 1, 64))
-    dec_digits = F.regexp_extract(p, r"^&#([0-9]+);?$", 1)
-    hex_digits = F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]+);?$", 1)
-    return (F.when(~p.startswith("&") | (p == "&"), p)
-            .when(dec_digits != "", _numeric(dec_digits, 10))
-            .when(hex_digits != "", _numeric(hex_digits, 16))
-            .when(full.isNotNull(), full)
-            .when(prefix != "", by_prefix)
-            .otherwise(p))
-
-
-def html_unescape(col: Column | str) -> Column:
-    """Decode character references in a string column; text without "&" is
-    returned untouched without splitting."""
-    c = F.col(col) if isinstance(col, str) else col
-    pieces = F.regexp_extract_all(c, F.lit(PIECE_PATTERN), 0)
-    return F.when(F.instr(c, "&") == 0, c).otherwise(F.array_join(F.transform(pieces, _decode_piece), ""))
-
-
-def normalize_text(col: Column | str) -> Column:
-    """Decode references, NBSP to space, runs of space/tab to one space,
-    strip.  Newlines inside the text stay."""
-    from sheaf.functions.text import collapse_blanks
-
-    return collapse_blanks(html_unescape(col))

@@ -48,7 +48,7 @@ def py_strip(col: Column | str) -> Column:
 
 
 def upper_strip(col: Column | str) -> Column:
-    """Ticker canonical form: strip then upper."""
+    """Strip then upper."""
     return F.upper(py_strip(col))
 
 
@@ -56,11 +56,6 @@ def upper_strip(col: Column | str) -> Column:
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
-def tokens_sql(expr: str) -> str:
-    """Lower-cased word tokens: runs of letters and digits."""
-    return f"filter(split(lower({expr}), '{TOKEN_SPLIT.replace(chr(92), chr(92) * 2)}'), t -> t <> '')"
-
-
 def tokens(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.filter(F.split(F.lower(c), TOKEN_SPLIT), lambda t: t != F.lit(""))
@@ -89,7 +84,7 @@ def allow_list_col(col: Column | str) -> Column:
 def canonical_form_col(col: Column | str) -> Column:
     """P9 for one value: strip, upper, drop spaces, 10Q/10K/8K spelled with a dash."""
     c = F.col(col) if isinstance(col, str) else col
-    out = F.replace(F.upper(py_strip(c)), F.lit(" "), F.lit(""))
+    out = F.replace(upper_strip(c), F.lit(" "), F.lit(""))
     for plain, dashed in FORM_SPELLINGS:
         out = F.replace(out, F.lit(plain), F.lit(dashed))
     return out

@@ -36,10 +36,6 @@ def l2_normalize(a: Column | str) -> Column:
     return F.transform(_c(a), lambda x: F.when(n == 0, x).otherwise((x.cast("double") / n).cast("float")))
 
 
-def has_dim(a: Column | str, dim: int) -> Column:
-    return F.size(_c(a)) == F.lit(dim)
-
-
 def check_dim(a: Column | str, dim: int) -> Column:
     """The vector itself, or a task error naming the wrong length."""
     c = _c(a)

@@ -478,9 +478,11 @@ def a2_chunks_per_filing(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT (SELECT count(*) FROM doc_filings) AS filing_count, (SELECT count(*) FROM chunks) AS chunk_count,
        true AS bm25_ready""")
 def a1_q4_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.operators.keyword import lengths_of
+    from sheaf.plans.quality import index_ready
     from sheaf.plans.search import stats
     c = doc_corpus(spark, sf_dir, with_index=False)
-    return stats(c.filings, c.chunks, True)
+    return stats(c.filings, c.chunks, index_ready(lengths_of(c.chunks), c.chunks))
 
 
 @register("a6_j5_key_checks", _CHUNK_BASE + """
@@ -643,6 +645,15 @@ def k9_store_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("tf"))
 
 
+@register("x15_metadata_roundtrip", _CHUNK_BASE + """
+SELECT accession_number, chunk_index, section FROM chunks""")
+def x15_metadata_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata text decoded again."""
+    from sheaf.functions.meta import parse_metadata
+    c = doc_corpus(spark, sf_dir, with_index=False).chunks
+    return c.select("accession_number", "chunk_index", parse_metadata("metadata")["section"].alias("section"))
+
+
 # --- S8, A9, P2, P19 ----------------------------------------------------------------------
 @register("s8_metadata_for_ticker", "WITH " + O.filing_events_cte() + """
 SELECT accession_number, form FROM fe

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaf.functions.vector import check_dim
 from sheaf.operators import keyword
 
 FILINGS = "filings"
@@ -121,9 +122,7 @@ class FilingStore:
         self.create()
         run_id = run_id or uuid.uuid4().hex
         if self.dim is not None and "embedding" in chunks.columns:
-            right = F.col("embedding").isNull() | (F.size("embedding") == self.dim)
-            chunks = chunks.withColumn("embedding", F.when(right, F.col("embedding")).otherwise(F.raise_error(
-                F.format_string(f"vector of length %d, the store holds {self.dim}", F.size("embedding")))))
+            chunks = chunks.withColumn("embedding", F.when(F.col("embedding").isNotNull(), check_dim("embedding", self.dim)))
         self._write(chunks, CHUNKS, run_id)
         batches = [r["batch_id"] for r in filings.select("batch_id").distinct().collect()]      # one, as a rule
         stored = self.chunk_versions().filter((F.col("run_id") == run_id) & F.col("batch_id").isin(batches))

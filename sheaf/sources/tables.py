@@ -11,9 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from sheaf.operators.chunk import chunk_text
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -94,21 +91,6 @@ def page_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select(accession_of("page_id").alias("accession_number"), "html")
 
 
-def embedding_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunk vectors: label = filing, rank within the label = chunk_index.
-
-    The rank is a window per label; a hot label is one sorted partition, which
-    only this fixture adapter does (stored chunks already carry their index).
-    """
-    emb = read(spark, sf_dir, "embeddings")
-    w = Window.partitionBy("label").orderBy("vec_id")
-    return emb.select(
-        F.concat(F.lit("L"), F.col("label").cast("string")).alias("accession_number"),
-        (F.row_number().over(w) - 1).cast("int").alias("chunk_index"),
-        "embedding",
-    )
-
-
 def doc_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One filing row per ``documents`` row: ticker = upper(lang), form = upper(source)."""
     d = read(spark, sf_dir, "documents").select("doc_id", "lang", "source")
@@ -124,15 +106,6 @@ def doc_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def doc_chunks(spark: SparkSession, sf_dir: str, size: int | None = None, overlap: int | None = None) -> DataFrame:
-    """Chunks of every ``documents`` text (sections + overlapping split)."""
-    from sheaf.config import CHUNK_OVERLAP, CHUNK_SIZE
-
-    d = read(spark, sf_dir, "documents").select(accession_of("doc_id").alias("accession_number"), "text")
-    return chunk_text(d, "text", ["accession_number"], size or CHUNK_SIZE,
-                      CHUNK_OVERLAP if overlap is None else overlap)
-
-
 def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``filing_events`` as an arrival-ordered batch (``event_no`` = page id),
     with two path defects: every 23rd filing points outside the data folder,

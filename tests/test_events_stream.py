@@ -6,7 +6,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from sheaf.plans.ingest import ingest, load_report
+from sheaf.operators.embed import BatchEncoder
+from sheaf.plans.ingest import bulk_load, ingest, load_report
 from sheaf.plans.store import FilingStore
 from sheaf.sources.events import enrich, from_manifest, metadata_for_ticker, parse_events, typed_rows
 from sheaf.streaming import ingest_stream
@@ -136,3 +137,34 @@ def test_stream_replay_is_idempotent(spark):
     out = spark.read.parquet(os.path.join(root, "tables", "outcomes"))
     assert out.filter(F.col("reason") == "already processed").count() == 1
     assert store.chunks().count() >= 1
+
+
+def test_a_filing_that_cannot_be_encoded_fails_alone(spark):
+    def picky():
+        def encode(texts):
+            if any("flood" in t for t in texts):
+                raise RuntimeError("no floods")
+            return [[3.0, 4.0] for _ in texts]
+        return encode
+    docs = spark.createDataFrame([("/data/a.htm", PAGE), ("/data/b.htm", PAGE.replace("Quarries", "flood"))], "path string, html string")
+    ev = parse_events(_value(spark, EVENT, dict(EVENT, accession_number="z-b", local_path="/data/b.htm")), "value", ["event_no"])
+    res = ingest(ev, docs, base_dir="/data", encoder=BatchEncoder(picky, dim=2, batch_size=4))
+    got = {r.event_no: (r.status, r.reason, r.chunk_count > 0) for r in res.outcomes.collect()}
+    assert got == {0: ("loaded", None, True), 1: ("failed", "encoding failed: no floods", False)}
+    assert [r.accession_number for r in res.filings.collect()] == [EVENT["accession_number"]]
+    vectors = [r.embedding for r in res.chunks.collect()]
+    assert vectors and all(abs(v[0] - 0.6) < 1e-6 and abs(v[1] - 0.8) < 1e-6 for v in vectors)       # unit vectors
+
+
+def test_bulk_load_of_a_ticker(spark):
+    store = FilingStore(spark, tempfile.mkdtemp(prefix="sheaf-bulk-"))
+    docs = spark.createDataFrame([("/data/a.htm", PAGE)], "path string, html string")
+    cols = ["accession_number", "ticker", "company_name", "form", "filing_date", "local_path", "document_url", "downloaded_at"]
+    rows = [(f"b-{k}", "QRY" if k < 4 else "OTH", "Q", "10-Q" if k == 3 else "10-K", "2019-02-07",
+             "/data/none.htm" if k == 2 else "/data/a.htm", "u", "2019-02-08T00:00:00Z") for k in range(6)]
+    meta = spark.createDataFrame(rows + rows[:1], cols)                                              # one document twice
+    for _ in range(2):                                                                               # loading again is allowed
+        r = bulk_load(store, meta, docs, "qry", ["10k"], base_dir="/data").first()
+        assert (r.ticker, r.found, r.processed, r.skipped, r.failed, r.errors) == ("QRY", 3, 2, 0, 1, ["b-2: file not found"])
+    assert store.filings().count() == 2 and store.index_ready()
+    assert bulk_load(store, meta, docs, "qry", ["10-K"], base_dir="/data", reprocess=False).first().skipped == 2

@@ -123,7 +123,7 @@ def test_vectors_of_another_length_are_refused_until_the_dimension_changes(spark
     store.write_batch(*_batch(spark, "a", "one", 0, dt.datetime(2021, 4, 2)))
     store.change_dimension(32)
     assert [(r.content, r.embedding) for r in store.chunks().collect()] == [("one", None)]
-    with pytest.raises(Exception, match="vector of length 64"):
+    with pytest.raises(Exception, match="vector length must be 32, got 64"):
         store.write_batch(*_batch(spark, "b", "two", 0, dt.datetime(2021, 4, 3)))
 
 
