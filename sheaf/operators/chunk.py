@@ -26,6 +26,7 @@ def _ws_class() -> str:
 # Java: Python's whitespace set spelled out, `d` so that only "\n" ends a line,
 # `U` for Unicode digits and case folding.
 ITEM_HEADER_JAVA = "(?iUd)^{ws}*ITEM{ws}+[\\d.]+{ws}+.+$".format(ws=_ws_class())
+_BLOCK = 4096              # characters of a pre-cut block, at least
 BLOCK_BREAK = "\n\n"
 SENTENCE_BREAK = ". "
 
@@ -39,12 +40,15 @@ def _rfind_sql(w: str, pattern: str) -> str:
 
 
 def spans_sql(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> str:
-    """Spark SQL giving ``array<struct<s:int,e:int>>``: the windows of X11.
+    """Spark SQL giving ``array<struct<s:int,e:int,p:string>>``: the windows of X11 and their text.
 
     A window starts at ``s`` and is ``size`` long.  Unless it reaches the end of
     the text it is cut after the last blank line, or failing that after the last
     ". ", when that point lies in its second half.  The next window starts
     ``overlap`` characters before the cut (at least one character later).
+
+    The text is measured once and cut once into blocks, so a window costs two
+    blocks wherever it lies.
     """
     if size < 1:
         raise ValueError("chunk size must be at least 1")
@@ -52,23 +56,30 @@ def spans_sql(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -
         raise ValueError("chunk overlap must not be negative")
     half = size // 2
     step = max(1, half + 1 - overlap)      # least advance of one window
-    n = f"length({text})"
+    block = max(_BLOCK, size)
     cut = (
         f"transform(array({_rfind_sql('w', BLOCK_BREAK)}), b1 -> IF(b1 >= {half}, b1 + 1, "
         f"transform(array({_rfind_sql('w', SENTENCE_BREAK)}), b2 -> IF(b2 >= {half}, b2 + 1, {size}))[0]))[0]"
     )
-    end = (
-        f"IF(acc.s + {size} >= {n}, acc.s + {size}, "
-        f"acc.s + transform(array(substring({text}, acc.s + 1, {size})), w -> {cut})[0])"
-    )
-    empty = "CAST(array() AS ARRAY<STRUCT<s: INT, e: INT>>)"
+    at = f"CAST(s DIV {block} AS INT)"
+    window = (f"substring(concat(coalesce(get(bl, {at}), ''), coalesce(get(bl, {at} + 1), '')), "
+              f"CAST(s % {block} AS INT) + 1, {size})")
+    end = f"IF(s + {size} >= n, s + {size}, s + {cut})"
+    after = f"IF(acc.e IS NULL, 0, greatest(acc.e - {overlap}, acc.s + 1))"
+    # ``transform(array(x), v -> ...)[0]`` binds x to a name once
+    one = f"transform(array({after}), s -> transform(array({window}), w -> {end})[0])[0]"
+    # each step copies the accumulator deeply: the spans are kept as one string "s:e,s:e"
+    had = "concat(acc.sp, IF(acc.e IS NULL, '', concat(acc.s, ':', acc.e, ',')))"
+    found = f"named_struct('s', s, 'e', e, 'p', substring({window}, 1, e - s))"
+    part = "CAST(substring_index(x, ':', {}) AS INT)"
     return (
-        f"aggregate(sequence(1, CAST(ceil({n} / {step}) AS INT) + 1), "
-        f"named_struct('s', 0, 'done', false, 'sp', {empty}), "
-        f"(acc, i) -> IF(acc.done, acc, transform(array({end}), e -> named_struct("
-        f"'s', greatest(e - {overlap}, acc.s + 1), 'done', e >= {n}, "
-        f"'sp', concat(acc.sp, array(named_struct('s', acc.s, 'e', e)))))[0]), "
-        f"acc -> acc.sp)"
+        f"transform(array(named_struct('n', length({text}), 'bl', regexp_extract_all({text}, '(?s).{{1,{block}}}', 0))), tx -> "
+        f"transform(array(tx.n), n -> transform(array(tx.bl), bl -> "
+        f"transform(filter(split(aggregate(sequence(1, CAST(ceil(n / {step}) AS INT) + 1), "
+        f"named_struct('s', CAST(NULL AS INT), 'e', CAST(NULL AS INT), 'sp', ''), "
+        f"(acc, i) -> IF(acc.e >= n, acc, named_struct('s', {after}, 'e', {one}, 'sp', {had})), "
+        f"acc -> {had}), ','), x -> x <> ''), x -> transform(array({part.format(1)}), s -> "
+        f"transform(array({part.format(-1)}), e -> {found})[0])[0]))[0])[0])[0]"
     )
 
 
@@ -101,7 +112,7 @@ def sections_sql(text: str) -> str:
 def chunks_sql(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> str:
     """Spark SQL giving ``array<struct<section, content>>`` in chunk order."""
     spans = spans_sql("sc.txt", size, overlap)
-    piece = py_strip_sql("substring(sc.txt, sp.s + 1, sp.e - sp.s)")
+    piece = py_strip_sql("sp.p")
     return (
         f"flatten(transform({sections_sql(text)}, sc -> transform(filter(transform({spans}, "
         f"sp -> {piece}), c -> c <> ''), c -> named_struct('section', sc.sec, 'content', c))))"
@@ -131,11 +142,9 @@ def split_text(df: DataFrame, text_col: str = "text", keys: list[str] | None = N
     keys = list(keys or [c for c in df.columns if c != text_col])
     t = f"coalesce(`{text_col}`, '')"
     return (
-        df.select(*keys, F.col(text_col).alias("_t"), F.expr(spans_sql(t, size, overlap)).alias("_sp"))
-        .select(*keys, "_t", F.posexplode("_sp").alias("piece_no", "_s"))
-        .select(*keys, F.col("piece_no").cast("int").alias("piece_no"),
-                F.col("_s.s").alias("start"), F.col("_s.e").alias("end"),
-                F.expr("substring(coalesce(_t, ''), _s.s + 1, _s.e - _s.s)").alias("piece"))
+        df.select(*keys, F.posexplode(F.expr(spans_sql(t, size, overlap))).alias("piece_no", "_s"))
+        .select(*keys, F.col("piece_no").cast("int").alias("piece_no"), F.col("_s.s").alias("start"),
+                F.col("_s.e").alias("end"), F.col("_s.p").alias("piece"))
     )
 
 
