@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from sheaf.config import SEARCH_TOP_K
 from sheaf.functions.vector import cosine_distance, l2_normalize
-from sheaf.operators.keyword import KEY, apply_filing_filters
+from sheaf.operators.keyword import KEY, apply_filing_filters, blocks_of
 
 BROADCAST_BYTES = 256 << 20
 
@@ -60,70 +60,64 @@ def semantic_search(chunks: DataFrame, query_vec, top_k: int = SEARCH_TOP_K, fil
     return scored.orderBy(*order).limit(top_k)
 
 
+QUERY_BLOCK = 256          # queries compared with an Arrow batch at once
+
+
 def _topk_partition(qids: np.ndarray, qmat: np.ndarray, k: int, col: str):
-    """mapInPandas body: best k chunks per query within one Arrow batch stream."""
+    """mapInPandas body: the k best chunks per query of a task.
+
+    A block of queries meets an Arrow batch as one matrix; of each query's row only
+    the k best (and ties with the last) are looked at again.
+    """
     qnorm = np.linalg.norm(qmat, axis=1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: pd.DataFrame | None = None
+        best: list[list[tuple]] = [[] for _ in qids]          # (rounded distance, key.., distance)
         for pdf in batches:
             if pdf.empty:
                 continue
             mat = np.stack(pdf[col].to_numpy()).astype(np.float64)
             cnorm = np.linalg.norm(mat, axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sim = (mat @ qmat.T) / np.outer(cnorm, qnorm)
-            dist = 1.0 - np.clip(sim, -1.0, 1.0)
-            dist[~np.isfinite(sim)] = np.nan
-            rows = pd.DataFrame({
-                "query_id": np.repeat(qids[None, :], len(pdf), axis=0).ravel(),
-                "accession_number": np.repeat(pdf["accession_number"].to_numpy(), len(qids)),
-                "chunk_index": np.repeat(pdf["chunk_index"].to_numpy(), len(qids)),
-                "distance": dist.ravel(),
-            })
-            best = rows if best is None else pd.concat([best, rows], ignore_index=True)
-            best = _keep_k(best, k)
-        if best is not None and not best.empty:
-            yield best
+            acc, idx = pdf["accession_number"].to_numpy(), pdf["chunk_index"].to_numpy()
+            for lo in range(0, len(qids), QUERY_BLOCK):
+                hi = min(lo + QUERY_BLOCK, len(qids))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    sim = (qmat[lo:hi] @ mat.T) / np.outer(qnorm[lo:hi], cnorm)
+                dist = 1.0 - np.clip(sim, -1.0, 1.0)
+                dist[~np.isfinite(sim)] = np.nan
+                key = np.where(np.isnan(dist), np.inf, np.round(dist, 6))
+                for j in range(hi - lo):
+                    row = key[j]
+                    near = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1]) if len(row) > k else np.arange(len(row))
+                    mine = best[lo + j]
+                    mine += [(row[i], acc[i], int(idx[i]), dist[j, i]) for i in near]
+                    if len(mine) > 2 * k:
+                        mine.sort(key=lambda t: t[:3])
+                        del mine[k:]
+        rows = [(q, a, i, d) for q, mine in zip(qids.tolist(), best, strict=True)
+                for _, a, i, d in sorted(mine, key=lambda t: t[:3])[:k]]
+        if rows:
+            yield pd.DataFrame(rows, columns=["query_id", "accession_number", "chunk_index", "distance"])
 
     return run
 
 
-def _keep_k(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    rows = rows.assign(_d=rows["distance"].round(6).fillna(np.inf))
-    rows = rows.sort_values(["query_id", "_d", "accession_number", "chunk_index"], kind="mergesort")
-    return rows.groupby("query_id", sort=False).head(k).drop(columns="_d")
-
-
 def semantic_search_batch(chunks: DataFrame, queries: DataFrame, top_k: int = SEARCH_TOP_K,
                           col: str = "embedding", max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """T3/J7 batch: ``queries(query_id long, vec array<float>)`` against ``chunks``.
 
-    The query side is measured first (rows x dimension x 8 bytes); when it is
-    over ``max_broadcast_bytes`` it is processed in hash slices that each fit.
+    Queries pass through the driver one block at a time, a block of at most
+    ``max_broadcast_bytes`` (rows x dimension x 8 bytes); each block is broadcast
+    and meets all chunks.
     """
     spark = chunks.sparkSession
-    n_q, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
-    if not n_q:
-        return spark.createDataFrame([], "query_id long, rank_no int, accession_number string, "
-                                         "chunk_index int, distance double")
-    per_slice = max(1, max_broadcast_bytes // max(1, 8 * int(dim or 1)))
-    n_slices = -(-n_q // per_slice)
     schema = "query_id long, accession_number string, chunk_index int, distance double"
-    parts = []
-    for s in range(n_slices):
-        part = queries if n_slices == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_slices)) == s)
-        rows = part.select("query_id", "vec").collect()   # one slice, size bounded above
-        if not rows:
-            continue
-        qids = np.array([r.query_id for r in rows], dtype=np.int64)
-        qmat = np.array([r.vec for r in rows], dtype=np.float64)
-        bq = spark.sparkContext.broadcast((qids, qmat))
-        fn = _bound_topk(bq, top_k, col)
-        parts.append(chunks.select(*KEY, col).mapInPandas(fn, schema))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
+    scored = spark.createDataFrame([], schema)
+    dim = queries.agg(F.max(F.size("vec"))).first()[0]
+    for rows in blocks_of(queries.select("query_id", "vec"), max(1, max_broadcast_bytes // max(1, 8 * int(dim or 1)))):
+        block = spark.sparkContext.broadcast((np.array([r.query_id for r in rows], dtype=np.int64),
+                                              np.array([r.vec for r in rows], dtype=np.float64)))
+        scored = scored.unionByName(chunks.select(*KEY, col).mapInPandas(_bound_topk(block, top_k, col), schema))
     w = Window.partitionBy("query_id").orderBy(F.round("distance", 6).asc_nulls_last(), "accession_number",
                                                "chunk_index")
     return (scored.withColumn("rank_no", F.row_number().over(w)).filter(F.col("rank_no") <= top_k)
@@ -131,9 +125,9 @@ def semantic_search_batch(chunks: DataFrame, queries: DataFrame, top_k: int = SE
                     "distance"))
 
 
-def _bound_topk(bq, k: int, col: str):
+def _bound_topk(block, k: int, col: str):
     def run(batches):
-        qids, qmat = bq.value
+        qids, qmat = block.value
         yield from _topk_partition(qids, qmat, k, col)(batches)
     return run
 
