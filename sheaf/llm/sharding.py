@@ -5,7 +5,7 @@ documents stand together in that order.  Then rounds of joins tell each document
 neighbours' shards; it wants the one that holds most of them.  A round's moves between
 two shards are granted in order of gain, up to a quota: what moves both ways is
 exchanged, and one-way moves may use the room that the tolerance leaves.  So cut
-links fall and sizes stay even.  A group larger than a shard spreads over several.
+links fall and sizes stay even; documents without links level what is left.  A group larger than a shard spreads over several.
 
 The driver holds one number per pair of shards and round; documents and links stay in Spark.
 """
@@ -76,6 +76,36 @@ def quotas(flows: dict[tuple[int, int], int], loads: list[int], tolerance: float
     return granted
 
 
+def loads_of(state: DataFrame, shards: int) -> list[int]:
+    loads = [0] * shards
+    for r in state.groupBy("shard").agg(F.sum("size").alias("s")).collect():
+        loads[r["shard"]] = r["s"]
+    return loads
+
+
+def level(state: DataFrame, links: DataFrame, shards: int) -> DataFrame:
+    """Even out what whole groups leave: documents without links, the smallest first, go
+    from shards above the mean to shards below it, which cuts nothing."""
+    loads = loads_of(state, shards)
+    mean = sum(loads) // shards
+    lack = {j: mean - load for j, load in enumerate(loads) if load < mean}
+    goal, moves = F.lit(None).cast("int"), False
+    for i, load in enumerate(loads):
+        start, rest = 0, load - mean
+        for j in sorted(lack, key=lambda j: -lack[j]) if rest > 0 else ():
+            part = min(rest, lack[j])
+            if part > 0:
+                inside = (F.col("before") >= start) & (F.col("before") + F.col("size") <= start + part)
+                goal, moves = F.when((F.col("shard") == i) & inside, F.lit(j)).otherwise(goal), True
+                lack[j], rest, start = lack[j] - part, rest - part, start + part
+    if not moves:
+        return state
+    linked = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    free = running_totals(state.join(linked, "node", "left_anti"), "shard", ["size", "node"], "size", "before", "level")
+    moved = free.select("node", goal.alias("goal")).filter("goal IS NOT NULL")
+    return settle(state.join(moved, "node", "left").select("node", "size", F.coalesce("goal", "shard").alias("shard")), "shards")
+
+
 def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """(node, size) with unique nodes and (a, b) links -> node, size, shard."""
     links = settle(links.filter("a <> b").distinct(), "links")
@@ -85,9 +115,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
         moving = settle(wishes(state, links, turn).withColumn("pair", F.col("shard") * shards + F.col("wish"))
                         .withColumn("loss", -F.col("gain")), "wishes")
         flows = {divmod(r["pair"], shards): r["s"] for r in moving.groupBy("pair").agg(F.sum("size").alias("s")).collect()}
-        loads = [0] * shards
-        for r in state.groupBy("shard").agg(F.sum("size").alias("s")).collect():
-            loads[r["shard"]] = r["s"]
+        loads = loads_of(state, shards)
         granted = [(i * shards + j, q) for (i, j), q in quotas(flows, loads, tolerance).items() if q > 0]
         still = 0 if granted else still + 1
         if still == 2:      # neither half of the documents can move
@@ -98,7 +126,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
         placed = running_totals(moving, "pair", ["loss", "node"], "size", "before", "moves")
         moved = placed.filter(F.col("before") + F.col("size") <= F.coalesce(quota, F.lit(0))).select("node", "wish")
         state = settle(state.join(moved, "node", "left").select("node", "size", F.coalesce("wish", "shard").cast("int").alias("shard")), "shards")
-    return state
+    return level(state, links, shards)
 
 
 def copies(keyed: DataFrame) -> DataFrame:
