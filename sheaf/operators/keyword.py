@@ -89,7 +89,7 @@ def write_index(index: KeywordIndex, path: str, mode: str = "overwrite") -> None
     Terms are counted from what was written; the corpus row keeps the bucket count."""
     spark = index.postings.sparkSession
     salt = F.pmod(F.xxhash64(*KEY), F.lit(SALTS))
-    (index.postings.repartition(index.buckets * SALTS, "bucket", salt)
+    (index.postings.repartition("bucket", salt)
      .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
     stored = spark.read.parquet(f"{path}/postings")
     stored.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.mode(mode).parquet(f"{path}/terms")
