@@ -19,7 +19,10 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
+from functools import cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -33,19 +36,21 @@ from pyspark.sql.window import Window
 from sheaf.llm.common import scratch, settle, small_batches
 
 END = 2
-#: Distinct pieces whose ids a task remembers.
-MEMORY = 400_000
+#: Distinct pieces whose ids a process remembers.
+MEMORY = 1_300_000
+PLAIN = re.compile(r" ?\S+")
 #: Before a space between two characters that are not white space.
 CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 class Encoder:
-    """``encode(text)`` -> the ids as bytes of ``dtype``, without an end id.
+    """``encode(texts)`` -> their ids as bytes of ``dtype``, without an end id.
 
     The byte-level BPE's pattern never joins what stands on the two sides of a
     single space or line feed between two characters that are not white space (a
-    space belongs to what follows, a line feed is a token).  Texts are cut there, and
-    each distinct piece is encoded once by the library and remembered.
+    space belongs to what follows, a line feed is a token), nor a letter and the
+    full stops and commas after it.  Texts are cut there, and each distinct piece
+    is encoded by the library once and remembered, across the tasks of a process.
     """
 
     def __init__(self, path: str):
@@ -54,30 +59,44 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(self.tokenizer.get_vocab_size())
-        self.whole: dict[str, bytes] = {}
-        self.after_space: dict[str, bytes] = {}
-
-    def learn(self, memory: dict[str, bytes], key: str, piece: str) -> bytes:
-        if len(memory) >= MEMORY:
-            memory.clear()
-        ids = memory[key] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        words = text.split()
-        gaps = max(0, len(words) - 1)
-        if sum(map(len, words)) + gaps != len(text) or text.count(" ") + text.count("\n") != gaps:
-            pieces = [p for p in CUT.split(text) if p]          # other white space: cut at plain spaces only
-            return b"".join([self.whole.get(p) or self.learn(self.whole, p, p) for p in pieces])
-        out: list[bytes] = []
-        whole, after_space = self.whole, self.after_space
-        for line in text.split("\n") if words else ():
-            if out:
-                out.append(whole.get("\n") or self.learn(whole, "\n", "\n"))
-            head, *rest = line.split(" ")
-            out.append(whole.get(head) or self.learn(whole, head, head))
-            out.extend([after_space.get(w) or self.learn(after_space, w, " " + w) for w in rest])
-        return b"".join(out)
+        self.known: dict[str, bytes] = {}
+
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        kind = self.dtype.char
+        return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def learn(self, pieces: set[str]) -> set[str]:
+        """Remember the ids of plain pieces: a line feed, or at most one space and then
+        characters that are not white space.  Returns the others."""
+        if len(self.known) + len(pieces) > MEMORY:
+            for late in list(islice(self.known, len(self.known) * 4 // 5, None)):      # the frequent ones came early
+                del self.known[late]
+        new = pieces.difference(self.known)
+        odd = {p for p in new if p != "\n" and not PLAIN.fullmatch(p)}
+        new -= odd
+        ends = {p: p.rstrip(".,") for p in new if p[-1] in ".,"}
+        ends = {p: head for p, head in ends.items() if head and head[-1].isalpha()}
+        own = list((new - ends.keys() | set(ends.values()) | {p[len(h):] for p, h in ends.items()}).difference(self.known))
+        self.known.update(zip(own, self.ids_of(own), strict=True))
+        for p, head in ends.items():
+            self.known[p] = self.known[head] + self.known[p[len(head):]]
+        return odd
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for t in texts]
+        odd = self.learn(set().union(*cut))
+        nul = any("\0" in t for t in texts)
+        if not odd and not nul:
+            return [b"".join(map(self.known.__getitem__, p)) for p in cut]
+        # texts with other white space are cut at plain spaces only
+        return [b"".join(self.ids_of([p for p in CUT.split(t) if p])) if "\0" in t or not odd.isdisjoint(p)
+                else b"".join(map(self.known.__getitem__, p)) for t, p in zip(texts, cut, strict=True)]
+
+
+@cache
+def encoder_of(path: str) -> Encoder:
+    """One encoder per process."""
+    return Encoder(path)
 
 
 def id_type(vocabulary: int) -> np.dtype:
@@ -132,17 +151,17 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end: in
     rows = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder, lengths, ids = TaskContext.get().partitionId(), Encoder(tokenizer_path), [], []
+        part, encoder, lengths, ids = TaskContext.get().partitionId(), encoder_of(tokenizer_path), [], []
         last = np.array([end], encoder.dtype).tobytes()
         item = encoder.dtype.itemsize
 
         def encoded():
             for batch in batches:
                 ids.append(batch.column(0))
-                for text in batch.column(1):
-                    data = encoder.encode(text.as_py()) + last
-                    lengths.append(len(data) // item)
-                    yield data
+                for k in range(0, batch.num_rows, 200):
+                    found = encoder.encode(batch.column(1)[k:k + 200].to_pylist())
+                    lengths.extend(len(data) // item + 1 for data in found)
+                    yield last.join([*found, b""])
 
         name = f"{folder}/part-{part:05d}"
         publish(f"{name}.ids", encoded())
