@@ -13,10 +13,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,7 +32,7 @@ MOST_WORDS = 20_000
 MOST_GRAMS = 10_000
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTH = 0.5
-MEMORY = 200_000
+MEMORY = 1_000_000          # words whose scores a process remembers
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -46,39 +48,49 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """tables[order][gram] = log frequency per language; order 0 is whole words."""
+    """tables[order] = (gram -> row, rows of log frequencies per language); order 0 is whole words."""
 
     languages: list[str]
-    tables: dict[int, dict[str, np.ndarray]]
-    rows: dict[str, int] = field(default_factory=dict)
-    matrix: list[np.ndarray] = field(default_factory=list)
+    tables: dict[int, tuple[dict[str, int], np.ndarray]]
+    rows: dict[str, int] = field(default_factory=dict)          # words met, and their rows in
+    matrix: np.ndarray | None = None                            # the scores
 
     def word(self, word: str) -> np.ndarray:
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
+        index, scores = self.tables[0]
+        if word in index:
+            return scores[index[word]]
         for n in ORDERS:
-            found = [v for v in map(self.tables[n].get, grams(word, n)) if v is not None]
+            index, scores = self.tables[n]
+            found = [r for r in map(index.get, grams(word, n)) if r is not None]
             if found:
-                return np.mean(found, axis=0)
+                return scores[found].mean(axis=0)
         return np.zeros(len(self.languages))
 
+    def learn(self, words: set[str]) -> None:
+        """Remember the scores of words, ``MEMORY`` of them."""
+        if len(self.rows) + len(words) > MEMORY:
+            self.rows.clear()
+        new = [w for w in words if w not in self.rows]
+        end = len(self.rows) + len(new)
+        if self.matrix is None or end > len(self.matrix):
+            larger = np.zeros((2 * end, len(self.languages)))
+            if self.matrix is not None:
+                larger[:len(self.rows)] = self.matrix[:len(self.rows)]
+            self.matrix = larger
+        for w in new:
+            self.matrix[len(self.rows)] = self.word(w)
+            self.rows[w] = len(self.rows)
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its share of the likelihood; no letter or no model: ``und``, 0."""
         words = words_of(text)
         if not words or not self.languages:
             return UNKNOWN, 0.0
-        if len(self.rows) > MEMORY:
-            self.rows.clear()
-            self.matrix.clear()
-        counts = Counter(words)
-        for w in counts:
-            if w not in self.rows:
-                self.rows[w] = len(self.matrix)
-                self.matrix.append(self.word(w))
-        total = np.zeros(len(self.languages))
-        for w, k in counts.items():
-            total += k * self.matrix[self.rows[w]]
+        at = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int64, len(words))
+        if at.min() < 0:
+            self.learn(set(words))
+            at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+        total = self.matrix[at].sum(axis=0)
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(np.clip(total - total[best], -50, 0)).sum())
 
@@ -118,19 +130,21 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, most_words: int = MOST_WORDS,
     top = Window.partitionBy("lang", "n").orderBy(F.desc("k"), "gram")
     kept = (counted.withColumn("place", F.row_number().over(top))
             .filter(F.col("place") <= F.when(F.col("n") == 0, most_words).otherwise(most_grams)).select("n", "gram").distinct())
-    rows = counted.join(kept, ["n", "gram"]).select("lang", "n", "gram", "k").collect()      # bounded by the parameters
+    got = counted.join(kept, ["n", "gram"]).select("lang", "n", "gram", "k").toArrow()      # bounded by the parameters
     totals = {(r["lang"], r["n"]): (r["s"], r["v"]) for r in
               counted.groupBy("lang", "n").agg(F.sum("k").alias("s"), F.count("*").alias("v")).collect()}
     languages = sorted({lang for lang, _ in totals})
     at = {lang: k for k, lang in enumerate(languages)}
-    tables: dict[int, dict[str, np.ndarray]] = {n: {} for n in (0, *ORDERS)}
-    for r in rows:
-        tables[r["n"]].setdefault(r["gram"], np.zeros(len(languages)))[at[r["lang"]]] = r["k"]
-    for n, table in tables.items():
+    tables: dict[int, tuple[dict[str, int], np.ndarray]] = {}
+    for n in (0, *ORDERS):
+        part = got.filter(pc.equal(got["n"], n))
+        index: dict[str, int] = {}
+        row = np.array([index.setdefault(g, len(index)) for g in part["gram"].to_pylist()], np.int64)
+        count = np.zeros((len(index), len(languages)))
+        count[row, np.array([at[x] for x in part["lang"].to_pylist()], np.int64)] = part["k"].to_numpy()
         size = np.array([totals.get((lang, n), (0, 0))[0] for lang in languages], float)
         kinds = max([totals.get((lang, n), (0, 0))[1] for lang in languages], default=0) + 1
-        for g in table:
-            table[g] = np.log((table[g] + SMOOTH) / (size + SMOOTH * kinds))
+        tables[n] = (index, np.log((count + SMOOTH) / (size + SMOOTH * kinds)))
     return Model(languages, tables)
 
 

@@ -9,7 +9,8 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_unseen_words_back_off_to_shorter_grams():
-    tables = {0: {"the": np.array([0.0, -9.0])}, 5: {}, 4: {}, 3: {"_ab": np.array([-9.0, -1.0])}, 2: {}, 1: {"a": np.array([-1.0, -9.0])}}
+    known = {0: {"the": (0.0, -9.0)}, 5: {}, 4: {}, 3: {"_ab": (-9.0, -1.0)}, 2: {}, 1: {"a": (-1.0, -9.0)}}
+    tables = {n: ({g: k for k, g in enumerate(t)}, np.array(list(t.values())).reshape(-1, 2)) for n, t in known.items()}
     m = langid.Model(["en", "fr"], tables)
     assert m.predict("The the!")[0] == "en"
     assert m.predict("abx")[0] == "fr"          # 3-gram before 1-gram
