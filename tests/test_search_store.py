@@ -174,7 +174,8 @@ def test_batch_encoder_contract(spark):
         return enc
     df = spark.createDataFrame([("a",), ("bb",), ("ccc",)], "content string").coalesce(1)
     out = embed(df, "content", BatchEncoder(factory, dim=2, batch_size=2)).collect()
-    assert [r.embedding[0] for r in out] == [1.0, 2.0, 3.0]
+    assert [round(r.embedding[0] / r.embedding[1], 4) for r in out] == [1.0, 2.0, 3.0]          # order kept
+    assert all(abs(sum(x * x for x in r.embedding) - 1.0) < 1e-5 for r in out)                   # unit vectors
     with pytest.raises(ValueError):
         BatchEncoder(factory, dim=2, batch_size=0)
     with pytest.raises(ValueError):
