@@ -126,3 +126,23 @@ def test_planted_passages_are_found_and_clean_documents_left(spark):
                 todo += linked[k]
         assert group == h, p
     assert shared_passages(docs.limit(0)).count() == 0
+
+
+def test_every_copy_of_a_passage_in_a_text_is_found(spark):
+    rng = random.Random(7)
+    prose = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    p, q = prose(70), prose(54)
+    once, twice = prose(30) + p + prose(40), prose(20) + p + prose(90) + p + prose(30) + p
+    teaser = prose(40) + q[:45] + prose(60) + q + prose(30)        # the opening of q, then q
+    plain = prose(25) + q + prose(20)
+    periodic = prose(8) * 3000
+    texts = [once, twice, teaser, plain, prose(9) + periodic, periodic[:20000] + prose(5)]
+    for order in (1, -1):
+        rows = [(k, " ".join(t)) for k, t in list(enumerate(texts))[::order]]
+        spans = {}
+        for r in shared_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect():
+            spans.setdefault(r["doc_id"], set()).add((r["start"], r["end"], r["other_id"]))
+            spans.setdefault(r["other_id"], set()).add((r["other_start"], r["other_end"], r["doc_id"]))
+        assert {(a, b) for a, b, o in spans[1] if o == 0} == {(20, 90), (180, 250), (280, 350)}
+        assert (145, 199, 3) in spans[2] and (25, 79, 2) in spans[3]
+        assert any(b - a >= 19990 for a, b, _ in spans[4]) and {o for _, _, o in spans[5]} == {4}
