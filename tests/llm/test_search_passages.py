@@ -146,3 +146,23 @@ def test_every_copy_of_a_passage_in_a_text_is_found(spark):
         assert {(a, b) for a, b, o in spans[1] if o == 0} == {(20, 90), (180, 250), (280, 350)}
         assert (145, 199, 3) in spans[2] and (25, 79, 2) in spans[3]
         assert any(b - a >= 19990 for a, b, _ in spans[4]) and {o for _, _, o in spans[5]} == {4}
+
+
+def test_fuzzy_passages_at_the_limit_are_found(spark):
+    rng = random.Random(8)
+    prose = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    rows, want = [], {}
+    for k in range(600):
+        n = (50, 55, 60)[k % 3]
+        p = prose(n)
+        changed = {*rng.sample(range(n), round(n * (0.2, 0.16, 0.1)[k // 3 % 3]) - n % 2)}
+        rows += [(2 * k, " ".join(prose(70) + p + prose(70))),
+                 (2 * k + 1, " ".join(prose(90) + [f"x{k}y{i}" if i in changed else w for i, w in enumerate(p)] + prose(70)))]
+        # only passages whose changed words are not the ends are passages of n words
+        equal = np.array([i not in changed for i in range(n)])
+        if equal[0] and equal[-1] and stretches(70 + np.arange(n), 90 + np.arange(n), equal):
+            want[2 * k] = max(len(w) for w in "".join("e" if e else " " for e in equal).split())
+    got = {min(r["doc_id"], r["other_id"]) for r in shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = [k in got for k, run in want.items() if run >= 5]
+    print(len(want), sum(found), len(found))
+    assert len(found) > 250 and all(found) and len(found) >= 0.95 * len(want)
