@@ -166,3 +166,12 @@ def test_fuzzy_passages_at_the_limit_are_found(spark):
     found = [k in got for k, run in want.items() if run >= 5]
     print(len(want), sum(found), len(found))
     assert len(found) > 250 and all(found) and len(found) >= 0.95 * len(want)
+
+
+def test_alignment_of_a_long_gap_without_seeds():
+    rng = np.random.default_rng(9)
+    a = rng.integers(0, 10**6, 700)
+    b = np.r_[a[:300], [-1], a[300:]]
+    b[100:600:20] = -2                                             # and changed words inside
+    (x0, x1, y0, y1, part), = stretches(*columns(a, b, [0, 650], [0, 651], [60, 50]))
+    assert (x0, x1, y0, y1) == (0, 700, 0, 701) and part > 0.95
