@@ -221,7 +221,8 @@ def blocks_of(df: DataFrame, rows: int) -> Iterator[list]:
 
 
 def _scorer(block, k: int, match_all: bool, n: float, avgdl: float, k1: float = BM25_K1, b: float = BM25_B):
-    """mapInPandas body over postings sorted by chunk: the k best chunks per query.
+    """mapInPandas body over postings sorted by chunk: the k best chunks per query, of the
+    chunks that have a row without a term.
 
     A stretch of whole chunks is scored against all queries of the block as one
     matrix (chunks x queries); only k rows per query leave the task.
@@ -231,6 +232,10 @@ def _scorer(block, k: int, match_all: bool, n: float, avgdl: float, k1: float =
         best: list[list[tuple]] = [[] for _ in qids]
 
         def score(f: pd.DataFrame) -> None:
+            there = f["term"].isna()
+            f = f[there.groupby([f["accession_number"], f["chunk_index"]]).transform("any") & ~there]
+            if not len(f):
+                return
             new = (f["accession_number"] != f["accession_number"].shift()) | (f["chunk_index"] != f["chunk_index"].shift())
             chunk = (new.cumsum() - 1).to_numpy()
             first = f[new.to_numpy()]
@@ -293,6 +298,9 @@ def keyword_search_batch(index: KeywordIndex, chunks: DataFrame, queries: DataFr
         block = spark.sparkContext.broadcast(([r["query_id"] for r in rows], uses, [len(r["terms"]) for r in rows]))
         wanted = spark.createDataFrame([(t,) for t in uses], "term string").join(index.terms, "term")
         matched = index.postings.join(wanted, "term").select("term", *KEY, "tf", "dl", "df")
+        # an index may be older than the chunks: what is gone must not take one of the k places;
+        # a row without a term says that its chunk is there (a join would shuffle the postings twice)
+        matched = matched.unionByName(chunks.select(*KEY), allowMissingColumns=True)
         by_chunk = matched.repartition(*KEY).sortWithinPartitions(*KEY)
         scored = scored.unionByName(by_chunk.mapInPandas(_scorer(block, top_k, match_all, n, avgdl), schema))
     scored = scored.join(chunks.select(*KEY, "content"), KEY)

@@ -197,3 +197,13 @@ def test_quality_helpers(spark):
     assert [r.d for r in m.select(quality.model_dimension("m").alias("d")).collect()] == [1024, 384, 0]
     rep = quality.schema_report({"filings": f})
     assert rep.count() == 2
+
+
+def test_batch_search_gives_k_rows_when_the_index_is_older_than_the_chunks(spark):
+    chunks = spark.createDataFrame([(f"a{k}", 0, "river " * (20 - k) + "pumps " * k) for k in range(10)],
+                                   "accession_number string, chunk_index int, content string")
+    index = keyword.build_index(chunks)
+    left = chunks.filter("accession_number not in ('a0', 'a1', 'a2')")           # the best for "river" are deleted
+    queries = spark.createDataFrame([(1, "river"), (2, "pumps")], "query_id long, text string")
+    got = keyword.keyword_search_batch(index, left, queries, top_k=3).orderBy("query_id", "rank_no").collect()
+    assert [(r.query_id, r.accession_number) for r in got] == [(1, "a3"), (1, "a4"), (1, "a5"), (2, "a9"), (2, "a8"), (2, "a7")]
