@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with their DuckDB SQL."""
+"""The registered queries of the operators, with their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -161,3 +161,29 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = shared_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.withColumns({"n_words": F.col("end") - F.col("start"), "similarity": F.round("similarity", 6)})
+
+
+_UNITS = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+
+
+@register("op11_fill_in_middle", rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (SELECT *, regexp_extract_all(t, '{_UNITS}') AS u, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS prefix, coalesce(array_to_string(u[a + 1:b], ''), '') AS middle,
+             coalesce(array_to_string(u[b + 1:], ''), '') AS suffix FROM c)
+SELECT doc_id, CAST(len(u) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p""")
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.llm.fim import fill_in_middle, restore
+
+    made = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return made.select(F.col("kept.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
