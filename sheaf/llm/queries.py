@@ -187,3 +187,45 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.col("kept.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
                        F.sha2("output", 256).alias("output_sha256"),
                        F.sha2(restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+#: CRC-32 of a list of bytes, its table made from the polynomial.
+_CRC_TABLE = """tab AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+         FROM range(256) t(i))"""
+_BYTES = "list_transform(range(length(hex({0})) // 2), lambda i: ('0x' || substr(hex({0}), CAST(2 * i + 1 AS INTEGER), 2))::BIGINT)"
+_CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], " + _BYTES + "), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+@register("op12_spelling_variants", rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[a-zÀ-ÿ]+')) AS w FROM documents),
+c AS (SELECT doc_id, w, count(*) AS n FROM r GROUP BY doc_id, w),
+h AS (SELECT w, n, {_CRC.format("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)")} AS h FROM c, tab),
+s AS (SELECT n, CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS INTEGER)) || substr(w, CAST(h % length(w) AS INTEGER) + 2) ELSE w END AS word FROM h),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM s WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT DISTINCT word, p, substr(word, 1, p - 1) AS a, substr(word, p + 1) AS b
+        FROM (SELECT word, CAST(unnest(range(1, length(word) + 1)) AS INTEGER) AS p FROM words)),
+pairs AS (SELECT x.word AS word, y.word AS near FROM cut x JOIN cut y ON x.p = y.p AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+          UNION SELECT x.word, y.word FROM cut x JOIN words y ON y.word = x.a || x.b
+          UNION SELECT y.word, x.word FROM cut x JOIN words y ON y.word = x.a || x.b),
+best AS (SELECT p.word, count(*) AS n_near, min(struct_pack(l := -m.n, w := m.word)) AS b FROM pairs p JOIN words m ON m.word = p.near GROUP BY p.word),
+f AS (SELECT w.word, w.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN -b.l >= 2 * w.n THEN b.w END AS form,
+             CASE WHEN -b.l >= 2 * w.n THEN -b.l END AS form_n FROM words w LEFT JOIN best ON best.word = w.word),
+chain AS (SELECT word, word AS root, 0 AS k FROM f UNION ALL SELECT chain.word, f.form, k + 1 FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(root, k) AS root FROM chain GROUP BY word)
+SELECT f.word, f.form, ends.root, f.n, f.n_near, CAST(f.form_n AS BIGINT) AS form_n FROM f JOIN ends ON ends.word = f.word""")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.llm.variants import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op13_lm_scoring")
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheaf.llm.brown import fit, held_out, score_texts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    return score_texts(docs, model, ["doc_id"]).select(
+        F.col("kept.doc_id").alias("doc_id"), held_out(F.col("kept.doc_id")).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.words.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
