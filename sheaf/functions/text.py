@@ -61,12 +61,6 @@ def tokens(col: Column | str) -> Column:
     return F.filter(F.split(F.lower(c), TOKEN_SPLIT), lambda t: t != F.lit(""))
 
 
-# --- whitespace normalisation (X8 without entities) ------------------------
-def collapse_blanks(col: Column) -> Column:
-    """NBSP to space, runs of space/tab to one space, then Python strip."""
-    return py_strip(F.regexp_replace(F.translate(col, "\u00a0", " "), "[ \t]+", " "))
-
-
 # --- allow lists and form selections (P2, P9, X13) --------------------------
 def parse_allow_list(text: str | None) -> list[str]:
     """Comma-separated setting -> trimmed non-empty items (driver-side helper)."""
@@ -91,10 +85,10 @@ def canonical_form_col(col: Column | str) -> Column:
 
 
 def canonical_form(value: str) -> str:
-    """P9 for one string; the same rule as ``canonical_form_col``."""
-    out = "".join(value.strip().upper().split(" "))
+    """P9 for one string: fixed rule (strip, upper, no spaces, the fixed spellings) in plain replacements."""
+    out = value.strip().upper().replace(" ", "")
     for plain, dashed in FORM_SPELLINGS:
-        out = dashed.join(out.split(plain))
+        out = out.replace(plain, dashed)
     return out
 
 

@@ -32,8 +32,9 @@ def cosine_distance(a: Column | str, b: Column | str) -> Column:
 
 def l2_normalize(a: Column | str) -> Column:
     """Unit vector (float elements); a zero vector stays zero."""
-    n = F.sqrt(sq_norm(a))
-    return F.transform(_c(a), lambda x: F.when(n == 0, x).otherwise((x.cast("double") / n).cast("float")))
+    # a one-element array binds the norm to a name: computed once for a vector, not for each element
+    unit = lambda n: F.transform(_c(a), lambda x: F.when(n == 0, x).otherwise((x.cast("double") / n).cast("float")))
+    return F.transform(F.array(F.sqrt(sq_norm(a))), unit)[0]
 
 
 def check_dim(a: Column | str, dim: int) -> Column:

@@ -2,7 +2,8 @@
 
 The whole split runs inside one row per document with Spark's higher-order
 functions, so chunking is a narrow (map-only) stage: no shuffle, no window,
-and the chunk number comes out of ``posexplode``.  A document is the unit of
+and the chunk number comes out of ``posexplode_outer`` (the plain one makes the optimizer
+filter by the array's size first, and cut every text twice).  A document is the unit of
 work here because its split is sequential by definition (each window's end
 decides where the next one starts).
 """
@@ -130,7 +131,7 @@ def chunk_text(df: DataFrame, text_col: str = "text", keys: list[str] | None = N
     arr = F.expr(chunks_sql(f"coalesce(`{text_col}`, '')", size, overlap))
     return (
         df.select(*keys, arr.alias("_chunks"))
-        .select(*keys, F.posexplode("_chunks").alias("chunk_index", "_c"))
+        .select(*keys, F.posexplode_outer("_chunks").alias("chunk_index", "_c")).filter("chunk_index IS NOT NULL")
         .select(*keys, F.col("chunk_index").cast("int").alias("chunk_index"),
                 F.col("_c.section").alias("section"), F.col("_c.content").alias("content"))
     )
@@ -142,7 +143,7 @@ def split_text(df: DataFrame, text_col: str = "text", keys: list[str] | None = N
     keys = list(keys or [c for c in df.columns if c != text_col])
     t = f"coalesce(`{text_col}`, '')"
     return (
-        df.select(*keys, F.posexplode(F.expr(spans_sql(t, size, overlap))).alias("piece_no", "_s"))
+        df.select(*keys, F.posexplode_outer(F.expr(spans_sql(t, size, overlap))).alias("piece_no", "_s")).filter("piece_no IS NOT NULL")
         .select(*keys, F.col("piece_no").cast("int").alias("piece_no"), F.col("_s.s").alias("start"),
                 F.col("_s.e").alias("end"), F.col("_s.p").alias("piece"))
     )
@@ -153,7 +154,7 @@ def sections(df: DataFrame, text_col: str = "text", keys: list[str] | None = Non
     keys = list(keys or [c for c in df.columns if c != text_col])
     return (
         df.select(*keys, F.expr(sections_sql(f"coalesce(`{text_col}`, '')")).alias("_secs"))
-        .select(*keys, F.posexplode("_secs").alias("section_no", "_s"))
+        .select(*keys, F.posexplode_outer("_secs").alias("section_no", "_s")).filter("section_no IS NOT NULL")
         .select(*keys, F.col("section_no").cast("int").alias("section_no"),
                 F.col("_s.sec").alias("section"), F.col("_s.txt").alias("section_text"))
     )

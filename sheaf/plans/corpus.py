@@ -16,6 +16,7 @@ from sheaf.config import CHUNK_OVERLAP, CHUNK_SIZE
 from sheaf.functions.meta import FILING_FIELDS, metadata_json
 from sheaf.operators.chunk import chunk_text
 from sheaf.operators.keyword import KeywordIndex, build_index
+from sheaf.plans.layout import spread, stored
 from sheaf.sources import tables
 
 
@@ -29,8 +30,6 @@ class Corpus:
 def doc_corpus(spark: SparkSession, sf_dir: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                with_index: bool = True) -> Corpus:
     """Filings and chunks from a single scan of ``documents`` (no join)."""
-    from sheaf.plans.layout import spread
-
     d = spread(tables.read(spark, sf_dir, "documents"), "doc_id")
     k = F.col("doc_id")
     src = d.select(
@@ -46,4 +45,6 @@ def doc_corpus(spark: SparkSession, sf_dir: str, size: int = CHUNK_SIZE, overlap
     filings = src.drop("text")
     chunks = chunk_text(src, "text", list(FILING_FIELDS), size, overlap).select(
         "accession_number", "chunk_index", "section", "content", metadata_json("section").alias("metadata"))
+    if with_index:      # postings, terms, statistics, keys and content all start from the chunks: cut them once
+        chunks = stored(chunks, "chunks")
     return Corpus(filings, chunks, build_index(chunks) if with_index else None)

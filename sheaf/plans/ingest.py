@@ -24,6 +24,7 @@ from sheaf.functions.text import normalize_forms, py_strip
 from sheaf.operators.chunk import chunks_sql
 from sheaf.operators.html import extract_text
 from sheaf.plans.layout import stored
+from sheaf.sources.documents import DocumentFiles, wanted_documents
 from sheaf.sources.events import TYPED_COLUMNS
 
 # fixed values: outcome reasons
@@ -47,14 +48,14 @@ class IngestResult:
     outcomes: DataFrame    # one row per event
 
 
-def stage(events: DataFrame, documents: DataFrame, settings: Settings = Settings(),
+def stage(events: DataFrame, documents: DataFrame | DocumentFiles, settings: Settings = Settings(),
           current_filings: DataFrame | None = None, skip_if_processed: bool = True,
           base_dir: str | None = None) -> DataFrame:
     """Per-event state before the writes: event columns, ``event_no``,
     ``status``, ``reason``, ``_chunks`` (array) and ``chunk_count``.
 
     ``events`` need ``event_no`` (arrival order) plus the validated event
-    columns; ``documents`` are ``(path, html)``.
+    columns; ``documents`` are ``(path, html)`` or a ``DocumentFiles``.
     """
     ev = events.select("event_no", *TYPED_COLUMNS, "valid", "reject_reason")
     status = F.when(~F.col("valid"), F.lit("failed"))
@@ -73,10 +74,8 @@ def stage(events: DataFrame, documents: DataFrame, settings: Settings = Settings
         reason = reason.when(~inside(F.col("_path"), base_dir), F.lit(R_OUTSIDE))
     ev = ev.withColumns({"status": status, "reason": reason})
     ev = ev.withColumn("_path", F.when(F.col("status").isNull(), F.col("_path")))
-    # Of the documents, only the open events' paths are read on and shuffled
-    wanted = ev.filter("_path IS NOT NULL").select("_path").distinct()
-    docs = (documents.select(normalize_path("path").alias("_path"), "html").join(wanted, "_path", "left_semi")
-            .groupBy("_path").agg(F.min("html").alias("html")))
+    # Only the open events' documents are read
+    docs = wanted_documents(documents, ev.filter("_path IS NOT NULL").select("_path").distinct())
     s = ev.withColumn("_path", _spread_nulls("_path")).join(docs, "_path", "left")
     still = F.col("status").isNull() & F.col("html").isNotNull()
     s = extract_text(s.withColumn("_still", still), "event_no", "html")
@@ -116,7 +115,7 @@ def choose_writes(staged: DataFrame, skip_if_processed: bool = True) -> DataFram
     return s.withColumn("written", (F.col("status") == "loaded") & (F.col("event_no") == F.col("_win"))).drop("_win")
 
 
-def ingest(events: DataFrame, documents: DataFrame, settings: Settings = Settings(), batch_id: int = 0,
+def ingest(events: DataFrame, documents: DataFrame | DocumentFiles, settings: Settings = Settings(), batch_id: int = 0,
            current_filings: DataFrame | None = None, skip_if_processed: bool = True, base_dir: str | None = None,
            processed_at=None, encoder=None, materialize: bool = True) -> IngestResult:
     """Q6: the whole batch.  ``materialize`` writes the per-event state once to the
@@ -185,15 +184,16 @@ def load_report(outcomes: DataFrame, found: DataFrame | None = None,
     return out
 
 
-def bulk_load(store, metadata: DataFrame, documents: DataFrame, ticker: str, forms: list[str] | None = None,
+def bulk_load(store, metadata: DataFrame, documents: DataFrame | DocumentFiles, ticker: str, forms: list[str] | None = None,
               settings: Settings = Settings(), base_dir: str | None = None, encoder=None, reprocess: bool = True) -> DataFrame:
     """Q5: load all filings of one ticker from the metadata documents (S8) with the
     chosen forms (P9), by default even if they were loaded before, and report (A3)."""
     from sheaf.sources.events import first_metadata, from_manifest, metadata_for_ticker
 
     found = first_metadata(metadata_for_ticker(metadata, ticker, normalize_forms(forms)))
-    events = from_manifest(found).withColumn("event_no", F.monotonically_increasing_id())
-    res = ingest(stored(events, "events"), documents, settings, current_filings=store.filings(), skip_if_processed=not reprocess,
+    events = stored(from_manifest(found).withColumn("event_no", F.monotonically_increasing_id()), "events")
+    done = None if reprocess else store.processed(events.select("accession_number"))
+    res = ingest(events, documents, settings, current_filings=done, skip_if_processed=not reprocess,
                  base_dir=base_dir, encoder=encoder)
     store.write_batch(res.filings, res.chunks)
     return load_report(res.outcomes)

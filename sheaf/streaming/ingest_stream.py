@@ -18,8 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sheaf.config import Settings
 from sheaf.plans.ingest import ingest
+from sheaf.plans.layout import stored
 from sheaf.plans.store import FilingStore, run_id_of
 from sheaf.session import ensure_checkpoint_dir
+from sheaf.sources.documents import DocumentFiles
 from sheaf.sources.events import enrich, parse_events
 
 START_POSITIONS = ("earliest", "latest", "committed")
@@ -53,7 +55,7 @@ def file_events(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.load(path).select("value")
 
 
-def process_batch(batch: DataFrame, batch_id: int, store: FilingStore, documents: DataFrame, run_id: str,
+def process_batch(batch: DataFrame, batch_id: int, store: FilingStore, documents: DataFrame | DocumentFiles, run_id: str,
                   metadata: DataFrame | None = None, settings: Settings = Settings(),
                   skip_if_processed: bool = True, base_dir: str | None = None, encoder=None) -> None:
     """One micro-batch: decode -> enrich -> ingest -> chunks, index, filings, outcomes."""
@@ -63,14 +65,16 @@ def process_batch(batch: DataFrame, batch_id: int, store: FilingStore, documents
     events = parse_events(batch.select("value", "event_no"), "value", ["event_no"])
     if metadata is not None:
         events = enrich(events, metadata).drop("enriched")
-    res = ingest(events, documents, settings, batch_id=batch_id, current_filings=store.filings(but=(run_id, batch_id)),
+    events = stored(events, "events")
+    done = store.processed(events.select("accession_number"), but=(run_id, batch_id)) if skip_if_processed else None
+    res = ingest(events, documents, settings, batch_id=batch_id, current_filings=done,
                  skip_if_processed=skip_if_processed, base_dir=base_dir, encoder=encoder, materialize=True)
-    store.write_batch(res.filings, res.chunks, run_id)
+    store.write_batch(res.filings, res.chunks, run_id, batch_id)
     (res.outcomes.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_id", "batch_id").parquet(f"{store.root.rstrip('/')}/outcomes"))
 
 
-def start(events: DataFrame, store: FilingStore, documents: DataFrame, checkpoint: str,
+def start(events: DataFrame, store: FilingStore, documents: DataFrame | DocumentFiles, checkpoint: str,
           metadata: DataFrame | None = None, settings: Settings = Settings(), trigger: dict | None = None,
           skip_if_processed: bool = True, base_dir: str | None = None, encoder=None,
           name: str | None = None) -> StreamingQuery:
