@@ -17,7 +17,6 @@ ticker/form filters apply afterwards, as in the original.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +31,8 @@ from sheaf.functions.text import tokens
 KEY = ["accession_number", "chunk_index"]
 DEFAULT_BUCKETS = 64
 QUERY_BLOCK = 256          # queries scored together
+CELL_CHUNKS = 1 << 16      # chunks of a cell of the batch search
+SLICE = 4096               # chunks scored against a cell's queries at once
 SALTS = 4                  # files of a term bucket
 
 
@@ -208,70 +209,52 @@ def top_k_with_content(scored: DataFrame, chunks: DataFrame, top_k: int, score:
     return out.select("content", F.col(score), "accession_number", "chunk_index", "metadata").orderBy(*order)
 
 
-def blocks_of(df: DataFrame, rows: int) -> Iterator[list]:
-    """The rows of ``df`` in lists of at most ``rows``, one on the driver at a time."""
-    block: list = []
-    for r in df.toLocalIterator():
-        block.append(r)
-        if len(block) == rows:
-            yield block
-            block = []
-    if block:
-        yield block
+def _score_cell(k: int, match_all: bool, n: float, avgdl: float, k1: float = BM25_K1, b: float = BM25_B):
+    """cogroup body: the k best chunks of a cell for each query of the cell's block.
 
-
-def _scorer(block, k: int, match_all: bool, n: float, avgdl: float, k1: float = BM25_K1, b: float = BM25_B):
-    """mapInPandas body over postings sorted by chunk: the k best chunks per query, of the
-    chunks that have a row without a term.
-
-    A stretch of whole chunks is scored against all queries of the block as one
-    matrix (chunks x queries); only k rows per query leave the task.
+    Stretches of whole chunks are scored against all queries of the block as one matrix
+    (chunks x queries); only k rows per query leave the cell.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qids, uses, need = block.value                        # term -> query positions; terms per query
-        best: list[list[tuple]] = [[] for _ in qids]
-
-        def score(f: pd.DataFrame) -> None:
-            there = f["term"].isna()
-            f = f[there.groupby([f["accession_number"], f["chunk_index"]]).transform("any") & ~there]
-            if not len(f):
-                return
-            new = (f["accession_number"] != f["accession_number"].shift()) | (f["chunk_index"] != f["chunk_index"].shift())
-            chunk = (new.cumsum() - 1).to_numpy()
-            first = f[new.to_numpy()]
-            acc, idx = first["accession_number"].to_numpy(), first["chunk_index"].to_numpy()
-            tf, dl, df = (f[c].to_numpy(dtype=float) for c in ("tf", "dl", "df"))
-            w = np.log(1.0 + (n - df + 0.5) / (df + 0.5)) * tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl / avgdl))
-            total, hits = np.zeros((len(first), len(qids))), np.zeros((len(first), len(qids)), np.int32)
-            for term, at in f.groupby("term", sort=False).indices.items():
-                cells = np.ix_(chunk[at], uses[term])
-                total[cells] += w[at, None]
-                hits[cells] += 1
-            for q in range(len(qids)):
-                found = np.flatnonzero(hits[:, q] == need[q] if match_all else hits[:, q])
-                if not len(found):
-                    continue
-                key = -np.round(total[found, q], 6)
-                if len(found) > k:
-                    near = key <= np.partition(key, k - 1)[k - 1]
-                    found, key = found[near], key[near]
-                best[q] += [(r, acc[i], int(idx[i]), total[i, q]) for r, i in zip(key.tolist(), found.tolist(), strict=True)]
-                if len(best[q]) > 2 * k:
-                    best[q].sort(key=lambda t: t[:3])
-                    del best[q][k:]
-
-        rest = None
-        for f in batches:
-            f = f if rest is None else pd.concat([rest, f], ignore_index=True)
-            last = (f["accession_number"] == f["accession_number"].iloc[-1]) & (f["chunk_index"] == f["chunk_index"].iloc[-1])
-            rest, f = f[last], f[~last]
-            if len(f):
-                score(f)
-        if rest is not None and len(rest):
-            score(rest)
-        rows = [(q, a, i, s) for q, mine in zip(qids, best, strict=True) for _, a, i, s in sorted(mine, key=lambda t: t[:3])[:k]]
-        if rows:
-            yield pd.DataFrame(rows, columns=["query_id", *KEY, "rank"])
+    def run(postings: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        rows: list[tuple] = []
+        if len(postings) and len(block):
+            queries = [q for part in block["queries"] for q in part]
+            qids, need = [q["query_id"] for q in queries], [len(q["terms"]) for q in queries]
+            uses: dict[str, list[int]] = {}
+            for at, q in enumerate(queries):
+                for t in q["terms"]:
+                    uses.setdefault(t, []).append(at)
+            f = postings.sort_values(KEY, ignore_index=True)
+            new = ((f["accession_number"] != f["accession_number"].shift()) | (f["chunk_index"] != f["chunk_index"].shift())).to_numpy()
+            starts = np.flatnonzero(new)
+            best: list[list[tuple]] = [[] for _ in qids]
+            for lo in range(0, len(starts), SLICE):
+                hi = min(lo + SLICE, len(starts))
+                part = f.iloc[starts[lo]:starts[hi] if hi < len(starts) else len(f)]
+                chunk = np.cumsum(new[part.index[0]:part.index[-1] + 1]) - 1
+                first = f.iloc[starts[lo:hi]]
+                acc, idx = first["accession_number"].to_numpy(), first["chunk_index"].to_numpy()
+                tf, dl, df = (part[c].to_numpy(dtype=float) for c in ("tf", "dl", "df"))
+                w = np.log(1.0 + (n - df + 0.5) / (df + 0.5)) * tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl / avgdl))
+                total, hits = np.zeros((hi - lo, len(qids))), np.zeros((hi - lo, len(qids)), np.int32)
+                for term, at in part.groupby("term", sort=False).indices.items():
+                    cells = np.ix_(chunk[at], uses[term])
+                    total[cells] += w[at, None]
+                    hits[cells] += 1
+                for q in range(len(qids)):
+                    found = np.flatnonzero(hits[:, q] == need[q] if match_all else hits[:, q])
+                    if not len(found):
+                        continue
+                    key = -np.round(total[found, q], 6)
+                    if len(found) > k:
+                        near = key <= np.partition(key, k - 1)[k - 1]
+                        found, key = found[near], key[near]
+                    best[q] += [(r, acc[i], int(idx[i]), total[i, q]) for r, i in zip(key.tolist(), found.tolist(), strict=True)]
+                    if len(best[q]) > 2 * k:
+                        best[q].sort(key=lambda t: t[:3])
+                        del best[q][k:]
+            rows = [(q, a, i, s) for q, mine in zip(qids, best, strict=True) for _, a, i, s in sorted(mine, key=lambda t: t[:3])[:k]]
+        return pd.DataFrame(rows, columns=["query_id", *KEY, "rank"])
 
     return run
 
@@ -280,33 +263,29 @@ def keyword_search_batch(index: KeywordIndex, chunks: DataFrame, queries: DataFr
                          match_all: bool = False, query_id: str = "query_id", text: str = "text") -> DataFrame:
     """Top-k per query for a batch of queries (``query_id``, ``text``).
 
-    Queries come in blocks of ``QUERY_BLOCK``.  Of the postings only those of a block's
-    terms are shuffled, each once whatever the number of queries, to their chunk's
-    task; pairs of chunks and queries exist only inside a task.
+    A grid of cells: queries are dealt into blocks of about ``QUERY_BLOCK`` (a block is one row),
+    chunks into shares of about ``CELL_CHUNKS``.  A posting goes once to each block that asks for its
+    term, into its chunk's cell; pairs of chunks and queries exist only inside a cell.
+    The plan is the same for any number of queries, and no query passes the driver.
     """
     spark = chunks.sparkSession
     stats = index.corpus.first()
-    n, avgdl = float(stats["n_chunks"]), float(stats["avgdl"] or 1.0)
-    terms = queries.select(F.col(query_id).cast("long").alias("query_id"), F.array_distinct(tokens(text)).alias("terms"))
-    schema = "query_id long, accession_number string, chunk_index int, rank double"
-    scored = spark.createDataFrame([], schema)
-    for rows in blocks_of(terms.filter(F.size("terms") > 0), QUERY_BLOCK):
-        uses: dict[str, list[int]] = {}
-        for k, r in enumerate(rows):
-            for t in r["terms"]:
-                uses.setdefault(t, []).append(k)
-        block = spark.sparkContext.broadcast(([r["query_id"] for r in rows], uses, [len(r["terms"]) for r in rows]))
-        wanted = spark.createDataFrame([(t,) for t in uses], "term string").join(index.terms, "term")
-        matched = index.postings.join(wanted, "term").select("term", *KEY, "tf", "dl", "df")
-        # an index may be older than the chunks: what is gone must not take one of the k places;
-        # a row without a term says that its chunk is there (a join would shuffle the postings twice)
-        matched = matched.unionByName(chunks.select(*KEY), allowMissingColumns=True)
-        by_chunk = matched.repartition(*KEY).sortWithinPartitions(*KEY)
-        scored = scored.unionByName(by_chunk.mapInPandas(_scorer(block, top_k, match_all, n, avgdl), schema))
-    scored = scored.join(chunks.select(*KEY, "content"), KEY)
+    n, avgdl = int(stats["n_chunks"]), float(stats["avgdl"] or 1.0)
+    asked = queries.select(F.col(query_id).cast("long").alias("query_id"), F.array_distinct(tokens(text)).alias("terms")).filter(F.size("terms") > 0)
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    cells = max(1, min(n, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // CELL_CHUNKS))))
+    asked = asked.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    wanted = asked.select("qb", F.explode("terms").alias("term")).distinct().join(index.terms, "term")
+    matched = index.postings.join(wanted, "term").select("qb", "term", *KEY, "tf", "dl", "df")
+    # an index may be older than the chunks: what is gone must not take one of the k places
+    matched = matched.join(chunks.select(*KEY), KEY, "left_semi").withColumn("cell", F.pmod(F.xxhash64(*KEY), F.lit(cells)).cast("int"))
+    packed = (asked.groupBy("qb").agg(F.collect_list(F.struct("query_id", "terms")).alias("queries"))
+              .select(F.col("qb").alias("block"), "queries", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("share")))
+    scored = matched.groupBy("qb", "cell").cogroup(packed.groupBy("block", "share")).applyInPandas(
+        _score_cell(top_k, match_all, float(n), avgdl), "query_id long, accession_number string, chunk_index int, rank double")
     w = Window.partitionBy("query_id").orderBy(F.round("rank", 6).desc(), "accession_number", "chunk_index")
     top = scored.withColumn("rank_no", F.row_number().over(w)).filter(F.col("rank_no") <= top_k)
-    return top.select("query_id", "rank_no", "accession_number", "chunk_index", "rank", "content")
+    return top.join(chunks.select(*KEY, "content"), KEY).select("query_id", "rank_no", "accession_number", "chunk_index", "rank", "content")
 
 
 def _empty_result(chunks: DataFrame) -> DataFrame:

@@ -3,16 +3,13 @@
 * One query vector: the distance is a column expression against a constant
   (a literal or a scalar subquery), so the plan is scan -> project ->
   TakeOrderedAndProject; no join at all.
-* A batch of query vectors: the query matrix is broadcast (its size is checked
-  first, and larger batches are cut into slices that each fit), chunks stream
-  through ``mapInPandas`` in Arrow batches, every task keeps only the best k
-  per query, and a final ``row_number() <= k`` picks the global top k.
+* A batch of query vectors: a grid of query blocks and chunk blocks.  A cell compares one
+  block of each as a matrix and keeps the best k per query, and a final
+  ``row_number() <= k`` picks the global top k.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,9 +18,7 @@ from pyspark.sql.window import Window
 
 from sheaf.config import SEARCH_TOP_K
 from sheaf.functions.vector import cosine_distance, l2_normalize
-from sheaf.operators.keyword import KEY, apply_filing_filters, blocks_of
-
-BROADCAST_BYTES = 256 << 20
+from sheaf.operators.keyword import KEY, apply_filing_filters
 
 
 def vector_literal(vec) -> Column:
@@ -60,64 +55,62 @@ def semantic_search(chunks: DataFrame, query_vec, top_k: int = SEARCH_TOP_K, fil
     return scored.orderBy(*order).limit(top_k)
 
 
-QUERY_BLOCK = 256          # queries compared with an Arrow batch at once
+QUERY_BLOCK = 1024         # queries of a cell
+CHUNK_BYTES = 64 << 20     # of chunk vectors (4 bytes a value) in a cell
+SLICE = 4096               # chunks compared with a cell's queries at once
 
 
-def _topk_partition(qids: np.ndarray, qmat: np.ndarray, k: int, col: str):
-    """mapInPandas body: the k best chunks per query of a task.
+def _best_of_cell(k: int, col: str):
+    """cogroup body: the k best chunks of a cell for each of the cell's queries."""
 
-    A block of queries meets an Arrow batch as one matrix; of each query's row only
-    the k best (and ties with the last) are looked at again.
-    """
-    qnorm = np.linalg.norm(qmat, axis=1)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: list[list[tuple]] = [[] for _ in qids]          # (rounded distance, key.., distance)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            mat = np.stack(pdf[col].to_numpy()).astype(np.float64)
-            cnorm = np.linalg.norm(mat, axis=1)
-            acc, idx = pdf["accession_number"].to_numpy(), pdf["chunk_index"].to_numpy()
-            for lo in range(0, len(qids), QUERY_BLOCK):
-                hi = min(lo + QUERY_BLOCK, len(qids))
+    def run(chunks: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        rows: list[tuple] = []
+        if len(chunks) and len(queries):
+            qids, qmat = queries["query_id"].to_numpy(), np.stack(queries["vec"].to_numpy()).astype(np.float64)
+            qnorm = np.linalg.norm(qmat, axis=1)
+            acc, idx = chunks["accession_number"].to_numpy(), chunks["chunk_index"].to_numpy()
+            best: list[list[tuple]] = [[] for _ in qids]          # (rounded distance, key.., distance)
+            for lo in range(0, len(chunks), SLICE):
+                mat = np.stack(chunks[col].to_numpy()[lo:lo + SLICE]).astype(np.float64)
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    sim = (qmat[lo:hi] @ mat.T) / np.outer(qnorm[lo:hi], cnorm)
+                    sim = (qmat @ mat.T) / np.outer(qnorm, np.linalg.norm(mat, axis=1))
                 dist = 1.0 - np.clip(sim, -1.0, 1.0)
                 dist[~np.isfinite(sim)] = np.nan
                 key = np.where(np.isnan(dist), np.inf, np.round(dist, 6))
-                for j in range(hi - lo):
-                    row = key[j]
+                for q, row in enumerate(key):
                     near = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1]) if len(row) > k else np.arange(len(row))
-                    mine = best[lo + j]
-                    mine += [(row[i], acc[i], int(idx[i]), dist[j, i]) for i in near]
-                    if len(mine) > 2 * k:
-                        mine.sort(key=lambda t: t[:3])
-                        del mine[k:]
-        rows = [(q, a, i, d) for q, mine in zip(qids.tolist(), best, strict=True)
-                for _, a, i, d in sorted(mine, key=lambda t: t[:3])[:k]]
-        if rows:
-            yield pd.DataFrame(rows, columns=["query_id", "accession_number", "chunk_index", "distance"])
+                    best[q] += [(row[i], acc[lo + i], int(idx[lo + i]), dist[q, i]) for i in near]
+                    if len(best[q]) > 2 * k:
+                        best[q].sort(key=lambda t: t[:3])
+                        del best[q][k:]
+            rows = [(int(q), a, i, d) for q, mine in zip(qids, best, strict=True) for _, a, i, d in sorted(mine, key=lambda t: t[:3])[:k]]
+        return pd.DataFrame(rows, columns=["query_id", *KEY, "distance"])
 
     return run
 
 
-def semantic_search_batch(chunks: DataFrame, queries: DataFrame, top_k: int = SEARCH_TOP_K,
-                          col: str = "embedding", max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def semantic_search_batch(chunks: DataFrame, queries: DataFrame, top_k: int = SEARCH_TOP_K, col: str = "embedding",
+                          query_block: int = QUERY_BLOCK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """T3/J7 batch: ``queries(query_id long, vec array<float>)`` against ``chunks``.
 
-    Queries pass through the driver one block at a time, a block of at most
-    ``max_broadcast_bytes`` (rows x dimension x 8 bytes); each block is broadcast
-    and meets all chunks.
+    A grid of cells: queries are dealt into blocks of about ``query_block``, chunks into blocks of about
+    ``chunk_bytes``, both by hash; a cell is a task's share, one block of each, and keeps k
+    rows per query.  Nothing passes the driver but two counts, and the plan is the same for any number of queries.
     """
     spark = chunks.sparkSession
-    schema = "query_id long, accession_number string, chunk_index int, distance double"
-    scored = spark.createDataFrame([], schema)
-    dim = queries.agg(F.max(F.size("vec"))).first()[0]
-    for rows in blocks_of(queries.select("query_id", "vec"), max(1, max_broadcast_bytes // max(1, 8 * int(dim or 1)))):
-        block = spark.sparkContext.broadcast((np.array([r.query_id for r in rows], dtype=np.int64),
-                                              np.array([r.vec for r in rows], dtype=np.float64)))
-        scored = scored.unionByName(chunks.select(*KEY, col).mapInPandas(_bound_topk(block, top_k, col), schema))
+    size = queries.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
+    n_chunks = chunks.filter(F.col(col).isNotNull()).count()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    q_blocks = max(1, -(-size.n // query_block))
+    c_blocks = max(1, min(n_chunks, max(least, -(-n_chunks * 4 * max(1, size.dim or 1) // chunk_bytes))))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = (chunks.filter(F.col(col).isNotNull()).select(*KEY, col, F.pmod(F.xxhash64(*KEY), F.lit(c_blocks)).cast("int").alias("cb"))
+            .select("*", every(q_blocks).alias("qb")))
+    right = (queries.filter("vec IS NOT NULL").select(F.col("query_id").cast("long").alias("query_id"), "vec",
+                                                      F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int").alias("qb"))
+             .select("*", every(c_blocks).alias("cb")))
+    scored = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(
+        _best_of_cell(top_k, col), "query_id long, accession_number string, chunk_index int, distance double")
     w = Window.partitionBy("query_id").orderBy(F.round("distance", 6).asc_nulls_last(), "accession_number",
                                                "chunk_index")
     return (scored.withColumn("rank_no", F.row_number().over(w)).filter(F.col("rank_no") <= top_k)
@@ -125,13 +118,6 @@ def semantic_search_batch(chunks: DataFrame, queries: DataFrame, top_k: int = SE
                     "distance"))
 
 
-def _bound_topk(block, k: int, col: str):
-    def run(batches):
-        qids, qmat = block.value
-        yield from _topk_partition(qids, qmat, k, col)(batches)
-    return run
-
-
 def lsh_index(chunks: DataFrame, bucket_length: float = 0.5, num_tables: int = 8, col: str = "embedding",
               seed: int = 7):
     """Random-projection LSH model and the hashed chunk table."""

@@ -207,10 +207,11 @@ SELECT accession_number, chunk_index, round(distance, 6) AS distance, round(1 -
 FROM sc ORDER BY round(distance, 6) ASC NULLS LAST, accession_number, chunk_index LIMIT {TOP_K}""")
 def q2_semantic(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheaf.operators.semantic import centroid, semantic_search
+    from sheaf.plans.search import similarity
     ch = _emb_chunks(spark, sf_dir)
     top = semantic_search(ch.drop("label"), centroid(ch), TOP_K)
     return top.select("accession_number", "chunk_index", F.round("distance", 6).alias("distance"),
-                      F.round(F.lit(1.0) - F.col("distance"), 4).alias("similarity"))
+                      similarity(F.col("distance")).alias("similarity"))
 
 
 @register("t3_semantic_batch", """
@@ -696,3 +697,216 @@ def p19_model_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = tables.read(spark, sf_dir, "documents").filter("source IS NOT NULL").select(
         "source", F.get(names, F.substring("source", 4, 9).cast("int") % 5).alias("model"))
     return d.groupBy("source", model_dimension("model").alias("dim")).agg(F.count(F.lit(1)).alias("docs"))
+
+
+# --- the store after batches, replacements, deletes and merges: K2, K9, Q1, J3 ---------------------------
+def _shared_folder(spark: SparkSession, name: str) -> str:
+    from sheaf.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheaf-{name}-{uuid.uuid4().hex}"
+
+
+def _merged_store(spark: SparkSession, sf_dir: str):
+    """A third of the filings in an earlier wording, all filings in three batches, tombstones for form
+    SRC0, then a merge of the finished batches."""
+    from sheaf.plans.layout import stored
+    from sheaf.plans.quality import chunks_per_filing
+    from sheaf.plans.store import FilingStore
+    c = doc_corpus(spark, sf_dir, with_index=False)
+    chunks = stored(c.chunks, "chunks")
+    part = F.pmod(F.xxhash64("accession_number"), F.lit(3)).cast("int")
+    filings = c.filings.join(chunks_per_filing(chunks), "accession_number").select(
+        "*", F.col("n_chunks").cast("int").alias("chunk_count"), F.lit(False).alias("deleted"), part.alias("part"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("processed_at"))
+    chunks = chunks.withColumn("part", part)
+    store = FilingStore(spark, _shared_folder(spark, "store"))
+    old = chunks.filter("part = 0").withColumn("content", F.concat(F.lit("superseded wording "), "content"))
+    for batch, (f, k) in enumerate([(filings.filter("part = 0"), old)] + [(filings.filter(f"part = {p}"), chunks.filter(f"part = {p}")) for p in range(3)]):
+        no = F.lit(batch).cast("long").alias("batch_id")
+        store.write_batch(f.select("*", no), k.select("*", no), "loader", batch)
+    store.delete(c.filings.filter("form = 'SRC0'").select("accession_number"))
+    store.merge(2)
+    return store
+
+
+_LIVE_BASE = f"""
+WITH RECURSIVE {O.doc_src()},
+{O.split_ctes('doc_src')},
+{O.doc_filings_cte()},
+live AS (SELECT c.* FROM chunks c JOIN doc_filings f USING (accession_number) WHERE f.form IS DISTINCT FROM 'SRC0'),
+{O.bm25_ctes('live')}"""
+
+
+@register("k9_store_merged", _LIVE_BASE + """
+SELECT p.term, max(t.df) AS df, CAST(sum(p.tf) AS BIGINT) AS tf, max(CAST(s.n AS BIGINT)) AS n_chunks, round(max(s.avgdl), 6) AS avgdl
+FROM post p JOIN tdf t USING (term), cstats s GROUP BY p.term""")
+def k9_store_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings of the current versions and statistics from changes, after batches, deletes and a merge."""
+    index = _merged_store(spark, sf_dir).keyword_index()
+    tf = index.postings.groupBy("term").agg(F.sum("tf").cast("long").alias("tf"))
+    return tf.join(index.terms, "term").crossJoin(F.broadcast(index.corpus)).select(
+        "term", "df", "tf", "n_chunks", F.round("avgdl", 6).alias("avgdl"))
+
+
+def _store_keyword_sql(query: str, k: int, ticker: str | None = None) -> str:
+    where = f"WHERE f.ticker = {O.q(ticker.upper())}" if ticker else ""
+    return _LIVE_BASE + f""",
+qt AS (SELECT DISTINCT unnest({O.tokens(O.q(query))}) AS term),
+sc AS (SELECT accession_number, chunk_index, sum({O.bm25_score()}) AS rank FROM post JOIN qt USING (term) JOIN tdf USING (term), cstats
+       GROUP BY accession_number, chunk_index)
+SELECT c.content, round(sc.rank, 6) AS rank, c.accession_number, c.chunk_index
+FROM sc JOIN chunks c USING (accession_number, chunk_index) JOIN doc_filings f USING (accession_number)
+{where}
+ORDER BY round(sc.rank, 6) DESC, c.accession_number, c.chunk_index LIMIT {k}"""
+
+
+def _store_keyword(query: str, k: int, ticker: str | None = None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Q1, X19, T1 on the stored index: block-max pruning, the terms' buckets only."""
+        out = _merged_store(spark, sf_dir).keyword_search(query, k, ticker)
+        return out.select("content", F.round("rank", 6).alias("rank"), "accession_number", "chunk_index")
+    return run
+
+
+register("q1_store_any", _store_keyword_sql(KEYWORD_QUERY, TOP_K))(_store_keyword(KEYWORD_QUERY, TOP_K))
+register("q1_store_filtered", _store_keyword_sql(MATCH_ALL_QUERY, TOP_K, "en"))(_store_keyword(MATCH_ALL_QUERY, TOP_K, "en"))
+
+
+@register("j3_store_processed", _CHUNK_BASE + """,
+has AS (SELECT DISTINCT accession_number FROM chunks)
+SELECT f.accession_number FROM doc_filings f JOIN has USING (accession_number) WHERE f.form IS DISTINCT FROM 'SRC0' AND f.ticker = 'FR'""")
+def j3_store_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which filings of ticker FR are current, from their buckets' versions."""
+    store = _merged_store(spark, sf_dir)
+    return store.processed(tables.doc_filings(spark, sf_dir).filter("ticker = 'FR'").select("accession_number"))
+
+
+# --- documents by path: S6, J4 ----------------------------------------------------------------------------
+def _document_files(spark: SparkSession, sf_dir: str):
+    from sheaf.sources.documents import DocumentFiles, write_documents
+    folder = _shared_folder(spark, "documents")
+    write_documents(tables.filing_documents(spark, sf_dir), "/data", folder)
+    return DocumentFiles(spark, "/data", folder)
+
+
+@register("j4_fetch", f"""
+WITH {O.ingest_events_cte()},
+{O.filing_html_src()}
+SELECT e.local_path AS path, CAST(length(h.html) AS INTEGER) AS n_chars, md5(h.html) AS html_md5
+FROM iev e JOIN fh_src h USING (accession_number)
+WHERE e.form IN ('10-K', '10-K/A') AND NOT starts_with(e.local_path, '/data/..') AND NOT starts_with(e.local_path, '/data/missing')""")
+def j4_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all documents in a folder, those that the events of two forms want are opened."""
+    from sheaf.functions.paths import inside, normalize_path
+    files = _document_files(spark, sf_dir)
+    wanted = tables.ingest_events(spark, sf_dir).filter(F.col("form").isin("10-K", "10-K/A")).select(normalize_path("local_path").alias("path"))
+    got = files.fetch(wanted.filter(inside(F.col("path"), "/data")))
+    return got.select("path", F.length("html").alias("n_chars"), F.md5("html").alias("html_md5"))
+
+
+@register("j4_ingest_by_path", ORACLE["q6_ingest_outcomes"])
+def j4_ingest_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 with documents that are opened by path."""
+    from sheaf.plans.ingest import ingest
+    from sheaf.sources.events import typed_rows
+    ev = typed_rows(tables.ingest_events(spark, sf_dir), ["event_no"])
+    res = ingest(ev, _document_files(spark, sf_dir), base_dir="/data")
+    return res.outcomes.select("event_no", "accession_number", "ticker", "status", "reason", "chunk_count")
+
+
+# --- Q3 with its echo fields, P12, P16, P17 ----------------------------------------------------------------
+@register("q3_search_reply", _keyword_sql(KEYWORD_QUERY, TOP_K, ticker="en").replace("SELECT c.content,", f"""
+SELECT {O.q(KEYWORD_QUERY)} AS query, 'keyword' AS mode, {TOP_K} AS top_k, CAST(count(*) OVER () AS INTEGER) AS count,
+       CAST(row_number() OVER (ORDER BY rank DESC, accession_number, chunk_index) AS INTEGER) AS place, accession_number, chunk_index, rank
+FROM (SELECT round(sc.rank, 6) AS by_rank, c.content,""").replace("round(sc.rank, 6) AS rank,", "round(sc.rank, 4) AS rank,") + ")")
+def q3_search_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: the reply of a request with blanks and capitals, its result rows numbered."""
+    from sheaf.plans.search import search_reply
+    c = doc_corpus(spark, sf_dir)
+    reply = search_reply(f"  {KEYWORD_QUERY} ", c.chunks, c.filings, c.index, top_k=TOP_K, ticker="en", mode=" Keyword ")
+    rows = reply.select("query", "mode", "top_k", "count", F.posexplode("results").alias("place", "r"))
+    return rows.select("query", "mode", "top_k", "count", (F.col("place") + 1).alias("place"), "r.accession_number", "r.chunk_index", "r.rank")
+
+
+# --- S4, S5, W3, Q5, K5, K6, A4 ------------------------------------------------------------------------------
+@register("s4_event_files", ORACLE["s3_event_validation"])
+def s4_event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event per file."""
+    from sheaf.sources.documents import write_documents
+    from sheaf.sources.events import read_event_files
+    folder = _shared_folder(spark, "events")
+    ev = _event_json(spark, sf_dir).select(F.concat(F.lit("/events/"), F.col("event_no").cast("string"), F.lit(".json")).alias("path"),
+                                           F.col("value").alias("html"))
+    write_documents(ev, "/events", folder)
+    no = F.regexp_extract("path", r"(\d+)\.json$", 1).cast("long").alias("event_no")
+    return read_event_files(spark, folder).select(no, "valid", "reject_reason", "ticker", "accession_number", "form")
+
+
+@register("s5_manifest", "WITH " + O.filing_events_cte() + """
+SELECT accession_number, true AS valid, CASE WHEN ticker = 'TK1' THEN '' ELSE document_url END AS document_url,
+       '2026-01-01T00:00:00Z' AS downloaded_at FROM fe""")
+def s5_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest without download times and without some addresses."""
+    from sheaf.sources.events import from_manifest
+    url = F.when(F.col("ticker") != "TK1", F.col("document_url")).alias("document_url")
+    rows = from_manifest(tables.filing_events(spark, sf_dir).select("accession_number", "ticker", "company_name", "form", "filing_date", "local_path", url))
+    return rows.select("accession_number", "valid", "document_url", F.date_format("downloaded_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("downloaded_at"))
+
+
+@register("w3_first_metadata", "WITH " + O.filing_events_cte() + """,
+m AS (SELECT accession_number, ticker, form FROM fe UNION ALL SELECT accession_number, 'AAA', form FROM fe WHERE form = '10-K'
+      UNION ALL SELECT accession_number, ticker, '0' FROM fe WHERE form = '10-Q')
+SELECT accession_number, min(ticker) AS ticker, min(form) AS form FROM m GROUP BY accession_number""")
+def w3_first_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of several documents of one accession number the smallest row."""
+    from sheaf.sources.events import first_metadata
+    fe = tables.filing_events(spark, sf_dir).select("accession_number", "ticker", "form")
+    more = fe.filter("form = '10-K'").withColumn("ticker", F.lit("AAA")).unionByName(fe.filter("form = '10-Q'").withColumn("form", F.lit("0")))
+    return first_metadata(fe.unionByName(more).withColumn("_id", F.rand(1)))
+
+
+@register("q5_bulk_load", f"""
+WITH RECURSIVE {O.ingest_events_cte()},
+{O.filing_html_src()},
+{O.html_ctes('fh_src')},
+{O.split_ctes('doc_text')},
+nch AS (SELECT accession_number, count(*) AS n FROM chunks GROUP BY accession_number)
+SELECT 'TK1' AS ticker, count(*) AS found, count(nch.n) AS processed, CAST(0 AS BIGINT) AS skipped, count(*) - count(nch.n) AS failed,
+       CAST(coalesce(sum(nch.n), 0) AS BIGINT) AS total_chunks, (SELECT count(*) FROM chunks c JOIN fe f USING (accession_number)
+          WHERE f.ticker = 'TK1' AND f.form IN ('10-K', '10-Q') AND right(f.accession_number, 1) <> '0') AS stored_chunks
+FROM fe LEFT JOIN nch USING (accession_number)
+WHERE ticker = 'TK1' AND form IN ('10-K', '10-Q') AND right(accession_number, 1) <> '0'""")
+def q5_bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: the report of loading a ticker's filings of two forms, and the chunks that the store then holds."""
+    from sheaf.plans.ingest import bulk_load
+    from sheaf.plans.store import FilingStore
+    store = FilingStore(spark, _shared_folder(spark, "bulk"))
+    report = bulk_load(store, tables.filing_metadata(spark, sf_dir), tables.filing_documents(spark, sf_dir), "tk1", ["10k", " 10 Q "], base_dir="/data")
+    return report.select("ticker", "found", "processed", "skipped", "failed", "total_chunks", F.lit(store.chunks().count()).alias("stored_chunks"))
+
+
+@register("k5_k6_truncate", _CHUNK_BASE + """,
+has AS (SELECT DISTINCT accession_number FROM chunks),
+n AS (SELECT (SELECT count(*) FROM live_f) AS filings, (SELECT count(*) FROM chunks c JOIN live_f USING (accession_number)) AS chunks
+      FROM (SELECT 1))
+SELECT 'written' AS step, filings, chunks, chunks AS indexed FROM n
+UNION ALL SELECT 'index emptied', filings, 0, 0 FROM n UNION ALL SELECT 'filings emptied', 0, 0, 0""".replace(
+    "n AS (SELECT", "live_f AS (SELECT accession_number FROM doc_filings JOIN has USING (accession_number) WHERE form IS DISTINCT FROM 'SRC0'),\nn AS (SELECT", 1))
+def k5_k6_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5, K6, A1, A4: counts of a store as written, without its search index, and emptied."""
+    from sheaf.plans.quality import indexed_chunk_count
+    store, rows = _written_store(spark, sf_dir), []
+    for step, empty in (("written", None), ("index emptied", store.truncate_search_index), ("filings emptied", lambda: store.truncate("filings"))):
+        if empty:
+            empty()
+        rows.append((step, store.filings().count(), store.chunks().count(), indexed_chunk_count(store.index_ready(), store.chunks())))
+    return spark.createDataFrame(rows, "step string, filings long, chunks long, indexed long")
+
+
+@register("k10_ivf_search")
+def k10_ivf_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored vector index, asked for the neighbours of the mean vector (approximate: rows only)."""
+    from sheaf.operators.ivf import VectorIndex, build_ivf
+    from sheaf.operators.semantic import centroid
+    ch, path = _emb_chunks(spark, sf_dir), _shared_folder(spark, "ivf")
+    build_ivf(ch, path)
+    return VectorIndex(spark, path).search(centroid(ch), TOP_K).select("accession_number", "chunk_index", F.round("distance", 6).alias("distance"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sheaf.config import API_TOP_K, MAX_TOP_K
 from sheaf.functions.meta import meta_field
@@ -44,10 +45,28 @@ def search(q: str, chunks: DataFrame, filings: DataFrame, index: keyword.Keyword
     qvec = encode_query(chunks.sparkSession, query, encoder)
     top = semantic.semantic_search(chunks.select(*keyword.KEY, "embedding"), qvec, k, filings, ticker, form)
     out = top.join(chunks.select(*keyword.KEY, "content", "metadata"), keyword.KEY)
-    return out.select("content", "distance", F.round(F.lit(1.0) - F.col("distance"), 4).alias("similarity"),
+    return out.select("content", "distance", similarity(F.col("distance")).alias("similarity"),
                       "accession_number", "chunk_index", "metadata").orderBy("distance", *keyword.KEY)
 
 
+def similarity(distance: F.Column) -> F.Column:
+    """P15."""
+    return F.round(F.lit(1.0) - distance, 4)
+
+
+def search_reply(q: str, chunks: DataFrame, filings: DataFrame, index: keyword.KeywordIndex | None = None, encoder=None,
+                 top_k: int = API_TOP_K, ticker: str | None = None, form: str | None = None, mode: str = "semantic") -> DataFrame:
+    """Q3 as a reply: one row of query, mode, top_k, count and results, at most top_k of them in order."""
+    query, k, m = check_request(q, top_k, mode)
+    found = search(q, chunks, filings, index, encoder, top_k, ticker, form, mode)
+    order = [F.desc("rank")] if m == "keyword" else [F.asc("distance")]
+    place = F.row_number().over(Window.orderBy(*order, *keyword.KEY)).alias("place")      # of the k result rows
+    rows = found.select(place, F.struct(*found.columns).alias("row"))
+    results = F.transform(F.array_sort(F.collect_list(F.struct("place", "row"))), lambda x: x["row"])
+    return rows.agg(F.lit(query).alias("query"), F.lit(m).alias("mode"), F.lit(k).alias("top_k"),
+                    F.count(F.lit(1)).cast("int").alias("count"), results.alias("results"))
+
+
 def stats(filings: DataFrame, chunks: DataFrame, index_ready: bool) -> DataFrame:
     """Q4 + A1: filing and chunk counts in one job, plus index readiness."""
     f = filings.agg(F.count(F.lit(1)).alias("filing_count"))
@@ -61,8 +80,6 @@ def render(results: DataFrame, score: str = "rank") -> DataFrame:
 
     ``results`` holds at most top_k (<= 100) rows, so one group is bounded.
     """
-    from pyspark.sql.window import Window
-
     # a window without partition is fine here: the input is the k result rows
     n = F.row_number().over(Window.orderBy(
         F.col(score).desc() if score == "rank" else F.col(score).asc(), "accession_number", "chunk_index"))

@@ -89,3 +89,25 @@ def wanted_documents(documents, wanted: DataFrame) -> DataFrame:
         return documents.fetch(wanted, "_path").withColumnRenamed("path", "_path")
     return (documents.select(normalize_path("path").alias("_path"), "html").join(wanted, "_path", "left_semi")
             .groupBy("_path").agg(F.min("html").alias("html")))
+
+
+def write_documents(documents: DataFrame, prefix: str, folder: str) -> int:
+    """Put (path, html) rows into files below ``folder``, ``prefix`` of a path replaced by it; each
+    task writes its own files.  Returns how many."""
+
+    def put(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        n = 0
+        for f in frames:
+            for p, html in zip(f["path"], f["html"], strict=True):
+                uri = folder + p[len(prefix):]
+                system, path = fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(path) as stream:
+                    stream.write((html or "").encode("utf-8", "surrogatepass"))
+                n += 1
+        yield pd.DataFrame({"n": [n]})
+
+    rows = documents.filter(F.startswith("path", F.lit(prefix))).select("path", "html").mapInPandas(put, "n long")
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
