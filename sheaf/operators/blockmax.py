@@ -42,11 +42,19 @@ def postings_in(blocks: DataFrame, *keep: str) -> DataFrame:
 
 @dataclass
 class Pruned:
-    """A search's result, and how many cells held a term of it and were scored."""
+    """A search's result, the cells that hold a term of it, and those that were scored."""
 
     top: DataFrame             # entry, key, rank: at most k rows
-    cells: int
-    scored: int
+    all: DataFrame
+    near: DataFrame
+
+    @property
+    def cells(self) -> int:
+        return self.all.count()
+
+    @property
+    def scored(self) -> int:
+        return self.near.count()
 
 
 def pruned_top_k(blocks: DataFrame, df: dict[str, int], n: float, avgdl: float, k: int,
@@ -76,4 +84,4 @@ def pruned_top_k(blocks: DataFrame, df: dict[str, int], n: float, avgdl: float,
     best = score(start).select(F.round("rank", 6).alias("r")).collect()               # k numbers
     enough = min(r.r for r in best) - 1e-6 if len(best) == k else float("-inf")
     near = cells.filter(F.col("bound") >= enough)
-    return Pruned(score(near), cells.count(), near.count())
+    return Pruned(score(near), cells, near)

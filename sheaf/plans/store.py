@@ -45,7 +45,6 @@ DEAD = "dead"
 POSTINGS = "postings"
 TERMS = "terms"
 TRUNCATABLE = (FILINGS, CHUNKS)
-SALTS = 8              # tasks that write a bucket
 
 DDL = {
     FILINGS: ("accession_number string, ticker string, company_name string, form string, filing_date date, "
@@ -99,11 +98,11 @@ class FilingStore:
         return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in cols])
 
     def _write(self, df: DataFrame, table: str, entry: str) -> None:
-        """One table of an entry: by bucket, sorted inside a file, a large bucket by several tasks."""
+        """One table of an entry: by bucket, sorted inside a file.  Rebalanced: a bucket is one task's, and a
+        large one is split at run time."""
         df = self._shaped(df, table).withColumn("bucket", self._bucket(table))
-        salt = F.pmod(F.xxhash64("cell") if table == POSTINGS else F.xxhash64(*df.columns[:2]), F.lit(SALTS))
         sort = ["term", "cell"] if table == POSTINGS else df.columns[:2]
-        (df.repartition("bucket", salt).sortWithinPartitions("bucket", *sort)
+        (df.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", *sort)
          .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(self._path(table, entry)))
 
     def _buckets_of(self, table: str, entry: str) -> tuple[int, ...]:
