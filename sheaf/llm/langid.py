@@ -1,7 +1,7 @@
 """Language ID by words first, then shorter and shorter character n-grams.
 
-The model holds, per language, log frequencies of its most frequent words and of
-its most frequent character n-grams of 5 letters down to 1.  A word that the
+The model holds, per language, log frequencies of its words and of its character
+n-grams of 5 letters down to 1, all that make up ``2**-SHARE`` of a language's words or n-grams.  A word that the
 tables know is scored by its word frequencies.  An unseen word is scored by its
 5-grams, if any is known, else by its 4-grams, and so on.  A text's language is the
 one with the greatest sum over its words.
@@ -26,15 +26,18 @@ from pyspark.sql.window import Window
 from sheaf.llm.common import settle, small_batches
 
 #: The model is fitted on at most so many learnable documents per language (those
-#: with the smallest hashes) and holds at most so many entries per language.
+#: with the smallest hashes).
 FIT_DOCS = 2000
-MOST_WORDS = 20_000
-MOST_GRAMS = 10_000
+#: Words, and n-grams of one order, that are less than 2**-18 of the sample's in every language are pruned, so
+#: by arithmetic a language has at most 2**18 of each.
+SHARE = 18
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTH = 0.5
 MEMORY = 1_000_000          # words whose scores a process remembers
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Numbers that are no decimal digits (superscripts, fractions, Roman numerals): of ``\w``, but no letters.
+NUMERALS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -100,9 +103,9 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.filter("lang IS NOT NULL").filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
 
 
-def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> Model:
+def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, share: int = SHARE) -> Model:
     """Learn from ``docs`` (doc_id, text, lang).  The sample of texts and the model are
-    bounded by the three parameters times the number of languages."""
+    bounded by the two parameters times the number of languages."""
     small_batches(docs.sparkSession)
     usable = learnable(docs.select(docs["doc_id"], docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang")))
     # about twice the sample passes a threshold on the hash, the smallest hashes of those are it
@@ -131,9 +134,8 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, most_words: int = MOST_WORDS,
 
     counted = sample.mapInPandas(count, "lang string, n int, gram string, k long").groupBy("lang", "n", "gram").agg(F.sum("k").alias("k"))
     counted = settle(counted, "grams")
-    top = Window.partitionBy("lang", "n").orderBy(F.desc("k"), "gram")
-    kept = (counted.withColumn("place", F.row_number().over(top))
-            .filter(F.col("place") <= F.when(F.col("n") == 0, most_words).otherwise(most_grams)).select("n", "gram").distinct())
+    sums = counted.groupBy("lang", "n").agg(F.sum("k").alias("s"))
+    kept = counted.join(sums, ["lang", "n"]).filter(F.col("k") * (1 << share) >= F.col("s")).select("n", "gram").distinct()
     got = counted.join(kept, ["n", "gram"]).select("lang", "n", "gram", "k").toArrow()      # bounded by the parameters
     totals = {(r["lang"], r["n"]): (r["s"], r["v"]) for r in
               counted.groupBy("lang", "n").agg(F.sum("k").alias("s"), F.count("*").alias("v")).collect()}
