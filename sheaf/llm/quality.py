@@ -143,8 +143,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFr
     spark = docs.sparkSession
     found = settle(features(docs.select(docs["text"], F.struct(*[docs[c] for c in keep]).alias("own"), docs["doc_id"].alias("id")),
                             ["own", "id"]).select("kept.own", "kept.id", "x"), "statistics")
-    usable = (labels.select(labels["doc_id"].alias("id"), labels["quality"].cast("int").alias("label"))
-              .filter("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
+    usable = (labels.select(labels["doc_id"].alias("id"), labels["quality"].cast("double").alias("label"))
+              .filter("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").cast("int").alias("label"))
               .filter(F.crc32(F.col("id").cast("string")) % 3 != 1))
     model = spark.sparkContext.broadcast(fit(found.join(usable, "id").select("label", "x")))
     rows = found.select(F.col("own").alias("kept"), "x", F.lit(0.0).alias("score"))
