@@ -64,16 +64,21 @@ class Hashes:
         return (cells[:, None, :] + self.moves[best]) @ self.places
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two (which changes no cosine by a bit), so that squares of very large or small numbers fit."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def units(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id and embedding (doubles) of the rows that take part, one per vec_id."""
     v = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("embedding"))
-    size = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
     fine = F.col("vec_id").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return v.filter(fine).filter((size > 0) & (size < float("inf"))).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return v.filter(fine).filter(F.exists("embedding", lambda x: x != 0)).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
 def build_index(vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
@@ -120,12 +125,12 @@ def query_blocks(queries: DataFrame) -> DataFrame:
 
 def search_shard(r, k: int) -> pd.DataFrame:
     """The k best of one shard for each query of one block."""
-    x = np.frombuffer(r.vectors, "<f8").reshape(r.n, r.dim)
+    x = scaled(np.frombuffer(r.vectors, "<f8").reshape(r.n, r.dim))
     ids = np.frombuffer(r.ids, "<i8").reshape(r.n, k + 1)
     keys = np.frombuffer(r.keys, "<i8").reshape(TABLES, r.n)
     entries = np.frombuffer(r.entries, "<i4").reshape(TABLES, r.n)
     own = np.frombuffer(r.query_ids, "<i8")
-    q = np.frombuffer(r.queries, "<f8").reshape(len(own), r.dim)
+    q = scaled(np.frombuffer(r.queries, "<f8").reshape(len(own), r.dim))
     hashes, unit = Hashes(r.dim), units(q)
     seen = np.zeros((len(own), r.n), bool)
     for t in range(TABLES):

@@ -67,3 +67,24 @@ def test_quality_nulls_labels_and_empty(spark):
     labels = spark.createDataFrame([(3, 0), (3, 1), (1, 1), (2, None), (None, 1), (5, 7)], kinds)
     assert {r["score"] for r in quality.score_quality(docs, labels, ["doc_id"]).collect()} == {1.0}
     assert quality.score_quality(docs.limit(0), labels, ["doc_id"]).count() == 0
+
+
+def test_numerals_are_no_letters():
+    assert langid.words_of("½ ² ① Ⅷ 7_8 x²y ʰa ªb") == ["x", "y", "ʰa", "ªb"]
+    assert langid.Model(["en"], {0: ({}, np.zeros((0, 1))), **{n: ({}, np.zeros((0, 1))) for n in langid.ORDERS}}).predict("½ ² ①") == ("und", 0.0)
+
+
+def test_entries_are_pruned_by_their_share_only(spark):
+    docs = spark.createDataFrame([(k, f"word{'abcdefgh'[k % 8]} the", "en") for k in range(64)], "doc_id long, text string, lang string")
+    assert set(langid.fit(docs).tables[0][0]) == {"the", *(f"word{c}" for c in "abcdefgh")}
+    assert set(langid.fit(docs, share=3).tables[0][0]) == {"the"}
+
+
+def test_labels_between_the_classes_are_skipped(spark):
+    docs = spark.createDataFrame([(k, "good words here. " * (k + 1) if k % 2 else "b@d $$$ " * (k + 1)) for k in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, float(k % 2)) for k in range(60)], "doc_id long, quality double")
+    odd = labels.unionByName(spark.createDataFrame([(k, 0.7) for k in range(1, 60, 2)], "doc_id long, quality double"))
+    scores = lambda of: sorted((r[0], round(r["score"], 9)) for r in quality.score_quality(docs, of, ["doc_id"]).select("kept.doc_id", "score").collect())
+    assert scores(labels) == scores(odd)
+    mixed = odd.filter("quality <> 1")                       # of the class 1 only labels of 0.7 are left: one class
+    assert {s for _, s in scores(mixed)} == {0.0}

@@ -175,3 +175,14 @@ def test_alignment_of_a_long_gap_without_seeds():
     b[100:600:20] = -2                                             # and changed words inside
     (x0, x1, y0, y1, part), = stretches(*columns(a, b, [0, 650], [0, 651], [60, 50]))
     assert (x0, x1, y0, y1) == (0, 700, 0, 701) and part > 0.95
+
+
+def test_very_large_and_small_components_take_part(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(120, 6))
+    scale = np.array([1e-200, 1.0, 1e200, 1e-300])[np.arange(120) % 4]
+    rows = [(k, (v * s).tolist()) for k, (v, s) in enumerate(zip(x, scale, strict=True))]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 3).toPandas()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert len(got) == 18
+    assert all(abs(r.score - unit[r.query_id] @ unit[r.vec_id]) < 1e-9 for r in got.itertuples())
