@@ -5,12 +5,13 @@
   network are needed, and it runs inside whole-stage code paths.
 * ``BatchEncoder`` - wraps a user ``encode(list[str]) -> list[list[float]]``
   (a local model, a remote service); texts go through ``mapInPandas`` in
-  batches of ``batch_size``, the encoder is built once per task, and a batch
-  whose vector count differs from its text count fails the task.
+  batches of ``batch_size``, the encoder is built once per task, a batch that fails is
+  tried again after a pause if asked to, and one whose vector count differs from its text count fails.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -38,10 +39,14 @@ class BatchEncoder:
     query_prefix: str | None = None      # E3: e.g. the model's "query" prompt
     name: str = "batch"
     max_seq_length: int = EMBED_MAX_SEQ_LENGTH
+    retries: int = 0                     # further tries of a batch that failed
+    backoff_s: float = 0.5               # before the first of them, doubled before each next one
 
     def __post_init__(self):
         if self.batch_size < 1:
             raise ValueError("batch_size must be at least 1")
+        if self.retries < 0:
+            raise ValueError("retries must not be negative")
 
 
 ENCODERS: dict[str, Callable[..., object]] = {
@@ -91,16 +96,23 @@ def _batched(df: DataFrame, text_col: str, enc: BatchEncoder, out_col: str, pref
     schema = T.StructType(df.schema.fields + more)
 
     def vectors(encode, part: list[str]) -> list[list[float]]:
-        got = encode(part)
-        if len(got) != len(part):
-            raise RuntimeError(f"encoder returned {len(got)} vectors for {len(part)} texts")
-        return [_unit(v, enc.dim) for v in got]
+        for left in range(enc.retries, -1, -1):
+            try:
+                got = encode(part)
+                if len(got) != len(part):
+                    raise RuntimeError(f"encoder returned {len(got)} vectors for {len(part)} texts")
+                return [_unit(v, enc.dim) for v in got]
+            except Exception:
+                if not left:
+                    raise
+                time.sleep(enc.backoff_s * 2 ** (enc.retries - left))
+        raise AssertionError
 
     def one(encode, text: str) -> tuple[list[float] | None, str | None]:
         try:
             return vectors(encode, [text])[0], None
         except Exception as e:  # noqa: BLE001  whatever the user's encoder raises is the filing's outcome
-            return None, str(e)[:300]
+            return None, str(e)
 
     def run(batches):
         encode = _make(enc)                      # once per task

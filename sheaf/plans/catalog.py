@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sheaf.operators import keyword
 from sheaf.operators.chunk import split_text
@@ -910,3 +911,68 @@ def k10_ivf_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     ch, path = _emb_chunks(spark, sf_dir), _shared_folder(spark, "ivf")
     build_ivf(ch, path)
     return VectorIndex(spark, path).search(centroid(ch), TOP_K).select("accession_number", "chunk_index", F.round("distance", 6).alias("distance"))
+
+
+# --- P14, S1, E1 ---------------------------------------------------------------------------------------------
+def _nested_json(d: str) -> str:
+    return (f"json_object('doc', json_object('lang', {d}.lang, 'n', {d}.n_chars % 5), 'tags', json_array({d}.source, upper({d}.lang), {d}.n_chars % 3), "
+            f"'long', {d}.n_chars > 1000)")
+
+
+@register("p14_containment", f"""
+WITH m AS (SELECT doc_id, {_nested_json('d')} AS j FROM documents d)
+SELECT doc_id, coalesce(json_extract_string(j, '$.doc.lang') = 'en', false) AS in_object,
+       list_contains(json_extract_string(j, '$.tags[*]'), 'DE') AS in_array,
+       coalesce(json_extract_string(j, '$.doc.lang') = 'fr' AND CAST(json_extract(j, '$.doc.n') AS INTEGER) = 2
+                AND CAST(json_extract(j, '$.long') AS BOOLEAN) AND list_contains(json_extract_string(j, '$.tags[*]'), 'FR'), false) AS in_all
+FROM m""")
+def p14_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted values in a nested object, in an array, and in both; the last through the inverted table."""
+    from sheaf.functions.containment import holds, leaves, search_leaves
+    from sheaf.plans.layout import stored
+    d = tables.read(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.col("n_chars").cast("long").alias("n"))
+    j = F.to_json(F.struct(F.struct("lang", (F.col("n") % 5).alias("n")).alias("doc"), (F.col("n") > 1000).alias("long"),
+                           F.array("source", F.upper("lang"), (F.col("n") % 3).cast("string")).alias("tags")))
+    rows = stored(d.select("doc_id", j.alias("j")), "metadata")
+    wanted = {"doc": {"lang": "fr", "n": 2}, "long": True, "tags": ["FR"]}
+    found = search_leaves(leaves(rows, "j", ["doc_id"]), rows, "j", ["doc_id"], wanted).select("doc_id", F.lit(True).alias("in_all"))
+    return rows.join(found, "doc_id", "left").select("doc_id", holds("j", {"doc": {"lang": "en"}}).alias("in_object"), holds("j", {"tags": ["DE"]}).alias("in_array"),
+                                                     F.coalesce("in_all", F.lit(False)).alias("in_all"))
+
+
+@register("s1_event_log", ORACLE["s3_event_validation"])
+def s1_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended to the partitions of a log by tasks, read back by the log source."""
+    import pandas as pd
+
+    from sheaf.sources.event_log import append, read_log
+    from sheaf.sources.events import parse_events
+    folder = _shared_folder(spark, "log")
+
+    def put(key, f: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"first": [append(folder, list(f.sort_values("event_no")["value"]), int(key[0]))]})
+
+    ev = _event_json(spark, sf_dir).withColumn("part", (F.col("event_no") % 4).cast("int"))
+    ev.groupBy("part").applyInPandas(put, "first long").collect()                       # one row per partition
+    no = F.row_number().over(Window.partitionBy("part").orderBy("event_no")) - 1
+    numbers = ev.select("part", "event_no", no.cast("long").alias("offset"))
+    got = read_log(spark, folder).withColumnRenamed("partition", "part").join(numbers, ["part", "offset"])
+    return parse_events(got.select("event_no", "value"), "value", ["event_no"]).select("event_no", "valid", "reject_reason", "ticker", "accession_number", "form")
+
+
+@register("e1_vector_cache", _CHUNK_BASE + """
+SELECT CAST(count(*) AS BIGINT) AS chunks, CAST(count(DISTINCT content) AS BIGINT) AS encoded, CAST(0 AS BIGINT) AS encoded_again,
+       CAST(count(*) AS BIGINT) AS unit_vectors FROM chunks""")
+def e1_vector_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct text is encoded once, and a second run encodes nothing."""
+    from sheaf.functions.vector import sq_norm
+    from sheaf.operators.embed import HashingEncoder
+    from sheaf.operators.vector_cache import VectorCache, embed_cached
+    from sheaf.plans.layout import stored
+    chunks = stored(doc_corpus(spark, sf_dir, with_index=False).chunks, "chunks")
+    cache = VectorCache(spark, _shared_folder(spark, "vectors"))
+    first = embed_cached(chunks, cache, encoder=HashingEncoder(32))[1]
+    got, again = embed_cached(chunks, cache, encoder=HashingEncoder(32))
+    unit = F.sum((F.abs(sq_norm("embedding") - 1) < 1e-5).cast("long")).alias("unit_vectors")
+    return got.agg(F.count(F.lit(1)).alias("chunks"), unit).select("chunks", F.lit(first).cast("long").alias("encoded"),
+                                                                   F.lit(again).cast("long").alias("encoded_again"), "unit_vectors")

@@ -22,7 +22,9 @@ from sheaf.functions.meta import metadata_json
 from sheaf.functions.paths import inside, normalize_path
 from sheaf.functions.text import normalize_forms, py_strip
 from sheaf.operators.chunk import chunks_sql
+from sheaf.operators.embed import embed
 from sheaf.operators.html import extract_text
+from sheaf.operators.vector_cache import VectorCache, embed_cached
 from sheaf.plans.layout import stored
 from sheaf.sources.documents import DocumentFiles, wanted_documents
 from sheaf.sources.events import TYPED_COLUMNS
@@ -117,10 +119,11 @@ def choose_writes(staged: DataFrame, skip_if_processed: bool = True) -> DataFram
 
 def ingest(events: DataFrame, documents: DataFrame | DocumentFiles, settings: Settings = Settings(), batch_id: int = 0,
            current_filings: DataFrame | None = None, skip_if_processed: bool = True, base_dir: str | None = None,
-           processed_at=None, encoder=None, materialize: bool = True) -> IngestResult:
+           processed_at=None, encoder=None, materialize: bool = True, vectors: VectorCache | None = None) -> IngestResult:
     """Q6: the whole batch.  ``materialize`` writes the per-event state once to the
     shared checkpoint folder, and the three outputs start from there.  A filing with a
-    chunk that the encoder cannot encode ends as ``failed``; the rest of the batch goes on."""
+    chunk that the encoder cannot encode ends as ``failed``; the rest of the batch goes on.
+    ``vectors``: a cache, so that only texts are encoded that it lacks."""
     s = stage(events, documents, settings, current_filings, skip_if_processed, base_dir)
     s = choose_writes(stored(s, "ingest") if materialize else s, skip_if_processed)
     ts = F.current_timestamp() if processed_at is None else F.lit(processed_at).cast("timestamp")
@@ -137,8 +140,8 @@ def ingest(events: DataFrame, documents: DataFrame | DocumentFiles, settings: Se
                       F.col("_c.content").alias("content"), metadata_json(F.col("_c.section")).alias("metadata"),
                       F.lit(batch_id).cast("long").alias("batch_id")))
     if encoder is not None:
-        from sheaf.operators.embed import embed
-        chunks = stored(embed(chunks, "content", encoder, error_col="_error"), "vectors")
+        made = embed_cached(chunks, vectors, "content", encoder, error_col="_error")[0] if vectors else embed(chunks, "content", encoder, error_col="_error")
+        chunks = stored(made, "vectors")
         bad = chunks.filter("_error IS NOT NULL").groupBy("accession_number").agg(F.min("_error").alias("_error"))
         filings = filings.join(bad, "accession_number", "left_anti")
         lost = w.select("event_no", "accession_number").join(bad, "accession_number").select("event_no", "_error")

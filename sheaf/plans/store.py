@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from sheaf.config import SEARCH_TOP_K
 from sheaf.functions.vector import check_dim
 from sheaf.operators import blockmax, keyword
+from sheaf.operators.embed import embed
+from sheaf.operators.vector_cache import VectorCache, embed_cached
 from sheaf.plans.layout import stored
 from sheaf.plans.snapshots import Entry, Snapshot, SnapshotLog
 
@@ -403,6 +405,18 @@ class FilingStore:
         while any(e.rows for e in self.snapshot().entries) and not self._rewrite(lambda now: list(now.entries), empty):
             pass
 
+    def fill_vectors(self, encoder, vectors: VectorCache | None = None) -> int:
+        """K8: give every stored chunk its vector by ``encoder``; with a cache only texts are encoded that it
+        lacks.  Returns how many chunks have a vector now."""
+        self.dim = encoder.dim
+
+        def filled(df: DataFrame) -> DataFrame:
+            bare = df.drop("embedding")
+            return embed_cached(bare, vectors, "content", encoder)[0] if vectors else embed(bare, "content", encoder)
+        while any(e.rows for e in self.snapshot().entries) and not self._rewrite(lambda now: list(now.entries), filled):
+            pass
+        return self.chunks().filter("embedding IS NOT NULL").count()
+
     def vacuum(self, older_than_s: float = 86_400.0) -> None:
         """Remove files that the newest manifest does not name and nobody has touched for ``older_than_s``
         seconds (a writer that has not committed yet, a reader of an older snapshot), and older manifests."""
