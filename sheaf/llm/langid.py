@@ -35,13 +35,19 @@ ORDERS = (5, 4, 3, 2, 1)
 SMOOTH = 0.5
 MEMORY = 1_000_000          # words whose scores a process remembers
 UNKNOWN = "und"
-#: Numbers that are no decimal digits (superscripts, fractions, Roman numerals): of ``\w``, but no letters.
-NUMERALS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
+LETTERS = re.compile(r"[^\W\d_]+")
+#: Numbers that are no decimal digits (superscripts, fractions, Roman numerals) are of ``\w``, but no letters.  A class
+#: of its own: beside categories it would be searched one by one for every character.
+NUMERAL = re.compile("[" + "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]")
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    if not text:
+        return []
+    text = text.lower()
+    if not text.isascii() and NUMERAL.search(text):
+        text = NUMERAL.sub(" ", text)
+    return LETTERS.findall(text)
 
 
 def grams(word: str, n: int) -> list[str]:
