@@ -36,17 +36,19 @@ SMOOTH = 0.5
 MEMORY = 1_000_000          # words whose scores a process remembers
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Numbers that are no decimal digits (superscripts, fractions, Roman numerals) are of ``\w``, but no letters.  A class
-#: of its own: beside categories it would be searched one by one for every character.
-NUMERAL = re.compile("[" + "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]")
+#: Numbers that are no decimal digits (superscripts, fractions, Roman numerals) are of ``\w``, but no letters.
+NUMERALS = [c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+#: Classes that are found at once: those of two bytes in a table, and a range for all others.
+NUMERAL, ASTRAL = re.compile("[" + "".join(c for c in NUMERALS if c < "\U00010000") + "]"), re.compile("[\U00010000-\U0010ffff]")
+BLANKED = dict.fromkeys(map(ord, NUMERALS), " ")
 
 
 def words_of(text: str | None) -> list[str]:
     if not text:
         return []
     text = text.lower()
-    if not text.isascii() and NUMERAL.search(text):
-        text = NUMERAL.sub(" ", text)
+    if not text.isascii() and (NUMERAL.search(text) or ASTRAL.search(text)):
+        text = text.translate(BLANKED)
     return LETTERS.findall(text)
 
 
