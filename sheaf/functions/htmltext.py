@@ -1,8 +1,9 @@
-"""The text of one HTML page: a small tree walk over the standard library's parser.
+"""The text runs of one HTML page: a small tree walk over the standard library's parser.
 
 Elements nest without bound and close by rules (void elements, implied ends, XML's
 ``/>``), which no fixed set of column expressions can follow; so a page is
-walked once, in the task that holds it, with a stack of open elements.
+walked once, in the task that holds it, with a stack of open elements.  The walk
+gives runs only; ``operators.html`` puts cells, rows, tables, blocks and texts together.
 """
 
 from __future__ import annotations
@@ -31,11 +32,6 @@ ENDS = {"li": (frozenset(("li",)), frozenset(("ul", "ol", "table"))),
 NOTHING = ("", False, None, None, None)
 
 
-def tidy(text: str) -> str:
-    """References decoded (again), NBSP to space, blanks squeezed, stripped."""
-    return re.sub(r"[ \t]+", " ", unescape(text).replace("\xa0", " ")).strip()
-
-
 class Page(HTMLParser):
     """Collects stripped text runs under the cell, block and body they belong to.
 
@@ -136,32 +132,8 @@ class Page(HTMLParser):
                 return
 
 
-def page_parts(html: str | None) -> tuple[list[tuple[int, str]], list[tuple[int, str]], str]:
-    """(table_no, text) of non-empty tables, (block_no, text) of non-empty
-    blocks, and the body's text outside tables."""
+def page_runs(html: str | None) -> list[tuple[int | None, int | None, int | None, int | None, bool, str]]:
+    """The visible text runs of a page's body in order, each with the table, row and cell and the block
+    that it belongs to, whether it is inside a table, and its text with references decoded once more."""
     page = Page(html or "")
-    cells: dict[tuple[int, int, int], list[str]] = {}
-    blocks: dict[int, list[str]] = {}
-    body = []
-    for run, in_table, block, cell in page.runs[page.body_at or 0:]:
-        if cell is not None:
-            cells.setdefault(cell, []).append(run)
-        if not in_table:
-            body.append(run)
-            if block is not None:
-                blocks.setdefault(block, []).append(run)
-    rows: dict[tuple[int, int], list[str]] = {}
-    for (table, row, _), runs in sorted(cells.items()):
-        if text := tidy(" ".join(runs)):
-            rows.setdefault((table, row), []).append(text)
-    tables: dict[int, list[str]] = {}
-    for (table, _), texts in sorted(rows.items()):
-        tables.setdefault(table, []).append(" | ".join(texts))
-    told = [(no, tidy(" ".join(runs))) for no, runs in sorted(blocks.items())]
-    return [(no, "\n".join(x)) for no, x in sorted(tables.items())], [(no, t) for no, t in told if t], tidy("\n".join(body))
-
-
-def page_text(html: str | None) -> str:
-    """Tables, then blocks, a blank line between; without either the body's text."""
-    tables, blocks, body = page_parts(html)
-    return "\n\n".join([t for _, t in tables + blocks]) or body
+    return [(*(cell or (None, None, None)), block, in_table, unescape(run)) for run, in_table, block, cell in page.runs[page.body_at or 0:]]

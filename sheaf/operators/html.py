@@ -1,7 +1,8 @@
 """Text from filing HTML (X1-X9, W5), one map-only step.
 
-Each page is walked by ``functions.htmltext`` in the task that reads it: Arrow
-batches in, text out.  No shuffle, no window and no join; a page is bounded by its file.
+Each page is walked by ``functions.htmltext`` in the task that reads it: Arrow batches in, text
+runs out, each with its table, row, cell and block.  Array expressions put the runs together.
+No shuffle, no window and no join; a page is bounded by its file.
 
 Rules (the original's parser behaviour, restated):
 
@@ -22,52 +23,98 @@ Rules (the original's parser behaviour, restated):
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaf.functions.htmltext import page_parts, page_text
+from sheaf.functions.htmltext import page_runs
+from sheaf.functions.text import py_strip_sql, sql_literal
+
+#: A text run: its table, row and cell, its block, whether it is inside a table, its text.
+RUN = T.StructType([*(T.StructField(c, T.IntegerType()) for c in ("tab", "row", "cell", "block")), T.StructField("inside", T.BooleanType()),
+                    T.StructField("text", T.StringType())])
+#: Characters that are no text in any document stand between cells, rows and groups; in a run they are replaced.
+CELL_END, ROW_END, GROUP_END = "\ufdd0", "\ufdd1", "\ufdd2"
+
+
+@F.arrow_udf(T.ArrayType(RUN))
+def html_runs(pages: pa.Array) -> pa.Array:
+    """The visible text runs of each page."""
+    found = [page_runs(h) for h in pages.to_pylist()]
+    stops = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    columns = list(zip(*(r for runs in found for r in runs), strict=True)) or [()] * 6
+    kinds = [pa.int32()] * 4 + [pa.bool_(), pa.string()]
+    fields = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+    return pa.ListArray.from_arrays(pa.array(stops), pa.StructArray.from_arrays(fields, RUN.names))
+
+
+def _tidy(x: str) -> str:
+    """X8 of a text whose references are decoded: NBSP to space, blanks squeezed, stripped."""
+    return py_strip_sql(f"regexp_replace(translate({x}, {sql_literal(chr(160))}, ' '), {sql_literal('[ ' + chr(9) + ']+')}, ' ')")
+
+
+def _groups(order: str, between: str) -> str:
+    """The runs of ``rs`` sorted by the fields ``order`` as one text: ``between`` says what stands between a run and the
+    one before (``x`` and ``y``).  A sort, a pass and a join, so time grows with the page."""
+    fields = ", ".join(f"'{f}', x.{f}" for f in order.split())
+    clean = f"translate(x.text, {sql_literal(CELL_END + ROW_END + GROUP_END)}, {sql_literal(chr(0xFFFD) * 3)})"
+    return (f"transform(array(array_sort(transform(rs, (x, i) -> named_struct({fields}, 'i', i, 'text', {clean})))), s -> "
+            f"array_join(transform(s, (x, i) -> transform(array(get(s, i - 1)), y -> concat(IF(i = 0, '', {between}), x.text))[0]), ''))[0]")
+
+
+def _named(kept: str, of: str, no: str, text: str) -> str:
+    """array<struct<no, text>> of the groups that have text."""
+    cut, none = f"split({of}, {sql_literal(GROUP_END)}, -1)", "CAST(array() AS array<struct<no: int, text: string>>)"
+    made = f"transform({cut}, g -> {text})"
+    return (f"transform(array({kept}), rs -> IF(size(rs) = 0, {none}, filter(zip_with(array_sort(array_distinct("
+            f"transform(rs, x -> x.{no}))), {made}, (n, t) -> named_struct('no', n, 'text', t)), z -> z.text <> '')))[0]")
+
+
+def tables_sql(runs: str) -> str:
+    """(table, text) of the tables with text: non-empty cells joined by " | ", non-empty rows by newlines."""
+    between = (f"CASE WHEN x.tab <> y.tab THEN {sql_literal(GROUP_END)} WHEN x.row <> y.row THEN {sql_literal(ROW_END)} "
+               f"WHEN x.cell <> y.cell THEN {sql_literal(CELL_END)} ELSE ' ' END")
+    cells = f"filter(transform(split(w, {sql_literal(CELL_END)}, -1), c -> {_tidy('c')}), c -> c <> '')"
+    rows = f"filter(transform(split(g, {sql_literal(ROW_END)}, -1), w -> array_join({cells}, ' | ')), w -> w <> '')"
+    return _named(f"filter({runs}, x -> x.cell IS NOT NULL)", _groups("tab row cell", between), "tab", f"array_join({rows}, {sql_literal(chr(10))})")
+
 
-_PART = T.ArrayType(T.StructType([T.StructField("no", T.IntegerType()), T.StructField("text", T.StringType())]))
-_PARTS = T.StructType([T.StructField("tables", _PART), T.StructField("blocks", _PART)])
+def blocks_sql(runs: str) -> str:
+    """(block, text) of the blocks with text: their runs joined by one space."""
+    between = f"IF(x.block <> y.block, {sql_literal(GROUP_END)}, ' ')"
+    return _named(f"filter({runs}, x -> x.block IS NOT NULL AND NOT x.inside)", _groups("block", between), "block", _tidy("g"))
 
 
-@F.pandas_udf(T.StringType())
-def html_text(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """X9 as a column."""
-    for page in pages:
-        yield page.map(page_text)
+def text_sql(runs: str) -> str:
+    """Tables, then blocks, a blank line between; without either the body's runs outside tables, by newlines."""
+    body = _tidy(f"array_join(transform(filter({runs}, x -> NOT x.inside), x -> x.text), {sql_literal(chr(10))})")
+    parts = f"transform(concat({tables_sql(runs)}, {blocks_sql(runs)}), p -> p.text)"
+    return f"transform(array({parts}), ps -> IF(size(ps) > 0, array_join(ps, {sql_literal(chr(10) * 2)}), {body}))[0]"
 
 
-@F.pandas_udf(_PARTS)
-def html_parts(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """X5 and X6 as a column."""
-    named = lambda parts: [{"no": no, "text": text} for no, text in parts]
-    for page in pages:
-        found = [page_parts(h) for h in page]
-        yield pd.DataFrame({"tables": [named(t) for t, _, _ in found], "blocks": [named(b) for _, b, _ in found]})
+def _with_runs(docs: DataFrame, html_col: str, keep: list[str]) -> DataFrame:
+    return docs.select(*keep, html_runs(F.coalesce(html_col, F.lit(""))).alias("_runs"))
 
 
 def extract_text(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:
     """``key, other columns..., text`` for every input row ('' when
     nothing is found, or the page is null); the html column is dropped."""
     keep = [c for c in docs.columns if c not in (key, html_col, "text")]
-    return docs.select(key, *keep, html_text(F.coalesce(html_col, F.lit(""))).alias("text"))
+    return _with_runs(docs, html_col, [key, *keep]).select(key, *keep, F.expr(text_sql("_runs")).alias("text"))
 
 
 def _parts(docs: DataFrame, key: str, html_col: str, part: str, no: str) -> DataFrame:
-    found = docs.select(key, html_parts(F.coalesce(html_col, F.lit(""))).alias("_p"))
-    return found.select(key, F.explode(f"_p.{part}").alias("_u")).select(key, F.col("_u.no").alias(no), F.col("_u.text").alias("text"))
+    found = _with_runs(docs, html_col, [key]).select(key, F.explode_outer(F.expr(part)).alias("_u")).filter("_u IS NOT NULL")
+    return found.select(key, F.col("_u.no").alias(no), F.col("_u.text").alias("text"))
 
 
 def extract_blocks(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:
     """X6 alone: ``key, block_no, text`` of every non-empty block."""
-    return _parts(docs, key, html_col, "blocks", "block_no")
+    return _parts(docs, key, html_col, blocks_sql("_runs"), "block_no")
 
 
 def extract_tables(docs: DataFrame, key: str = "accession_number", html_col: str = "html") -> DataFrame:
     """X5 alone: ``key, table_no, text`` of every non-empty table."""
-    return _parts(docs, key, html_col, "tables", "table_no")
+    return _parts(docs, key, html_col, tables_sql("_runs"), "table_no")
