@@ -976,3 +976,16 @@ def e1_vector_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit = F.sum((F.abs(sq_norm("embedding") - 1) < 1e-5).cast("long")).alias("unit_vectors")
     return got.agg(F.count(F.lit(1)).alias("chunks"), unit).select("chunks", F.lit(first).cast("long").alias("encoded"),
                                                                    F.lit(again).cast("long").alias("encoded_again"), "unit_vectors")
+
+
+# --- P17 -----------------------------------------------------------------------------------------------------
+@register("p17_rendered", _keyword_sql(KEYWORD_QUERY, 5).replace("SELECT c.content,", """
+SELECT rtrim(string_agg('[' || place || '] ' || coalesce(ticker, '?') || ' ' || coalesce(form, '?') || ' (' || accession_number || ', chunk ' || chunk_index
+       || ') rank=' || printf('%.4f', rank) || chr(10) || trim(content) || chr(10), chr(10) ORDER BY place), chr(10)) AS text
+FROM (SELECT CAST(row_number() OVER (ORDER BY round(sc.rank, 6) DESC, c.accession_number, c.chunk_index) AS INTEGER) AS place, f.ticker, f.form, c.content,""") + ")")
+def p17_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows as one text."""
+    from sheaf.plans.search import render
+    c = doc_corpus(spark, sf_dir)
+    found = keyword.keyword_search(c.index, c.chunks, c.filings, KEYWORD_QUERY, 5)
+    return render(found.select("content", F.round("rank", 6).alias("rank"), "accession_number", "chunk_index", "metadata"))
