@@ -1,4 +1,4 @@
-"""Filing events: decode, validate, files, manifests, documents.
+"""Filing events: decode, validate, files, manifests, metadata documents.
 
 An event is one JSON object with ten required fields.  Decoding keeps every
 row: bad rows get ``valid = false`` and a ``reject_reason`` instead of raising,
@@ -124,16 +124,6 @@ def typed_rows(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return validate(raw, keep)
 
 
-def read_documents(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Filing documents as ``(path, html)``; invalid UTF-8 becomes U+FFFD."""
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.option("recursiveFileLookup", "true").load(path).select(
-        F.regexp_replace("path", "^file:", "").alias("path"),
-        F.expr("make_valid_utf8(CAST(content AS STRING))").alias("html"))
-
-
 # --- metadata documents (S7, S8, W3) --------------------------------------------
 def first_metadata(meta: DataFrame) -> DataFrame:
     """S7 + W3: one document per accession number, ``_id`` removed.
