@@ -82,7 +82,7 @@ class FilingStore:
     dim: int | None = None           # vectors of another length are refused (P18)
     key_buckets: int = 8             # fixed when a store is made, as
     term_buckets: int = 16           # is this
-    merge_factor: int | None = None  # merge after a write when so many entries are of similar size
+    merge_factor: int | None = 8     # merge after a write when so many entries are of similar size; None: never
 
     def __post_init__(self):
         self.log = SnapshotLog(self.spark, f"{self.root.rstrip('/')}/_log")

@@ -65,3 +65,25 @@ def test_vectors_are_filled_in_after_a_change_of_dimension(spark):
     assert store.fill_vectors(HashingEncoder(4), cache) == 2
     assert {len(r.embedding) for r in store.chunks().collect()} == {4} and store.index_ready()
     assert embed_cached(c, cache, encoder=HashingEncoder(4))[1] == 0                # the cache holds them now
+
+
+def test_a_querys_prompt_and_the_choice_of_an_encoder(spark):
+    from sheaf.operators.embed import encode_query, get_encoder
+
+    def factory(max_seq_length):
+        return lambda texts: [[float(len(t)), float(max_seq_length)] for t in texts]
+    enc = get_encoder("batch", factory=factory, dim=2, query_prefix="ask: ", max_seq_length=10)
+    asked, told = encode_query(spark, "four", enc), embed(spark.createDataFrame([(1, "four")], TEXT), encoder=enc).first().embedding
+    assert asked[0] / asked[1] == pytest.approx(0.9) and told[0] / told[1] == pytest.approx(0.4)
+    assert get_encoder("hashing", dim=8) == HashingEncoder(8)
+    with pytest.raises(ValueError, match="unsupported embedding backend"):
+        get_encoder("other")
+
+
+def test_a_stream_of_small_batches_is_merged(spark):
+    store = FilingStore(spark, tempfile.mkdtemp(prefix="sheaf-merge-"), key_buckets=2, term_buckets=2, merge_factor=3)
+    for k in range(5):
+        f = spark.createDataFrame([(f"f{k}", dt.datetime(2024, 1, 1), 1, False, k)], "accession_number string, processed_at timestamp, chunk_count int, deleted boolean, batch_id long")
+        c = spark.createDataFrame([(f"f{k}", 0, f"text {k}", k)], "accession_number string, chunk_index int, content string, batch_id long")
+        store.write_batch(f, c, "run", k)
+    assert len(store.snapshot().entries) == 3 and store.chunks().count() == 5 and store.index_ready()
