@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sheaf.config import Settings
 from sheaf.plans.ingest import ingest
-from sheaf.plans.layout import stored
+from sheaf.plans.layout import scratch_scope, stored
 from sheaf.plans.store import FilingStore, run_id_of
 from sheaf.session import ensure_checkpoint_dir
 from sheaf.sources.documents import DocumentFiles
@@ -58,8 +58,14 @@ def file_events(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 def process_batch(batch: DataFrame, batch_id: int, store: FilingStore, documents: DataFrame | DocumentFiles, run_id: str,
                   metadata: DataFrame | None = None, settings: Settings = Settings(),
                   skip_if_processed: bool = True, base_dir: str | None = None, encoder=None) -> None:
-    """One micro-batch: decode -> enrich -> ingest -> chunks, index, filings, outcomes."""
+    """One micro-batch: decode -> enrich -> ingest -> chunks, index, filings, outcomes.  Its
+    intermediate tables go when it is done."""
     ensure_checkpoint_dir(batch.sparkSession)
+    with scratch_scope(batch.sparkSession):
+        _process(batch, batch_id, store, documents, run_id, metadata, settings, skip_if_processed, base_dir, encoder)
+
+
+def _process(batch, batch_id, store, documents, run_id, metadata, settings, skip_if_processed, base_dir, encoder) -> None:
     if "event_no" not in batch.columns:    # file source: arrival order inside the batch
         batch = batch.withColumn("event_no", F.monotonically_increasing_id())
     events = parse_events(batch.select("value", "event_no"), "value", ["event_no"])

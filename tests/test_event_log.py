@@ -83,3 +83,13 @@ def test_run_control(spark):
     assert "no luck" in failing.history().filter("event = 'failed'").first().error
     run.start()                                                              # after an end it may start again
     assert run.stop(60)
+
+
+def test_a_micro_batch_leaves_no_tables_of_its_own(spark):
+    from sheaf.session import ensure_checkpoint_dir
+    root = tempfile.mkdtemp(prefix="sheaf-scope-")
+    store = FilingStore(spark, os.path.join(root, "tables"), key_buckets=2, term_buckets=2)
+    docs = spark.createDataFrame([("/data/a.htm", PAGE)], "path string, html string")
+    before = set(os.listdir(ensure_checkpoint_dir(spark)))
+    ingest_stream.process_batch(spark.createDataFrame([(0, json.dumps(EVENT))], "event_no long, value string"), 0, store, docs, "run")
+    assert store.filings().count() == 1 and set(os.listdir(ensure_checkpoint_dir(spark))) == before
