@@ -70,6 +70,7 @@ def mix(docs: DataFrame, keep: Sequence[str], weights: Sequence[int] = WEIGHTS,
     Null text has size 0; a null source is a source of its own, the last.  A source
     of no words has target 0 and expected copies 0.  Equal rows are ordered
     arbitrarily among themselves, which changes no sum.  An empty table gives no rows.
+    A very long text counts whole and is taken whole, so a source may miss its target by its size.
     The offset and the order depend on ``seed``, source and doc_id alone: reruns agree.
     """
     sized = settle(docs.select(F.struct(*[docs[c] for c in keep]).alias("kept"), docs["doc_id"].alias("doc_id"), docs["source"].cast("string").alias("source"),

@@ -36,7 +36,8 @@ STRIP = bytes(b for b in range(256) if b not in MARKS)
 
 
 def statistics(text: bytes | None) -> list[float]:
-    """The transformed statistics of a whole text; null counts as empty."""
+    """The transformed statistics of a whole text; null counts as empty.  Marks, capitals and digits are those of
+    ASCII, so in other scripts these shares are constant."""
     text = text or b""
     words = text.split()
     n, w = len(text), len(words)

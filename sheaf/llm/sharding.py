@@ -143,6 +143,7 @@ def shard_documents(docs: DataFrame, keep: list[str], shards: int = SHARDS) -> D
 
     A null text has size 1, the checksum of no bytes and no links.  Null doc_ids come
     first in their shard; equal rows stand in any order.  An empty table gives no rows.
+    A very long text is never cut: its shard is larger by what it alone holds.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("node"), F.struct(*[docs[c] for c in keep]).alias("kept"),
                        docs["text"].cast("string").alias("text"))

@@ -110,7 +110,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     no rule fits: a filter of listed hosts lets the rest pass.  Null url or no
     ``://``: host and path empty, no rule.  Rules with a null host or path, or an
     empty host, fit nothing.  Repeated pages give repeated rows; null ids and extra
-    columns are harmless; an empty table gives no rows, no rules the default.
+    columns are harmless; an empty table gives no rows, no rules the default.  A very long
+    url is judged whole, by its whole path.
     """
     spark = pages.sparkSession
     hosted = pages.select(F.monotonically_increasing_id().alias("row"), pages["page_id"].alias("page_id"),
