@@ -14,6 +14,7 @@ the columns of ``docs``.
    as the mix's copies, are linked.
 
 Rows, not ids, are decided on, so repeated and null ids lose nothing else.
+Very long texts go through every stage whole, never cut.
 Empty inputs give empty results; columns named like a result of an operator are kept as they are,
 but for shard and slot, which the last stage replaces.
 """
@@ -31,12 +32,14 @@ def _kept(df: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text has a letter; an empty table stays empty."""
     from sheaf.llm.langid import UNKNOWN, fit, identify
 
     return _kept(identify(docs, fit(docs), docs.columns).filter(F.col("lang_pred") != UNKNOWN))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of linked fingerprints: the smallest doc_id's, null ids after all others, of equal ids the first."""
     from sheaf.llm.simhash import near_dedup
 
     rows = docs.withColumn("_sheaf_row", F.monotonically_increasing_id())
@@ -49,12 +52,14 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a word of a benchmark window; null and empty texts stay."""
     from sheaf.llm.decontam import decontaminate
 
     return _kept(decontaminate(docs, table(spark, sf_dir, "benchmark"), docs.columns).filter(F.size("spans") == 0))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row as often as the mix takes it: never, once or twice."""
     from sheaf.llm.mixing import mix
 
     rows = docs.withColumn("_sheaf_row", F.monotonically_increasing_id())
@@ -65,6 +70,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its shard and slot; a column of these names in ``docs`` is replaced."""
     from sheaf.llm.sharding import shard_documents
 
     rows = docs.withColumn("_sheaf_row", F.monotonically_increasing_id())
