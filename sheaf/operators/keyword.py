@@ -224,8 +224,10 @@ def _score_cell(k: int, match_all: bool, n: float, avgdl: float, k1: float = BM2
             for at, q in enumerate(queries):
                 for t in q["terms"]:
                     uses.setdefault(t, []).append(at)
-            f = postings.sort_values(KEY, ignore_index=True)
-            new = ((f["accession_number"] != f["accession_number"].shift()) | (f["chunk_index"] != f["chunk_index"].shift())).to_numpy()
+            code = postings.groupby(KEY, sort=False).ngroup().to_numpy()      # a number for each chunk: no sort of texts
+            order = np.argsort(code, kind="stable")
+            f, code = postings.iloc[order].reset_index(drop=True), code[order]
+            new = np.r_[True, code[1:] != code[:-1]]
             starts = np.flatnonzero(new)
             best: list[list[tuple]] = [[] for _ in qids]
             for lo in range(0, len(starts), SLICE):
