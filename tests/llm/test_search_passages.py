@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sheaf.llm.ann import nearest
-from sheaf.llm.passages import GAP_COST, LEAST_SEEDS, chains, columns, seeds_of, shared_passages, stretches, word_hashes
+from sheaf.llm.passages import GAP_COST, LEAST_SEEDS, chains, columns, longest, seeds_of, shared_passages, stretches, word_hashes
 
 VECTORS = "vec_id long, embedding array<float>"
 
@@ -168,6 +168,46 @@ def test_fuzzy_passages_at_the_limit_are_found(spark):
     assert len(found) > 250 and all(found) and len(found) >= 0.95 * len(want)
 
 
+@given(st.lists(st.booleans(), min_size=1, max_size=40))
+def test_the_longest_stretch_is_that_of_all_stretches(flags):
+    eq = np.array(flags)
+    sizes = [b - a for a in range(len(eq)) for b in range(a + 1, len(eq) + 1) if eq[a] and eq[b - 1] and eq[a:b].mean() >= 0.8 - 1e-9]
+    found = longest(eq, 0.8) if eq.any() else None
+    assert (found[1] - found[0] if found else 0) == max(sizes, default=0)
+
+
+def test_every_fuzzy_copy_with_a_partner_is_linked(spark):
+    rng = random.Random(10)
+    prose = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    rows, groups = [], []
+    for rate in (0.1, 0.12):
+        p = prose(60)
+        copies = [[w if rng.random() >= rate else f"x{rng.randrange(10**9)}" for w in p] for _ in range(500)]
+        groups.append((len(rows), np.array([[w == q for w, q in zip(c, p, strict=True)] for c in copies], int)))
+        rows += [(len(rows) + k, " ".join(prose(rng.randint(20, 90)) + c + prose(40))) for k, c in enumerate(copies)]
+    found = shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "other_id").toPandas()
+    linked = np.zeros((len(rows), len(rows)), bool)
+    linked[found.doc_id, found.other_id] = linked[found.other_id, found.doc_id] = True
+
+    def reach(adjacent):
+        label = np.arange(len(adjacent))
+        while True:
+            least = np.where(adjacent, label[None, :], len(label)).min(axis=1)
+            new = np.minimum(label, least)
+            if (new == label).all():
+                return label
+            label = new
+    for base, kept in groups:
+        # equal words of two copies, brute force over all pairs; a copy's changed words are its own
+        like = (kept @ kept.T) >= 48
+        np.fill_diagonal(like, False)
+        mine = linked[base:base + 500, base:base + 500]
+        want, got = like.any(axis=1), mine.any(axis=1)
+        a, b = reach(like), reach(mine)
+        print(want.sum(), (want & got).sum(), len(np.unique(a)), len(np.unique(b)))
+        assert got[want].all() and all((b[like[k]] == b[k]).all() for k in range(500))
+
+
 def test_alignment_of_a_long_gap_without_seeds():
     rng = np.random.default_rng(9)
     a = rng.integers(0, 10**6, 700)
