@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,17 +38,31 @@ RUN = T.StructType([*(T.StructField(c, T.IntegerType()) for c in ("tab", "row",
                     T.StructField("text", T.StringType())])
 #: Characters that are no text in any document stand between cells, rows and groups; in a run they are replaced.
 CELL_END, ROW_END, GROUP_END = "\ufdd0", "\ufdd1", "\ufdd2"
+BYTES_AT_ONCE = 1 << 20    # of pages whose runs are Python objects together
+PAGES_AT_ONCE = 500        # of an Arrow batch, which is whole in Python
 
 
 @F.arrow_udf(T.ArrayType(RUN))
 def html_runs(pages: pa.Array) -> pa.Array:
     """The visible text runs of each page."""
-    found = [page_runs(h) for h in pages.to_pylist()]
-    stops = np.cumsum([0, *map(len, found)], dtype=np.int32)
-    columns = list(zip(*(r for runs in found for r in runs), strict=True)) or [()] * 6
-    kinds = [pa.int32()] * 4 + [pa.bool_(), pa.string()]
-    fields = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-    return pa.ListArray.from_arrays(pa.array(stops), pa.StructArray.from_arrays(fields, RUN.names))
+    return runs_of(pages)
+
+
+def runs_of(pages: pa.Array, at_once: int = BYTES_AT_ONCE) -> pa.Array:
+    """A batch of pages -> their runs.  As Python objects there are only those of pages of ``at_once``
+    bytes (or of one larger page); they become Arrow columns before the next are walked."""
+    kinds, parts, k = [pa.int32()] * 4 + [pa.bool_(), pa.string()], [], 0
+    ends = np.cumsum(pc.fill_null(pc.binary_length(pages), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    while k < len(pages) or not parts:
+        done = ends[k - 1] if k else 0
+        n = max(1, int(np.searchsorted(ends, done + at_once, side="right")) - k)
+        found = [page_runs(h.as_py()) for h in pages.slice(k, n)]
+        stops = np.cumsum([0, *map(len, found)], dtype=np.int32)
+        columns = list(zip(*(r for runs in found for r in runs), strict=True)) or [()] * 6
+        fields = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+        parts.append(pa.ListArray.from_arrays(pa.array(stops), pa.StructArray.from_arrays(fields, RUN.names)))
+        k += n
+    return pa.concat_arrays(parts)
 
 
 def _tidy(x: str) -> str:
@@ -95,6 +110,9 @@ def text_sql(runs: str) -> str:
 
 
 def _with_runs(docs: DataFrame, html_col: str, keep: list[str]) -> DataFrame:
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= PAGES_AT_ONCE:
+        conf.set(name, str(PAGES_AT_ONCE))                       # Spark bounds a batch's bytes beside
     return docs.select(*keep, html_runs(F.coalesce(html_col, F.lit(""))).alias("_runs"))
 
 

@@ -66,3 +66,30 @@ def test_references_are_decoded_twice(spark):
     cases = ["a &amp; b", "&amp;amp;", "&copy 2024", "&notit;", "&#65;&#x42;", "&#128;", "x & y", "&Aacute;&aacute", "&#x1F600;"]
     got = _text(spark, {c: f"<p>.{c}.</p>" for c in cases})
     assert got == {c: "." + pyhtml.unescape(pyhtml.unescape(c)) + "." for c in cases}
+
+
+def test_runs_of_few_pages_are_python_objects_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    from sheaf.operators import html
+
+    pages = [FILING, None, "", "<p>one</p>", "<p>two <b>three</b></p>"] * 5
+    held, most = [0], [0]
+
+    class Walked(list):
+        def __init__(self, runs):
+            super().__init__(runs)
+            held[0] += 1
+
+        def __del__(self):
+            held[0] -= 1
+
+    walk = html.page_runs
+    given = [p or "" for p in pages]
+    whole = html.runs_of(pa.array(given)).to_pylist()
+    monkeypatch.setattr(html, "page_runs", lambda h: (Walked(walk(h)), most.append(held[0]))[0])
+    assert html.runs_of(pa.array(given), 100).to_pylist() == whole == [[dict(zip(html.RUN.names, r, strict=True)) for r in walk(h)] for h in given]
+    assert max(most) <= 12                      # of 25 pages
+    df = spark.createDataFrame([("a", FILING)], "accession_number string, html string")
+    assert extract_text(df).count() == 1
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= html.PAGES_AT_ONCE
