@@ -17,12 +17,16 @@ ticker/form filters apply afterwards, as in the original.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sheaf.config import BM25_B, BM25_K1, SEARCH_TOP_K
@@ -34,6 +38,7 @@ QUERY_BLOCK = 256          # queries scored together
 CELL_CHUNKS = 1 << 16      # chunks of a cell of the batch search
 SLICE = 4096               # chunks scored against a cell's queries at once
 SALTS = 4                  # files of a term bucket
+CHUNKS_AT_ONCE = 512       # chunks whose terms are counted together
 
 
 @dataclass
@@ -48,21 +53,42 @@ def term_bucket(term_col: F.Column, buckets: int) -> F.Column:
     return F.pmod(F.xxhash64(term_col), F.lit(buckets)).cast("int")
 
 
+def counted(words: pa.Array, group: np.ndarray, of: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, the group and the row (both numbers) each is in -> its distinct words, and per (group, word, row)
+    in order: group, number of the word, row, how often."""
+    coded = words.dictionary_encode()
+    n, m = max(1, len(coded.dictionary)), int(of.max(initial=0)) + 1
+    key, times = np.unique((group * n + coded.indices.to_numpy(zero_copy_only=False)) * m + of, return_counts=True)
+    return coded.dictionary, key // m // n, key // m % n, key % m, times
+
+
+def words_of(lists: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """An array of word lists -> all words, the row of each, the words of each row."""
+    sizes = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return lists.flatten(), np.repeat(np.arange(len(lists)), sizes), sizes
+
+
 def postings_of(chunks: DataFrame, more: list[str] | None = None) -> DataFrame:
     """(term, key.., more.., tf, dl), one row per distinct term of a chunk.
 
-    Chunks are single rows, so their terms are counted inside the row: the sorted
-    tokens' runs.  Nothing is shuffled.
+    Chunks are single rows, so their terms are counted where they are, ``CHUNKS_AT_ONCE``
+    chunks together.  Nothing is shuffled.
     """
     cols = [*KEY, *(more or [])]
-    sorted_ = chunks.select(*cols, F.sort_array(tokens("content")).alias("_t"))
-    last = F.filter(F.transform("_t", lambda t, i: F.when(F.get("_t", i + 1).eqNullSafe(t), F.lit(None)).otherwise(
-        F.struct(t.alias("term"), (i + 1).alias("upto")))), lambda x: x.isNotNull())
-    runs = sorted_.select(*cols, F.size("_t").alias("dl"), last.alias("_r"))
-    tf = F.transform("_r", lambda r, i: F.struct(
-        r["term"].alias("term"), (r["upto"] - F.when(i > 0, F.get("_r", i - 1)["upto"]).otherwise(0)).alias("tf")))
-    return (runs.select(*cols, "dl", F.explode(tf).alias("_p"))
-            .select(F.col("_p.term").alias("term"), *cols, F.col("_p.tf").cast("int").alias("tf"), F.col("dl").cast("int").alias("dl")))
+    src = chunks.select(*cols, tokens("content").alias("_t"))
+    schema = T.StructType([T.StructField("term", T.StringType()), *(src.schema[c] for c in cols),
+                           T.StructField("tf", T.IntegerType()), T.StructField("dl", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, CHUNKS_AT_ONCE):
+                part = batch.slice(k, CHUNKS_AT_ONCE)
+                words, row, dl = words_of(part.column("_t"))
+                terms, _, term, row, tf = counted(words, np.zeros(len(row), np.int64), row)
+                yield pa.RecordBatch.from_arrays([terms.take(pa.array(term)), *(part.column(c).take(pa.array(row)) for c in cols),
+                                                  pa.array(tf.astype(np.int32)), pa.array(dl[row].astype(np.int32))], schema.names)
+
+    return src.mapInArrow(run, schema)
 
 
 def lengths_of(chunks: DataFrame, more: list[str] | None = None) -> DataFrame:

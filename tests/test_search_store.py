@@ -1,7 +1,9 @@
 """K1-K7, Q1, Q2, Q3, Q4, P12, P15, P17, T4, A2, A6, A9, J5, E1-E4."""
 
+import collections
 import datetime as dt
 import math
+import re
 import tempfile
 
 import pytest
@@ -207,3 +209,38 @@ def test_batch_search_gives_k_rows_when_the_index_is_older_than_the_chunks(spark
     queries = spark.createDataFrame([(1, "river"), (2, "pumps")], "query_id long, text string")
     got = keyword.keyword_search_batch(index, left, queries, top_k=3).orderBy("query_id", "rank_no").collect()
     assert [(r.query_id, r.accession_number) for r in got] == [(1, "a3"), (1, "a4"), (1, "a5"), (2, "a9"), (2, "a8"), (2, "a7")]
+
+
+def _many_chunks(spark, n=700):
+    rows = [(f"f{k % 40:02d}" if k % 97 else None, k // 40, None if k % 31 == 5 else " ".join(f"W{k % m}-w{k % (m + 1)}" for m in range(2, 2 + k % 9)))
+            for k in range(n)]
+    return spark.createDataFrame(rows, "accession_number string, chunk_index int, content string"), rows
+
+
+def _counted(rows):
+    out = []
+    for a, i, text in rows:
+        words = [w for w in re.split("[^a-z0-9]+", (text or "").lower()) if w]
+        out += [(t, a, i, n, len(words)) for t, n in collections.Counter(words).items()]
+    return collections.Counter(out)
+
+
+def _small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "37")
+    return lambda: spark.conf.set(name, was)
+
+
+def test_postings_are_counted_where_the_chunks_are(spark):
+    chunks, rows = _many_chunks(spark)
+    back = _small_batches(spark)
+    try:
+        found = keyword.postings_of(chunks.withColumn("sign", F.lit(-1)), ["sign"])
+        got = collections.Counter((r.term, r.accession_number, r.chunk_index, r.tf, r.dl) for r in found.collect())
+    finally:
+        back()
+    assert got == _counted(rows) and {r.sign for r in found.limit(5).collect()} == {-1}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
+    assert keyword.postings_of(chunks.limit(0)).count() == 0
