@@ -101,10 +101,11 @@ class FilingStore:
 
     def _write(self, df: DataFrame, table: str, entry: str) -> None:
         """One table of an entry: by bucket, sorted inside a file.  Rebalanced: a bucket is one task's, and a
-        large one is split at run time."""
+        large one is split at run time.  Blocks are most of a store and stay where their cells were made:
+        each task writes its part of every bucket."""
         df = self._shaped(df, table).withColumn("bucket", self._bucket(table))
         sort = ["term", "cell"] if table == POSTINGS else df.columns[:2]
-        (df.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", *sort)
+        ((df if table == POSTINGS else df.hint("rebalance", F.col("bucket"))).sortWithinPartitions("bucket", *sort)
          .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(self._path(table, entry)))
 
     def _buckets_of(self, table: str, entry: str) -> tuple[int, ...]:
@@ -167,7 +168,7 @@ class FilingStore:
         self._write(keyword.lengths_of(mine), LENGTHS, entry)
         new = self._files(new, LENGTHS)
         size = self._read(LENGTHS, [new]).agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("t")).first()
-        self._write(blockmax.blocks_of(keyword.postings_of(mine), size.n), POSTINGS, entry)
+        self._write(blockmax.blocks_of(mine, size.n), POSTINGS, entry)
         self._write(filings.withColumn("run_id", F.lit(run_id)), FILINGS, entry)
         new = self._files(new, POSTINGS, FILINGS)
         batches = {r.batch_id for r in self._read(FILINGS, [new]).select("batch_id").distinct().collect()}     # one, as a rule
@@ -353,10 +354,10 @@ class FilingStore:
         live = lambda t: self._read(t, mine.entries).join(dead, ["accession_number", "entry"], "left_anti")
         self._write(live(FILINGS), FILINGS, new.id)
         self._write(chunks(live(CHUNKS)), CHUNKS, new.id)
+        kept = self._read(CHUNKS, [self._files(new, CHUNKS)])
         self._write(live(LENGTHS), LENGTHS, new.id)
         n = live(LENGTHS).count()
-        self._write(blockmax.blocks_of(blockmax.postings_in(self._read(POSTINGS, old), "entry").join(dead, ["accession_number", "entry"], "left_anti"), n),
-                    POSTINGS, new.id)
+        self._write(blockmax.blocks_of(kept, n), POSTINGS, new.id)              # cells are dealt anew, so by chunk
         self._write(self._read(TERMS, old).groupBy("term").agg(F.sum("df").alias("df")).filter("df <> 0"), TERMS, new.id)
         new = self._files(replace(new, rows=n, chunks=sum(e.chunks for e in old), tokens=sum(e.tokens for e in old)),
                           FILINGS, CHUNKS, LENGTHS, POSTINGS, TERMS)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheaf.functions.meta import metadata_json
-from sheaf.operators import keyword, semantic
+from sheaf.operators import blockmax, keyword, semantic
 from sheaf.operators.embed import BatchEncoder, HashingEncoder, embed, get_encoder
 from sheaf.plans import quality, search
 from sheaf.plans.store import FilingStore
@@ -244,3 +244,19 @@ def test_postings_are_counted_where_the_chunks_are(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "MapInArrow" in plan
     assert keyword.postings_of(chunks.limit(0)).count() == 0
+
+
+def test_blocks_shuffle_texts_once_and_no_postings(spark):
+    chunks, rows = _many_chunks(spark)
+    back = _small_batches(spark)
+    try:
+        blocks = blockmax.blocks_of(chunks, len(rows))
+        got = blocks.collect()
+    finally:
+        back()
+    assert collections.Counter((b.term, p.accession_number, p.chunk_index, p.tf, p.dl) for b in got for p in b.list) == _counted(rows)
+    assert len({(b.term, b.cell) for b in got}) == len(got) and len({b.cell for b in got}) > 1     # a block is whole
+    assert all((b.n, b.max_tf, b.min_dl) == (len(b.list), max(p.tf for p in b.list), min(p.dl for p in b.list)) for b in got)
+    plan = blocks._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan
+    assert blockmax.blocks_of(chunks.limit(0), 0).count() == 0
