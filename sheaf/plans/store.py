@@ -145,6 +145,12 @@ class FilingStore:
         dead = self._read(DEAD, now.entries, buckets).select("accession_number", F.col("target").alias("entry"))
         return self._read(table, now.entries, buckets).join(dead, ["accession_number", "entry"], "left_anti")
 
+    def _dead_in_force(self, now: Snapshot) -> DataFrame:
+        """(accession_number, entry) of the dead versions whose entry is still there, as a table of known size:
+        a merge leaves marks of the entries that it replaced."""
+        dead = self._read(DEAD, now.entries).filter(F.col("target").isin(sorted(now.ids)))
+        return stored(dead.select("accession_number", F.col("target").alias("entry")), "dead")
+
     def _key_buckets(self, keys: DataFrame) -> list[int]:
         """The buckets of a batch's keys: at most ``key_buckets`` numbers."""
         rows = keys.select("accession_number").filter("accession_number IS NOT NULL").select(self._bucket(FILINGS).alias("b")).distinct()
@@ -272,8 +278,11 @@ class FilingStore:
     def keyword_index(self) -> keyword.KeywordIndex:
         """K9: the index of the current chunks as plain tables; statistics are sums of changes."""
         now = self.snapshot()
-        dead = self._read(DEAD, now.entries).select("accession_number", F.col("target").alias("entry"))
-        postings = blockmax.postings_in(self._read(POSTINGS, now.entries), "entry").join(dead, ["accession_number", "entry"], "left_anti")
+        dead = self._dead_in_force(now)
+        hit = {r.entry for r in dead.select("entry").distinct().collect()}             # of the snapshot's entries
+        of = lambda some: blockmax.postings_in(self._read(POSTINGS, some), "entry")
+        whole = of([e for e in now.entries if e.id not in hit])
+        postings = whole.unionByName(of([e for e in now.entries if e.id in hit]).join(dead, ["accession_number", "entry"], "left_anti")) if hit else whole
         terms = self._read(TERMS, now.entries).groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
         corpus = self.spark.createDataFrame([self._corpus(now)], "n_chunks long, avgdl double")
         return keyword.KeywordIndex(postings.select("term", *keyword.KEY, "tf", "dl"), terms, corpus, None)

@@ -260,3 +260,15 @@ def test_blocks_shuffle_texts_once_and_no_postings(spark):
     plan = blocks._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan
     assert blockmax.blocks_of(chunks.limit(0), 0).count() == 0
+
+
+def test_postings_meet_only_marks_that_are_in_force(spark):
+    store = _store(spark, merge_factor=None)
+    for k in (1, 2):
+        store.write_batch(*_batch(spark, f"rvp-{k}", CHUNK, k, dt.datetime(2021, 4, k)), f"run-{k}")
+    store.delete(["rvp-1"])
+    assert _accessions(store.keyword_index().postings.select("accession_number").distinct()) == ["rvp-2"]
+    store.compact()
+    postings = store.keyword_index().postings
+    assert _accessions(postings.select("accession_number").distinct()) == ["rvp-2"]
+    assert "LeftAnti" not in postings._jdf.queryExecution().executedPlan().toString()
