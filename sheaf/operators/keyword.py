@@ -18,7 +18,7 @@ ticker/form filters apply afterwards, as in the original.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -47,6 +47,7 @@ class KeywordIndex:
     terms: DataFrame
     corpus: DataFrame
     buckets: int | None = DEFAULT_BUCKETS
+    chunks: DataFrame | None = None          # what it was built from in this session
 
 
 def term_bucket(term_col: F.Column, buckets: int) -> F.Column:
@@ -107,7 +108,7 @@ def index_of(postings: DataFrame, lengths: DataFrame, buckets: int | None = None
 def build_index(chunks: DataFrame, buckets: int = DEFAULT_BUCKETS) -> KeywordIndex:
     """K9: the index of all ``chunks``, postings with their term bucket."""
     postings = postings_of(chunks).select(term_bucket(F.col("term"), buckets).alias("bucket"), "term", *KEY, "tf", "dl")
-    return index_of(postings, lengths_of(chunks), buckets)
+    return replace(index_of(postings, lengths_of(chunks), buckets), chunks=chunks)
 
 
 def write_index(index: KeywordIndex, path: str, mode: str = "overwrite") -> None:
@@ -169,6 +170,14 @@ def score_terms(index: KeywordIndex, qterms: DataFrame, group: list[str] | None
             .agg(F.sum(w).alias("rank"), F.count(F.lit(1)).alias("n_match")))
 
 
+def of_chunks(rows: DataFrame, index: KeywordIndex, chunks: DataFrame) -> DataFrame:
+    """Rows of the index whose chunk is one of ``chunks``.  An index may be older than the chunks: what is
+    gone must not take one of the k places.  One that was built from this very table has no other."""
+    if index.chunks is chunks:
+        return rows.filter(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())
+    return rows.join(chunks.select(*KEY), KEY, "left_semi")
+
+
 def keyword_search(index: KeywordIndex, chunks: DataFrame, filings: DataFrame, query: str,
                    top_k: int = SEARCH_TOP_K, ticker: str | None = None, form: str | None = None,
                    match_all: bool = False) -> DataFrame:
@@ -191,8 +200,7 @@ def keyword_search(index: KeywordIndex, chunks: DataFrame, filings: DataFrame, q
     scored = score_terms(idx, F.broadcast(qt))
     if match_all:
         scored = scored.filter(F.col("n_match") == len(terms))
-    # an index may be older than the chunks: what is gone must not take one of the k places
-    scored = scored.join(chunks.select(*KEY), KEY, "left_semi")
+    scored = of_chunks(scored, index, chunks)
     scored = apply_filing_filters(scored, filings, ticker, form)
     return top_k_with_content(scored, chunks, top_k)
 
@@ -305,8 +313,7 @@ def keyword_search_batch(index: KeywordIndex, chunks: DataFrame, queries: DataFr
     asked = asked.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     wanted = asked.select("qb", F.explode("terms").alias("term")).distinct().join(index.terms, "term")
     matched = index.postings.join(wanted, "term").select("qb", "term", *KEY, "tf", "dl", "df")
-    # an index may be older than the chunks: what is gone must not take one of the k places
-    matched = matched.join(chunks.select(*KEY), KEY, "left_semi").withColumn("cell", F.pmod(F.xxhash64(*KEY), F.lit(cells)).cast("int"))
+    matched = of_chunks(matched, index, chunks).withColumn("cell", F.pmod(F.xxhash64(*KEY), F.lit(cells)).cast("int"))
     packed = (asked.groupBy("qb").agg(F.collect_list(F.struct("query_id", "terms")).alias("queries"))
               .select(F.col("qb").alias("block"), "queries", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("share")))
     scored = matched.groupBy("qb", "cell").cogroup(packed.groupBy("block", "share")).applyInPandas(

@@ -272,3 +272,16 @@ def test_postings_meet_only_marks_that_are_in_force(spark):
     postings = store.keyword_index().postings
     assert _accessions(postings.select("accession_number").distinct()) == ["rvp-2"]
     assert "LeftAnti" not in postings._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_index_of_these_chunks_is_not_joined_with_them(spark):
+    chunks, _ = _many_chunks(spark)
+    chunks = chunks.withColumn("metadata", F.lit("{}"))
+    index, queries = keyword.build_index(chunks), spark.createDataFrame([(1, "w2 w5"), (2, "w1")], "query_id long, text string")
+    found = keyword.keyword_search_batch(index, chunks, queries, 3)
+    again = keyword.keyword_search_batch(index, chunks.select("*"), queries, 3)      # another table, as far as anyone knows
+    key = lambda df: sorted((r.query_id, r.rank_no, r.accession_number, r.chunk_index, round(r.rank, 6)) for r in df.collect())
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (found, again)]
+    assert "LeftSemi" not in plans[0] and "LeftSemi" in plans[1]
+    assert key(found) == key(again) and len(key(found)) == 6
+    assert all(r.accession_number for r in found.collect())
