@@ -60,11 +60,13 @@ def embed_cached(df: DataFrame, cache: VectorCache, text_col: str = "content", e
     texts = stored(rows.groupBy(F.col("_hash").alias("text_hash")).agg(F.first(F.coalesce(text_col, F.lit(""))).alias("_text")), "texts")
     bucket = F.pmod(F.xxhash64("text_hash"), F.lit(BUCKETS)).cast("int")
     buckets = [r.b for r in texts.select(bucket.alias("b")).distinct().collect()]          # BUCKETS numbers at most
-    new = stored(texts.join(cache.read(enc, buckets), "text_hash", "left_anti"), "new")
+    # hashes tell what is new; the texts themselves are neither shuffled for it nor written again
+    new = stored(texts.select("text_hash").join(cache.read(enc, buckets).select("text_hash"), "text_hash", "left_anti"), "new")
     count = new.count()
     failed = df.sparkSession.createDataFrame([], "text_hash string, error string")
     if count:
-        made = stored(embed(new, "_text", enc, "embedding", error_col="_error" if error_col else None), "made")
+        todo = texts if count == texts.count() else texts.join(new, "text_hash", "left_semi")
+        made = stored(embed(todo, "_text", enc, "embedding", error_col="_error" if error_col else None).drop("_text"), "made")
         if error_col:
             failed = made.filter("_error IS NOT NULL").select("text_hash", F.col("_error").alias("error"))
             made = made.filter("_error IS NULL")

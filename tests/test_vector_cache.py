@@ -87,3 +87,17 @@ def test_a_stream_of_small_batches_is_merged(spark):
         c = spark.createDataFrame([(f"f{k}", 0, f"text {k}", k)], "accession_number string, chunk_index int, content string, batch_id long")
         store.write_batch(f, c, "run", k)
     assert len(store.snapshot().entries) == 3 and store.chunks().count() == 5 and store.index_ready()
+
+
+def test_texts_are_written_once(spark, monkeypatch):
+    from sheaf.operators import vector_cache
+
+    kept = vector_cache.stored
+    wrote = {}
+    monkeypatch.setattr(vector_cache, "stored", lambda df, name: (wrote.setdefault(name, df.columns), kept(df, name))[1])
+    cache = VectorCache(spark, tempfile.mkdtemp(prefix="sheaf-vec-"))
+    one = spark.createDataFrame([(1, "river pumps"), (2, "stone"), (3, None)], TEXT)
+    assert embed_cached(one, cache, encoder=HashingEncoder(8))[1] == 3
+    got, n = embed_cached(one.union(spark.createDataFrame([(4, "valve")], TEXT)), cache, encoder=HashingEncoder(8))
+    assert n == 1 and len(_vectors(got)) == 4 and None not in _vectors(got).values()
+    assert [name for name, columns in wrote.items() if "_text" in columns] == ["texts"]
