@@ -226,3 +226,21 @@ def test_very_large_and_small_components_take_part(spark):
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     assert len(got) == 18
     assert all(abs(r.score - unit[r.query_id] @ unit[r.vec_id]) < 1e-9 for r in got.itertuples())
+
+
+def test_a_passage_is_found_where_others_hold_its_seeds_only(spark):
+    rng = random.Random(11)
+    prose = lambda n: [f"t{rng.randrange(10**6)}" for _ in range(n)]
+    p, line = prose(60), prose(14)
+
+    def pieces():                                                 # every 5 words of p, never more than 12
+        return [w for k in range(0, 56, 8) for w in p[k:k + 12] + prose(40)]
+
+    changed = [w if k % 9 else f"z{k}" for k, w in enumerate(p[1:], 1)]
+    texts = [pieces(), prose(30) + p + prose(40), pieces(), pieces(), prose(80) + p[:1] + changed + prose(20), pieces(), pieces(),
+             prose(10) + p[:30] + prose(2) + p[30:] + prose(9), pieces()]
+    texts += [prose(40) + line + prose(40) for _ in range(100)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    found = {(r["doc_id"], r["other_id"]) for r in shared_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    linked = {k for pair in found for k in pair}
+    assert linked == {1, 4, 7} and len({frozenset(pair) for pair in found}) >= 2
