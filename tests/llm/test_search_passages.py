@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from sheaf.llm import passages
 from sheaf.llm.ann import nearest
 from sheaf.llm.passages import GAP_COST, LEAST_SEEDS, chains, columns, longest, seeds_of, shared_passages, stretches, word_hashes
 
@@ -239,8 +240,24 @@ def test_a_passage_is_found_where_others_hold_its_seeds_only(spark):
     changed = [w if k % 9 else f"z{k}" for k, w in enumerate(p[1:], 1)]
     texts = [pieces(), prose(30) + p + prose(40), pieces(), pieces(), prose(80) + p[:1] + changed + prose(20), pieces(), pieces(),
              prose(10) + p[:30] + prose(2) + p[30:] + prose(9), pieces()]
-    texts += [prose(40) + line + prose(40) for _ in range(100)]
+    texts += [prose(40) + line + prose(40) for _ in range(200)]
     rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
     found = {(r["doc_id"], r["other_id"]) for r in shared_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
     linked = {k for pair in found for k in pair}
     assert linked == {1, 4, 7} and len({frozenset(pair) for pair in found}) >= 2
+
+
+def test_occurrences_that_share_another_run_are_those_that_share_a_passage(monkeypatch):
+    rng = np.random.default_rng(12)
+    n = 60
+    flank = rng.integers(1, 60_000, (n, 2 * passages.REACH)).astype(np.uint16)
+    flank[:, passages.REACH:passages.REACH + 9] = flank[0, passages.REACH:passages.REACH + 9]     # a line of 14 words
+    for k in range(30, 60, 2):
+        near = np.r_[0:35, passages.REACH:passages.REACH + 35]
+        flank[k, near] = np.where(rng.random(70) < 0.9, flank[k + 1, near], 60_001)
+    row, no, none = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
+    found = {}
+    for few in (0, n):
+        monkeypatch.setattr(passages, "FEW", few)
+        found[few] = passages.cell_pairs(row, none, none - 1, no, no, no, None, flank)
+    assert found[0] == found[n] and {(k + 1, k) for k in range(30, 60, 2)} >= {*found[n]} and len(found[n]) > 10
