@@ -261,3 +261,36 @@ def test_occurrences_that_share_another_run_are_those_that_share_a_passage(monke
         monkeypatch.setattr(passages, "FEW", few)
         found[few] = passages.cell_pairs(row, none, none - 1, no, no, no, None, flank)
     assert found[0] == found[n] and {(k + 1, k) for k in range(30, 60, 2)} >= {*found[n]} and len(found[n]) > 10
+
+
+def test_a_common_line_is_no_reason_to_compare_texts(monkeypatch):
+    rng = np.random.default_rng(3)
+    n, reach = 2000, passages.REACH
+    often = rng.integers(1, 20, (n, 2 * reach))                   # every third word is one of a few
+    flank = np.where(rng.random((n, 2 * reach)) < 0.3, often, rng.integers(100, 65_000, (n, 2 * reach))).astype(np.uint16)
+    flank[:, reach:reach + 8] = flank[0, reach:reach + 8]         # a line of 13 words, followed by a frequent one
+    flank[:, reach + 8] = 7
+    near = np.r_[0:40, reach:reach + 40]
+    for k in range(0, 40, 2):
+        flank[k, near] = np.where(rng.random(80) < 0.93, flank[k + 1, near], 65_001)
+    kind = np.arange(n)
+    met = {(i, j) for some in passages.sharing(flank, kind) for i, j in zip(*(c.tolist() for c in some), strict=True)}
+    assert {(k, k + 1) for k in range(0, 40, 2)} <= met and len(met) < n * n / 20
+    row, no, none = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
+    found = passages.cell_pairs(row, none, none - 1, no, no, no, None, flank)
+    assert {*found} <= {(k + 1, k) for k in range(0, 40, 2)} and len(found) > 10
+
+
+def test_texts_of_one_word_that_are_too_short_to_link_are_not_aligned(monkeypatch):
+    reach, n = passages.REACH, 60
+    flank = np.zeros((n, 2 * reach), np.uint16)
+    for k in range(n):                                            # 5 words and 35 to 44 more of them, then others
+        flank[k, reach:] = 1000 + k
+        flank[k, reach:reach + 35 + k % 10] = 7
+    flank[-2:, reach:] = 7                                        # two that are long enough
+    aligned = []
+    linked_at = passages.linked_at
+    monkeypatch.setattr(passages, "linked_at", lambda a, b: aligned.append(1) or linked_at(a, b))
+    row, no, none = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
+    assert passages.cell_pairs(row, none, none - 1, no, no, ~no, None, flank) == [(n - 1, n - 2)]
+    assert len(aligned) == 1
