@@ -263,7 +263,7 @@ def test_occurrences_that_share_another_run_are_those_that_share_a_passage(monke
     assert found[0] == found[n] and {(k + 1, k) for k in range(30, 60, 2)} >= {*found[n]} and len(found[n]) > 10
 
 
-def test_a_common_line_is_no_reason_to_compare_texts(monkeypatch):
+def test_a_common_line_is_no_reason_to_compare_texts():
     rng = np.random.default_rng(3)
     n, reach = 2000, passages.REACH
     often = rng.integers(1, 20, (n, 2 * reach))                   # every third word is one of a few
