@@ -9,8 +9,9 @@ borders, summed), ``PROBES`` of them.  The tables' candidates are merged and
 ranked by the exact measure.
 
 The index is cut into shards of bounded size with their own tables, one row each,
-written once.  Queries travel in blocks: each block meets each shard in some task,
-and only its k best per shard leave it.  Equal vectors are one entry that carries its
+written once.  Queries travel in blocks: each block meets each shard in some task, which
+reads a few shards and then the blocks one after the other (no join, so nothing is
+broadcast), and only its k best in those shards leave it.  Equal vectors are one entry that carries its
 smallest ids, as many as an answer can need, so a vector on a third of all rows makes
 no large bucket.  A query whose probes find too little in a shard scans that shard.
 """
@@ -20,9 +21,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from itertools import product
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,6 +39,10 @@ PROBES = 200
 SEED = 42
 SHARD_CELLS = 1 << 18          # numbers in a shard's vectors
 BLOCK_QUERIES = 512
+TASK_BYTES = 64 << 20          # of shards that a task holds,
+SEARCH_TASKS = 48              # fewer if there are so many shards
+CELLS_AT_ONCE = 1 << 22        # pairs of query and entry looked at together
+NEAR = 1e-9                    # more than cosines by a matrix product differ from those by rows
 
 
 class Hashes:
@@ -56,12 +63,17 @@ class Hashes:
         return cells @ self.places
 
     def probes(self, table: int, unit: np.ndarray) -> np.ndarray:
-        """Bucket keys to visit, best first."""
+        """Bucket keys to visit, in any order."""
         cells, inside = self.cells(table, unit)
         crossing = np.stack([inside ** 2, np.zeros_like(inside), (1 - inside) ** 2], axis=2)      # down, stay, up
-        cost = sum(crossing[:, i][:, self.moves[:, i] + 1] for i in range(FUNCTIONS))
-        best = np.argsort(cost, axis=1, kind="stable")[:, :PROBES]
-        return (cells[:, None, :] + self.moves[best]) @ self.places
+        cost = crossing[:, 0]
+        for i in range(1, FUNCTIONS):                             # in the order of moves
+            cost = (cost[:, :, None] + crossing[:, i, None, :]).reshape(len(unit), -1)
+        best = np.argpartition(cost, PROBES - 1, axis=1)[:, :PROBES]
+        last = np.take_along_axis(cost, best[:, -1:], axis=1)
+        tied = np.flatnonzero((cost <= last).sum(axis=1) > PROBES)
+        best[tied] = np.argsort(cost[tied], axis=1, kind="stable")[:, :PROBES]
+        return self.keys(cells)[:, None] + self.keys(self.moves)[best]
 
 
 def scaled(x: np.ndarray) -> np.ndarray:
@@ -81,15 +93,17 @@ def usable(vectors: DataFrame) -> DataFrame:
     return v.filter(fine).filter(F.exists("embedding", lambda x: x != 0)).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
-def build_index(vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
+def build_index(vectors: DataFrame, k: int) -> tuple[DataFrame, int, int]:
     """``usable`` rows -> one row per shard (dim, shard, n, vectors, ids, keys, entries),
-    settled, and the number of shards per vector length."""
+    settled, the number of shards per vector length, and of groups of shards that tasks hold."""
     place = Window.partitionBy("embedding").orderBy("vec_id")
     entries = (vectors.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= k + 1)
                .groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))     # at most k + 1
     entries = settle(entries.withColumn("dim", F.size("embedding")), "entries")
-    numbers = entries.agg(F.sum("dim")).first()[0] or 0
+    numbers, rows = entries.agg(F.coalesce(F.sum("dim"), F.lit(0)), F.count("*")).first()
     shards = max(1, -(-numbers // SHARD_CELLS))
+    size = 8 * numbers + (8 * (k + 1) + 12 * TABLES) * rows
+    groups = min(shards, max(SEARCH_TASKS, -(-size // TASK_BYTES)))
     placed = entries.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int"))
 
     def build(key, f: pd.DataFrame) -> pd.DataFrame:
@@ -108,7 +122,7 @@ def build_index(vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
 
     built = placed.groupBy("dim", "shard").applyInPandas(
         build, "dim int, shard int, n int, vectors binary, ids binary, keys binary, entries binary")
-    return settle(built, "index"), shards
+    return settle(built, "index"), shards, groups
 
 
 def query_blocks(queries: DataFrame) -> DataFrame:
@@ -123,39 +137,86 @@ def query_blocks(queries: DataFrame) -> DataFrame:
     return placed.groupBy("dim", "block").applyInPandas(pack, "dim int, block int, query_ids binary, queries binary")
 
 
-def search_shard(r, k: int) -> pd.DataFrame:
-    """The k best of one shard for each query of one block."""
-    x = scaled(np.frombuffer(r.vectors, "<f8").reshape(r.n, r.dim))
-    ids = np.frombuffer(r.ids, "<i8").reshape(r.n, k + 1)
-    keys = np.frombuffer(r.keys, "<i8").reshape(TABLES, r.n)
-    entries = np.frombuffer(r.entries, "<i4").reshape(TABLES, r.n)
-    own = np.frombuffer(r.query_ids, "<i8")
-    q = scaled(np.frombuffer(r.queries, "<f8").reshape(len(own), r.dim))
-    hashes, unit = Hashes(r.dim), units(q)
-    seen = np.zeros((len(own), r.n), bool)
+def shard_of(r: dict, k: int) -> SimpleNamespace:
+    """A shard's row, read for ``search_shard``; per table its bucket keys, each once, and which one an entry has."""
+    x = scaled(np.frombuffer(r["a"], "<f8").reshape(r["n"], r["dim"]))
+    length = np.linalg.norm(x, axis=1)
+    keys = np.frombuffer(r["c"], "<i8").reshape(TABLES, r["n"])
+    entries = np.frombuffer(r["d"], "<i4").reshape(TABLES, r["n"])
+    buckets = []
     for t in range(TABLES):
-        probes = hashes.probes(t, unit)
-        lo, hi = np.searchsorted(keys[t], probes, "left"), np.searchsorted(keys[t], probes, "right")
-        row, col = np.nonzero(hi > lo)
-        count = (hi - lo)[row, col]
-        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo[row, col], count)
-        seen[np.repeat(row, count), entries[t][at]] = True
-    length, q_length = np.linalg.norm(x, axis=1), np.linalg.norm(q, axis=1)
-    rows = []
-    for i in range(len(own)):
-        found = np.flatnonzero(seen[i])
-        if len(found) <= k:
-            found = np.arange(r.n)
-        score = (x[found] @ q[i]) / (length[found] * q_length[i])
-        if len(found) > k + 1:
-            least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
-            found, score = found[score >= least], score[score >= least]
-        every, same = ids[found].ravel(), np.repeat(score, k + 1)
-        good = (every >= 0) & (every != own[i])
-        every, same = every[good], same[good]
-        best = np.lexsort((every, -same))[:k]
-        rows.append(pd.DataFrame({"query_id": own[i], "vec_id": every[best], "score": same[best]}))
-    return pd.concat(rows)
+        new = np.r_[True, keys[t][1:] != keys[t][:-1]]
+        of = np.empty(r["n"], np.int32)
+        of[entries[t]] = np.cumsum(new) - 1
+        buckets.append((keys[t][new], of))
+    return SimpleNamespace(n=r["n"], x=x, length=length, ids=np.frombuffer(r["b"], "<i8").reshape(r["n"], k + 1), buckets=buckets)
+
+
+def block_of(r: dict, hashes: Hashes) -> SimpleNamespace:
+    """A query block's row, read for ``search_shard``; per table the keys to visit, each once, where its queries begin, and the queries."""
+    own = np.frombuffer(r["b"], "<i8")
+    q = scaled(np.frombuffer(r["a"], "<f8").reshape(len(own), r["dim"]))
+    unit, probes = units(q), []
+    for t in range(TABLES):
+        keys = hashes.probes(t, unit).ravel()
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        probes.append((keys[first], np.r_[first, len(keys)], order // PROBES))
+    return SimpleNamespace(own=own, q=q, length=np.linalg.norm(q, axis=1), probes=probes)
+
+
+def visited(shard: SimpleNamespace, block: SimpleNamespace, lo: int, hi: int) -> np.ndarray:
+    """Entry, query (from ``lo`` to ``hi``): whether the entry is in a bucket that the query visits."""
+    seen = np.zeros((shard.n, hi - lo), bool)
+    for (keys, of), (asked, first, who) in zip(shard.buckets, block.probes, strict=True):
+        at = np.minimum(np.searchsorted(asked, keys), len(asked) - 1)
+        there = np.flatnonzero(asked[at] == keys)
+        at = at[there]
+        n = first[at + 1] - first[at]
+        queries = who[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[at], n)]
+        bucket = np.repeat(there, n)
+        mine = (queries >= lo) & (queries < hi)
+        visits = np.zeros((len(keys), hi - lo), bool)
+        visits[bucket[mine], queries[mine] - lo] = True
+        seen |= visits[of]
+    return seen
+
+
+def best_of(owner: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each owner."""
+    order = np.lexsort((vec, -score, owner))
+    owner = owner[order]
+    start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][:len(owner)])
+    keep = np.arange(len(owner)) - np.repeat(start, np.diff(np.r_[start, len(owner)])) < k
+    return owner[keep], vec[order[keep]], score[order[keep]]
+
+
+def search_shard(shard: SimpleNamespace, block: SimpleNamespace, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The k best of one shard for each query of one block: query's place in the block, vec_id, score."""
+    wide = max(1, CELLS_AT_ONCE // shard.n)
+    for lo in range(0, len(block.own), wide):
+        hi = min(lo + wide, len(block.own))
+        seen = np.ascontiguousarray(visited(shard, block, lo, hi).T)
+        few = seen.sum(axis=1) <= k
+        seen[few] = True
+        near = (block.q[lo:hi] @ shard.x.T) / shard.length / block.length[lo:hi, None]
+        near[~seen] = -np.inf
+        if shard.n > k + 1:
+            least = np.partition(near, shard.n - k - 1, axis=1)[:, shard.n - k - 1]
+            seen &= near >= (least - NEAR)[:, None]
+        i, j = np.nonzero(seen)
+        a = 0
+        while a < len(i):                                         # whole queries
+            b = len(i)
+            if b - a > CELLS_AT_ONCE // 32:
+                b = max(int(np.searchsorted(i, i[a + CELLS_AT_ONCE // 32])), int(np.searchsorted(i, i[a], side="right")))
+            one, entry = i[a:b] + lo, j[a:b]
+            score = np.einsum("ij,ij->i", shard.x[entry], block.q[one]) / (shard.length[entry] * block.length[one])
+            owner, every, same = np.repeat(one, k + 1), shard.ids[entry].ravel(), np.repeat(score, k + 1)
+            good = (every >= 0) & (every != block.own[owner])
+            yield best_of(owner[good], every[good], same[good], k)
+            a = b
 
 
 @contextmanager
@@ -181,17 +242,33 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     """
     spark = vectors.sparkSession
     kept = settle(usable(vectors), "vectors")
-    index, shards = build_index(kept, k)
+    index, shards, groups = build_index(kept, k)
     blocks = settle(query_blocks(kept.filter(is_query)), "queries")
-    asked = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for r in f.itertuples():
-                yield search_shard(r, k)
+    none, group = F.lit(None).cast("binary"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    held = index.select("dim", F.pmod("shard", F.lit(groups)).alias("group"), F.lit(-1).alias("block"), "n",
+                        F.col("vectors").alias("a"), F.col("ids").alias("b"), F.col("keys").alias("c"), F.col("entries").alias("d"))
+    asked = blocks.select("dim", group.alias("group"), "block", F.lit(0).alias("n"),
+                          F.col("queries").alias("a"), F.col("query_ids").alias("b"), none.alias("c"), none.alias("d"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * groups)
+    # a group's shards come first, then every block
+    met = held.unionByName(asked).repartition(tasks, "dim", "group").sortWithinPartitions("dim", "group", "block")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, hashes, together = None, None, []
+        for batch in batches:
+            for r in batch.to_pylist():
+                if now != (r["dim"], r["group"]):
+                    now, hashes, together = (r["dim"], r["group"]), Hashes(r["dim"]), []
+                if r["block"] < 0:
+                    together.append(shard_of(r, k))
+                elif together:
+                    block = block_of(r, hashes)
+                    found = [f for shard in together for f in search_shard(shard, block, k)]
+                    owner, vec, score = best_of(*(np.concatenate(c) for c in zip(*found, strict=True)), k)
+                    yield pa.RecordBatch.from_arrays([pa.array(block.own[owner]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
 
     with few_rows_a_batch(spark):
-        found = settle(asked.join(index, ["dim", "shard"]).mapInPandas(search, "query_id long, vec_id long, score double"), "found")
+        found = settle(met.mapInArrow(search, "query_id long, vec_id long, score double"), "found")
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

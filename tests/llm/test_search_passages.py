@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sheaf.llm import passages
+from sheaf.llm import ann, passages
 from sheaf.llm.ann import nearest
 from sheaf.llm.passages import GAP_COST, LEAST_SEEDS, chains, columns, longest, seeds_of, shared_passages, stretches, word_hashes
 
@@ -229,6 +229,24 @@ def test_very_large_and_small_components_take_part(spark):
     assert all(abs(r.score - unit[r.query_id] @ unit[r.vec_id]) < 1e-9 for r in got.itertuples())
 
 
+def test_query_blocks_meet_shards_without_a_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    rows = [(k, rng.normal(size=(6, 3)[k % 7 == 0]).tolist()) for k in range(400)]
+    rows += [(400 + k, (2.0 * np.array(rows[k][1])).tolist()) for k in range(40)]
+    plans, settle = {}, ann.settle
+    monkeypatch.setattr(ann, "settle", lambda df, name: plans.update({name: df._jdf.queryExecution().toString()}) or settle(df, name))
+    for name, few in (("SHARD_CELLS", 240), ("SEARCH_TASKS", 3), ("TASK_BYTES", 30_000), ("BLOCK_QUERIES", 10)):
+        monkeypatch.setattr(ann, name, few, raising=False)      # many shards in some groups, many blocks
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 5 == 0, 4)
+    found = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got.collect()}
+    assert "Broadcast" not in plans["found"]
+    for q, v in rows[::5]:
+        like = sorted((-np.dot(v, w) / (np.linalg.norm(v) * np.linalg.norm(w)), k) for k, w in rows if k != q and len(w) == len(v))
+        best = [found.get((q, n + 1), (None, 0.0)) for n in range(4)]
+        # by shards of so few entries, a query mostly scans them whole
+        assert np.allclose([s for _, s in best], [-s for s, _ in like[:4]], atol=0.02) and len({k for k, _ in best}) == 4
+
+
 def test_a_passage_is_found_where_others_hold_its_seeds_only(spark):
     rng = random.Random(11)
     prose = lambda n: [f"t{rng.randrange(10**6)}" for _ in range(n)]
