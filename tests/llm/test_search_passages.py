@@ -312,3 +312,34 @@ def test_texts_of_one_word_that_are_too_short_to_link_are_not_aligned(monkeypatc
     row, no, none = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
     assert passages.cell_pairs(row, none, none - 1, no, no, ~no, None, flank) == [(n - 1, n - 2)]
     assert len(aligned) == 1
+
+
+def test_occurrences_left_out_know_their_neighbours():
+    rng = random.Random(14)
+    for size in (0, 1, 2, 3, 60):
+        at = sorted({(rng.randrange(3), rng.choice([k * 7, rng.randrange(90)])) for k in range(size)})
+        seed = {a: rng.randrange(3) for a in at}
+        mixed = rng.sample(at, len(at))
+        got = passages.neighbours(np.array([r for r, _ in mixed], int), np.array([seed[a] for a in mixed], int), np.array([p for _, p in mixed], int))
+        assert [(r, p) for r, _, p, *_ in zip(*got, strict=True)] == at
+        inside = {}
+        for r, p in at:
+            own = [q for o, q in at if o == r and seed[o, q] == seed[r, p]]
+            k = own.index(p)
+            inside[r, p] = 0 < k < len(own) - 1 and own[k + 1] - p == p - own[k - 1] < passages.LEAST_WORDS
+        for r, s, p, before, is_inside, ends in zip(*(c.tolist() for c in got), strict=True):
+            own = [q for o, q in at if o == r and seed[o, q] == s]
+            k = own.index(p)
+            near = [own[j] for j in (k - 1, k + 1) if 0 <= j < len(own)]
+            assert s == seed[r, p] and before == seed.get((r, p - 1), -1)
+            assert is_inside == inside[r, p] and ends == any(inside[r, q] for q in near)
+
+
+def test_seed_occurrences_are_sorted_whatever_their_order():
+    rng = np.random.default_rng(15)
+    for low, high in ((0, 50), (0, 1 << 40), (-(1 << 62), 1 << 62)):
+        row, pos = np.divmod(np.sort(rng.choice(4000, 900, replace=False)), 40)
+        seed = rng.choice(rng.integers(low, high, 60), 900)
+        for order in (np.arange(900), rng.permutation(900)):
+            got = passages.by_seed(seed[order], row[order], pos[order])
+            assert [*zip(*got, strict=True)] == sorted(zip(seed, row, pos, strict=True))
